@@ -437,12 +437,10 @@ ORACLE_SQL: dict[str, str] = {
     "opening_balance": _all("opening"),
     "balance_daily": _with(
         ["balances"],
-        """SELECT on_date, count(*) AS accounts,
+        """SELECT on_date, account_rk % 10 AS last_digit, count(*) AS accounts,
                   CAST(sum(balance_out) AS DECIMAL(23,8)) AS balance_out,
-                  CAST(sum(balance_out_rub) AS DECIMAL(23,8)) AS balance_out_rub,
-                  CAST(sum(balance_out * (account_rk % 1000)) AS DECIMAL(23,8))
-                      AS weighted_balance_out
-           FROM balances GROUP BY on_date""",
+                  CAST(sum(balance_out_rub) AS DECIMAL(23,8)) AS balance_out_rub
+           FROM balances GROUP BY on_date, account_rk % 10""",
     ),
     "balance_month_end": _with(
         ["balances"], "SELECT * FROM balances WHERE on_date = last_day(on_date)"
@@ -450,7 +448,10 @@ ORACLE_SQL: dict[str, str] = {
     "form101": _all("form"),
     "f101_export": _form_table("CAST({0} AS VARCHAR)", "CAST(NULL AS DECIMAL(23,8))"),
     "f101_csv_roundtrip": _form_table("{0}", "CAST(NULL AS DECIMAL(23,8))"),
-    "month_close_stored": _all("form"),
+    "month_close_stored": _all("form").replace(
+        "CAST(o_orderdate AS DATE) AS oper_date",
+        "CAST(date_trunc('month', o_orderdate) AS DATE) AS oper_date",
+    ),
     "typed_load": _with(["postings"], "SELECT DISTINCT * FROM postings"),
     "typed_load_accounts": _all("accounts"),
     "typed_load_rates": _all("rates"),

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from checks import tables as t
 from daybook import operators as op
 from daybook import plans, sources
-from daybook.functions import parse_date, parse_integer, parse_key, parse_number
+from daybook.functions import Period, parse_date, parse_integer, parse_key, parse_number
 from daybook.functions import to_code_page_bytes
 from daybook.schemas import (
     DEAL,
@@ -60,17 +60,14 @@ def _balances(spark: SparkSession, sf: str, days: str) -> DataFrame:
 
 
 def balance_daily(spark: SparkSession, sf: str) -> DataFrame:
-    """Every account's balance on every day, added up by day."""
+    """Every account's balance on every day, added up by day and last digit."""
     return (
         _balances(spark, sf, "all")
-        .groupBy("on_date")
+        .groupBy("on_date", (F.col("account_rk") % 10).alias("last_digit"))
         .agg(
             F.count(F.lit(1)).alias("accounts"),
             F.sum("balance_out").cast(MONEY).alias("balance_out"),
             F.sum("balance_out_rub").cast(MONEY).alias("balance_out_rub"),
-            F.sum(F.col("balance_out") * (F.col("account_rk") % 1000))
-            .cast(MONEY)
-            .alias("weighted_balance_out"),
         )
     )
 
@@ -107,26 +104,32 @@ def f101_csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def month_close_stored(spark: SparkSession, sf: str) -> DataFrame:
-    """Marts closed into tables stored by day, year after year, and read back."""
+    """Form 101 from marts closed in two steps into tables stored by day, the second
+    carrying on from the first. Postings are dated the first of their month."""
     turnover_path = scratch_path(spark, "turnover")
     balance_path = scratch_path(spark, "balance")
-    args = (t.postings(spark, sf), t.accounts(spark, sf), t.rates(spark, sf))
+    postings = t.postings(spark, sf).withColumn("oper_date", F.trunc("oper_date", "MM"))
     halves = (
-        t.Period(t.HISTORY.start, date(1998, 6, 30)),
-        t.Period(date(1998, 7, 1), t.HISTORY.end),
+        Period(t.HISTORY.start, date(1998, 6, 30)),
+        Period(date(1998, 7, 1), t.HISTORY.end),
     )
     for period, opening in zip(halves, ("snapshot", "previous_close")):
         plans.publish_month(
-            *args, t.snapshot(spark, sf), period, turnover_path, balance_path, opening
+            postings,
+            t.accounts(spark, sf),
+            t.rates(spark, sf),
+            t.snapshot(spark, sf),
+            period,
+            turnover_path,
+            balance_path,
+            opening,
+            days="month_ends",
         )
-    closing = spark.read.parquet(balance_path).where(
-        F.col("on_date").isin(t.HISTORY.day_before, *t.HISTORY.month_ends())
-    )
     return op.form101(
         t.accounts(spark, sf),
         t.ledger(spark, sf),
-        spark.read.parquet(turnover_path),
-        closing,
+        sources.read_table(spark, turnover_path),
+        sources.read_table(spark, balance_path),
         t.HISTORY,
     )
 
@@ -306,7 +309,7 @@ def replace_slice(spark: SparkSession, sf: str) -> DataFrame:
         F.col("o_orderkey").alias("number"),
         F.round("o_totalprice", 2).cast(MONEY).alias("amount"),
     )
-    year = t.Period(date(1996, 1, 1), date(1996, 12, 31))
+    year = Period(date(1996, 1, 1), date(1996, 12, 31))
     shipped = (
         t.table(spark, sf, "lineitem")
         .select(

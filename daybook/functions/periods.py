@@ -75,22 +75,27 @@ def clip_to_period(df: DataFrame, period: Period, start: str, end: str) -> DataF
     )
 
 
+def _steps(first: Column, last: Column, step: str) -> Column:
+    return F.when(first <= last, F.sequence(first, last, F.expr(f"interval {step}"))).otherwise(
+        F.array().cast("array<date>")
+    )
+
+
 def days_of(start: Column, end: Column) -> Column:
     """Array of the days from ``start`` to ``end``; empty when they are reversed."""
-    return F.when(
-        start <= end, F.sequence(start, end, F.expr("interval 1 day"))
-    ).otherwise(F.array().cast("array<date>"))
+    return _steps(start, end, "1 day")
+
+
+def _last_ended_month(end: Column) -> Column:
+    return F.add_months(F.trunc(F.date_add(end, 1), "MM"), -1)
 
 
-def month_ends_of(start: Column, end: Column) -> Column:
-    """Array of the last days of months that lie between ``start`` and ``end``."""
-    first = F.last_day(start)
-    months = F.sequence(F.trunc(start, "MM"), F.trunc(end, "MM"), F.expr("interval 1 month"))
-    ends = F.filter(F.transform(months, F.last_day), lambda day: day <= end)
-    return F.when(first <= end, ends).otherwise(F.array().cast("array<date>"))
+def ended_months_of(start: Column, end: Column) -> Column:
+    """Array of the first days of months whose last day lies in ``start`` to ``end``."""
+    return _steps(F.trunc(start, "MM"), _last_ended_month(end), "1 month")
 
 
 def whole_months_of(start: Column, end: Column) -> Column:
-    """Array of the first days of months that lie wholly between ``start`` and ``end``."""
-    months = F.sequence(F.trunc(start, "MM"), F.trunc(end, "MM"), F.expr("interval 1 month"))
-    return F.filter(months, lambda day: (day >= start) & (F.last_day(day) <= end))
+    """Array of the first days of months that lie wholly in ``start`` to ``end``."""
+    first = F.add_months(F.trunc(F.date_sub(start, 1), "MM"), 1)
+    return _steps(first, _last_ended_month(end), "1 month")

@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from daybook.functions import Period, clip_to_period, days_of, money, valid_on
-from daybook.functions.periods import month_ends_of
+from daybook.functions.periods import ended_months_of
 from daybook.operators.lookup import BROADCAST_ROWS, lookup_join
 from daybook.operators.turnover import daily_rates
-from daybook.schemas import ACTIVE, DM_BALANCE, MONEY, PASSIVE, RATE
+from daybook.schemas import ACTIVE, MONEY, PASSIVE, RATE
 
 
 def _zero() -> Column:
@@ -153,41 +153,40 @@ def balances(
             F.when(F.col("restarts"), offset), ignorenulls=True
         ).over(so_far)
 
-    carried = chained.select(
+    after = carried_from_restart("total", "move", "seed")
+    after_rub = carried_from_restart("total_rub", "move_rub", "seed_rub")
+    problem = F.concat(
+        F.lit("overlapping versions or repeated rows for account "),
+        F.col("account_rk").cast("string"),
+    )
+    stretches = chained.select(
         "account_rk",
         "moved_on",
-        "move",
-        "move_rub",
-        F.when(
-            F.col("in_sequence"),
-            F.when(F.col("opens"), F.col("valid_from")).otherwise(F.col("moved_on")),
-        )
-        .otherwise(
-            F.raise_error(
-                F.concat(
-                    F.lit("overlapping versions or repeated rows for account "),
-                    F.col("account_rk").cast("string"),
-                )
-            ).cast("date")
-        )
+        F.when(~F.col("in_sequence"), F.raise_error(problem).cast("date"))
+        .when(F.col("opens"), F.col("valid_from"))
+        .otherwise(F.col("moved_on"))
         .alias("first_day"),
         F.coalesce("until", "valid_to").alias("last_day"),
-        carried_from_restart("total", "move", "seed").alias("after"),
-        carried_from_restart("total_rub", "move_rub", "seed_rub").alias("after_rub"),
+        money(after).alias("after"),
+        money(after_rub).alias("after_rub"),
+        money(after - F.col("move")).alias("before"),
+        money(after_rub - F.col("move_rub")).alias("before_rub"),
     )
-    fill = days_of if days == "all" else month_ends_of
-    before_move = F.coalesce(F.col("on_date") < F.col("moved_on"), F.lit(False))
-    return (
-        carried.withColumn("on_date", F.explode(fill(F.col("first_day"), F.col("last_day"))))
-        .select(
-            "on_date",
-            "account_rk",
-            money(F.col("after") - F.when(before_move, F.col("move")).otherwise(_zero())).alias(
-                "balance_out"
-            ),
-            money(
-                F.col("after_rub") - F.when(before_move, F.col("move_rub")).otherwise(_zero())
-            ).alias("balance_out_rub"),
+    if days == "all":
+        on_days = stretches.withColumn(
+            "on_date", F.explode(days_of(F.col("first_day"), F.col("last_day")))
         )
-        .select(DM_BALANCE.columns)
+    else:
+        on_days = stretches.withColumn(
+            "month", F.explode(ended_months_of(F.col("first_day"), F.col("last_day")))
+        ).withColumn("on_date", F.last_day("month"))
+    # Only a version's first stretch can begin before its first movement.
+    not_yet = F.coalesce(F.col("on_date") < F.col("moved_on"), F.lit(False))
+    return on_days.select(
+        "on_date",
+        "account_rk",
+        F.when(not_yet, F.col("before")).otherwise(F.col("after")).alias("balance_out"),
+        F.when(not_yet, F.col("before_rub")).otherwise(F.col("after_rub")).alias(
+            "balance_out_rub"
+        ),
     )

@@ -12,13 +12,6 @@ from daybook.schemas import DM_FORM101, FORM101_MEASURES, RUBLE_CODES
 _HEAD = ["from_date", "to_date", "chapter", "ledger_account", "characteristic"]
 
 
-def _covered_months(df: DataFrame, period: Period, start: str, end: str) -> DataFrame:
-    """One row per month of the period which a row's validity covers wholly."""
-    return clip_to_period(df, period, start, end).withColumn(
-        "from_date", F.explode(whole_months_of(F.col("valid_from"), F.col("valid_to")))
-    )
-
-
 def form101(
     accounts: DataFrame,
     ledger: DataFrame,
@@ -71,47 +64,71 @@ def form101(
         )
     )
 
-    plan = _covered_months(ledger, period, "start_date", "end_date").select(
-        "from_date", "chapter", "ledger_account"
+    plan = ledger.select(
+        "chapter",
+        "ledger_account",
+        F.col("start_date").alias("plan_from"),
+        F.col("end_date").alias("plan_to"),
     )
-    active = _covered_months(accounts, period, "data_actual_date", "data_actual_end_date").select(
+    active = clip_to_period(
+        accounts, period, "data_actual_date", "data_actual_end_date"
+    ).select(
         "account_rk",
-        "from_date",
         F.substring("account_number", 1, 5).cast("int").alias("ledger_account"),
         F.col("char_type").alias("characteristic"),
         F.col("currency_code").isin(*RUBLE_CODES).alias("in_rubles"),
+        "valid_from",
+        "valid_to",
     )
-    reported = lookup_join(
+    planned = lookup_join(
         active,
         plan,
-        ["ledger_account", "from_date"],
+        ["ledger_account"],
         spread_by=["account_rk"],
         how="inner",
         max_rows=max_broadcast_rows,
     )
+    covered = whole_months_of(
+        F.greatest("valid_from", "plan_from"), F.least("valid_to", "plan_to")
+    )
+    reported = planned.where(F.col("plan_to").isNotNull()).select(
+        "account_rk",
+        F.explode(covered).alias("from_date"),
+        "chapter",
+        "ledger_account",
+        "characteristic",
+        "in_rubles",
+    )
     joined = reported.join(edges, months, "left").join(moved, months, "left")
 
-    def split(name: str, amount: Column) -> list[Column]:
+    # First by currency kind with one sum per amount, then spread over the columns:
+    # the wide sums see a handful of rows per ledger account, not the accounts.
+    groups = ["from_date", "chapter", "ledger_account", "characteristic"]
+    summed = joined.groupBy(*groups, "in_rubles").agg(
+        F.sum("balance_in").alias("balance_in"),
+        F.sum(F.coalesce("turn_deb", F.lit(0))).alias("turn_deb"),
+        F.sum(F.coalesce("turn_cre", F.lit(0))).alias("turn_cre"),
+        F.sum("balance_out").alias("balance_out"),
+    )
+    in_rubles = F.col("in_rubles")
+
+    def split(name: str) -> list[Column]:
         return [
-            money(F.sum(F.when(F.col("in_rubles"), amount).otherwise(0))).alias(f"{name}_rub"),
-            money(F.sum(F.when(~F.col("in_rubles"), amount).otherwise(0))).alias(f"{name}_val"),
-            money(F.sum(amount)).alias(f"{name}_total"),
+            money(F.sum(F.when(in_rubles, F.col(name)).otherwise(0))).alias(f"{name}_rub"),
+            money(F.sum(F.when(~in_rubles, F.col(name)).otherwise(0))).alias(f"{name}_val"),
+            money(F.sum(name)).alias(f"{name}_total"),
         ]
 
     return (
-        joined.groupBy(
-            "from_date",
-            F.last_day("from_date").alias("to_date"),
-            "chapter",
-            F.col("ledger_account").cast("string").alias("ledger_account"),
-            "characteristic",
-        )
+        summed.groupBy(*groups)
         .agg(
-            *split("balance_in", F.col("balance_in")),
-            *split("turn_deb", F.coalesce("turn_deb", F.lit(0))),
-            *split("turn_cre", F.coalesce("turn_cre", F.lit(0))),
-            *split("balance_out", F.col("balance_out")),
+            *split("balance_in"),
+            *split("turn_deb"),
+            *split("turn_cre"),
+            *split("balance_out"),
         )
+        .withColumn("to_date", F.last_day("from_date"))
+        .withColumn("ledger_account", F.col("ledger_account").cast("string"))
         .select(*_HEAD, *FORM101_MEASURES)
     )
 

@@ -75,8 +75,10 @@ def publish_month(
     turnover_path: str,
     balance_path: str,
     opening: Literal["snapshot", "previous_close"] = "snapshot",
+    days: Literal["all", "month_ends"] = "all",
 ) -> MonthClose:
     """Close a period into marts stored by day, and return its stored rows.
+    ``days="month_ends"`` stores only the balances form 101 needs.
 
     Balances are computed from the turnover as stored, and whatever follows reads
     the stored balances: each step starts from files, so a lost executor costs a
@@ -88,12 +90,12 @@ def publish_month(
     if opening == "snapshot":
         seeds = opening_balances(snapshot, accounts, rates, period)
         replaced = Period(period.day_before, period.end)
-        rows = balances(accounts, moves, seeds, period).unionByName(seeds)
+        rows = balances(accounts, moves, seeds, period, days).unionByName(seeds)
     else:
         stored = read_table(spark, balance_path)
         seeds = stored.where(F.col("on_date") == F.lit(period.day_before))
         replaced = period
-        rows = balances(accounts, moves, seeds, period)
+        rows = balances(accounts, moves, seeds, period, days)
     replace_days(rows, balance_path, replaced)
     carried = read_table(spark, balance_path).where(replaced.contains("on_date"))
     return MonthClose(
