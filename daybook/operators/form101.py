@@ -91,7 +91,8 @@ def form101(
     covered = whole_months_of(
         F.greatest("valid_from", "plan_from"), F.least("valid_to", "plan_to")
     )
-    reported = planned.where(F.col("plan_to").isNotNull()).select(
+    dated = F.col("plan_from").isNotNull() & F.col("plan_to").isNotNull()
+    reported = planned.where(dated).select(
         "account_rk",
         F.explode(covered).alias("from_date"),
         "chapter",

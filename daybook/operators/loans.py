@@ -54,6 +54,7 @@ def loan_holiday_mart(
         ["product_rk", "deal_from", "deal_name"],
         spread_by=["deal_rk", "deal_number"],
         max_rows=max_broadcast_rows,
+        counted=products,
     )
     periods = holidays.select(
         *LOAN_HOLIDAY.columns, F.col("effective_from_date").alias("deal_from")

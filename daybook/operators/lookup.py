@@ -27,6 +27,7 @@ def lookup_join(
     how: str = "left",
     max_rows: int = BROADCAST_ROWS,
     salts: int = SALTS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Join ``facts`` to ``dimension`` on equal ``keys``.
 
@@ -36,8 +37,11 @@ def lookup_join(
     ruble), or facts without a key, would otherwise end up in one task. Facts
     are spread by the hash of ``spread_by``, which keeps retried tasks the same;
     each dimension row is repeated once per part. Both ways give the same rows.
+
+    ``counted`` is what to count instead of ``dimension`` when that is costly to
+    compute, such as its rows before copies are removed.
     """
-    if fits_broadcast(dimension, max_rows):
+    if fits_broadcast(dimension if counted is None else counted, max_rows):
         return facts.join(F.broadcast(dimension), list(keys), how)
     spread = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
     copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
@@ -53,8 +57,9 @@ def left_join_skewed(left: DataFrame, right: DataFrame, keys: Sequence[str]) ->
 
     Adaptive execution splits an overfull key on both sides of an inner join, but
     only on the left side of a left join. So matched rows come from an inner join
-    and the others from an anti join, against each right key once. Both read the
-    same shuffle of ``left``.
+    and the others from an anti join against each right key once. If ``right`` is
+    too large to broadcast, this shuffles ``left`` twice; use a plain left join
+    where ``right`` is known to hold a key only a few times.
     """
     keys = list(keys)
     matched = left.join(right, keys)
