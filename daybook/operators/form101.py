@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from daybook.functions import Period, clip_to_period, fixed_scale_text, money, whole_months_of
 from daybook.operators.lookup import BROADCAST_ROWS, lookup_join
-from daybook.schemas import DM_FORM101, FORM101_MEASURES, RUBLE_CODES
+from daybook.schemas import DM_FORM101, FORM101_MEASURES, MONEY, RUBLE_CODES
 
 _HEAD = ["from_date", "to_date", "chapter", "ledger_account", "characteristic"]
 
@@ -28,40 +28,45 @@ def form101(
 
     ``balances`` needs only the day before each month and the last day of it; of a
     mart partitioned by day nothing else is read when the period is one month.
-    Facts are summed per account before they meet the accounts.
+    Facts are summed per account and month, in one aggregation, before they meet the
+    accounts.
     """
-    months = ["account_rk", "from_date"]
-
     month = F.trunc("on_date", "MM")
-    edges = balances.where(F.col("on_date").isin(period.day_before, *period.month_ends()))
+    zero, unknown = F.lit(0).cast(MONEY), F.lit(None).cast(MONEY)
+    balance = F.col("balance_out_rub").cast(MONEY)
+
     # A month's last day closes that month and opens the next.
-    sides = F.explode(
+    sides = F.inline(
         F.array(
-            F.struct(month.alias("from_date"), F.lit(False).alias("opens")),
-            F.struct(F.add_months(month, 1).alias("from_date"), F.lit(True).alias("opens")),
+            F.struct(
+                month.alias("from_date"), zero.alias("balance_in"), balance.alias("balance_out")
+            ),
+            F.struct(
+                F.add_months(month, 1).alias("from_date"),
+                balance.alias("balance_in"),
+                zero.alias("balance_out"),
+            ),
         )
     )
     edges = (
-        edges.select("account_rk", "balance_out_rub", sides.alias("side"))
-        .select("account_rk", "balance_out_rub", "side.*")
+        balances.where(F.col("on_date").isin(period.day_before, *period.month_ends()))
+        .select("account_rk", sides)
         .where(period.contains("from_date"))
-        .groupBy(months)
-        .agg(
-            F.sum(F.when(F.col("opens"), F.col("balance_out_rub")).otherwise(0)).alias(
-                "balance_in"
-            ),
-            F.sum(F.when(F.col("opens"), 0).otherwise(F.col("balance_out_rub"))).alias(
-                "balance_out"
-            ),
-        )
+        .select("*", unknown.alias("turn_deb"), unknown.alias("turn_cre"))
     )
-    moved = (
-        turnover.where(period.contains("on_date"))
-        .groupBy("account_rk", month.alias("from_date"))
-        .agg(
-            F.sum("debet_amount_rub").alias("turn_deb"),
-            F.sum("credit_amount_rub").alias("turn_cre"),
-        )
+    moved = turnover.where(period.contains("on_date")).select(
+        "account_rk",
+        month.alias("from_date"),
+        unknown.alias("balance_in"),
+        unknown.alias("balance_out"),
+        F.col("debet_amount_rub").cast(MONEY).alias("turn_deb"),
+        F.col("credit_amount_rub").cast(MONEY).alias("turn_cre"),
+    )
+    amounts = ["balance_in", "balance_out", "turn_deb", "turn_cre"]
+    facts = (
+        edges.unionByName(moved)
+        .groupBy("account_rk", "from_date")
+        .agg(*[F.sum(name).alias(name) for name in amounts])
     )
 
     plan = ledger.select(
@@ -100,7 +105,7 @@ def form101(
         "characteristic",
         "in_rubles",
     )
-    joined = reported.join(edges, months, "left").join(moved, months, "left")
+    joined = reported.join(facts, ["account_rk", "from_date"], "left")
 
     # First by currency kind with one sum per amount, then spread over the columns:
     # the wide sums see a handful of rows per ledger account, not the accounts.
