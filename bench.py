@@ -44,6 +44,8 @@ def main() -> None:
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("bench")
         .config("spark.sql.shuffle.partitions", cpus)
+        # Shuffles are a few megabytes here; keep them spread over all threads.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "256k")
         .config("spark.driver.memory", "16g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

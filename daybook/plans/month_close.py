@@ -76,9 +76,12 @@ def publish_month(
     balance_path: str,
     opening: Literal["snapshot", "previous_close"] = "snapshot",
     days: Literal["all", "month_ends"] = "all",
+    compact: bool = True,
 ) -> MonthClose:
     """Close a period into marts stored by day, and return its stored rows.
-    ``days="month_ends"`` stores only the balances form 101 needs.
+    ``days="month_ends"`` stores only the balances form 101 needs. ``compact`` moves
+    the balances once more, to write few large files per day; without it every task
+    writes its own file for each day.
 
     Balances are computed from the turnover as stored, and whatever follows reads
     the stored balances: each step starts from files, so a lost executor costs a
@@ -96,7 +99,7 @@ def publish_month(
         seeds = stored.where(F.col("on_date") == F.lit(period.day_before))
         replaced = period
         rows = balances(accounts, moves, seeds, period, days)
-    replace_days(rows, balance_path, replaced)
+    replace_days(rows, balance_path, replaced, compact=compact)
     carried = read_table(spark, balance_path).where(replaced.contains("on_date"))
     return MonthClose(
         period, moves.select(DM_TURNOVER.columns), carried.select(DM_BALANCE.columns), replaced
