@@ -190,9 +190,9 @@ TABLES = {
          AND q.ledger_account = CAST(substring(a.account_number, 1, 5) AS INTEGER)
         LEFT JOIN (
             SELECT m.from_date, c.account_rk,
-                   sum(CASE c.on_date WHEN m.from_date - 1 THEN c.balance_out_rub ELSE 0 END)
+                   coalesce(sum(c.balance_out_rub) FILTER (c.on_date < m.from_date), 0)
                        AS balance_in,
-                   sum(CASE c.on_date WHEN m.to_date THEN c.balance_out_rub ELSE 0 END)
+                   coalesce(sum(c.balance_out_rub) FILTER (c.on_date = m.to_date), 0)
                        AS balance_out
             FROM months m JOIN carried c ON c.on_date IN (m.from_date - 1, m.to_date)
             GROUP BY ALL) i
@@ -222,24 +222,20 @@ TABLES = {
     + """
         FROM report GROUP BY from_date, to_date, chapter, ledger_account, characteristic""",
     "loan_mart": """
-        SELECT d.deal_rk, h.effective_from_date, h.effective_to_date, d.agreement_rk,
-               d.account_rk, d.client_rk, d.department_rk, d.product_rk, p.product_name,
-               d.deal_type_cd, d.deal_start_date, d.deal_name, d.deal_num AS deal_number,
-               d.deal_sum, h.loan_holiday_type_cd, h.loan_holiday_start_date,
-               h.loan_holiday_finish_date, h.loan_holiday_fact_finish_date,
-               h.loan_holiday_finish_flg, h.loan_holiday_last_possible_date
+        SELECT d.* EXCLUDE (deal_num, effective_from_date, effective_to_date),
+               d.deal_num AS deal_number, h.* EXCLUDE (deal_rk), p.product_name
         FROM deals d
-        LEFT JOIN holidays h ON h.deal_rk = d.deal_rk
-             AND h.effective_from_date = d.effective_from_date
-        LEFT JOIN (SELECT DISTINCT * FROM products) p ON p.product_rk = d.product_rk
-             AND p.effective_from_date = d.effective_from_date
-             AND p.product_name = d.deal_name""",
+        LEFT JOIN holidays h
+          ON (h.deal_rk, h.effective_from_date) = (d.deal_rk, d.effective_from_date)
+        LEFT JOIN (SELECT DISTINCT * FROM products) p
+          ON (p.product_rk, p.product_name, p.effective_from_date)
+             = (d.product_rk, d.deal_name, d.effective_from_date)""",
     "corrected_in": """
-        SELECT *, CASE WHEN account_in_sum <> lag(account_out_sum) OVER w
-                       THEN lag(account_out_sum) OVER w ELSE account_in_sum END
-                      AS correct_account_in_sum
-        FROM account_balance
-        WINDOW w AS (PARTITION BY account_rk ORDER BY effective_date)""",
+        SELECT b.*, if(p.account_out_sum <> b.account_in_sum, p.account_out_sum,
+                       b.account_in_sum) AS correct_account_in_sum
+        FROM account_balance b
+        ASOF LEFT JOIN account_balance p
+          ON p.account_rk = b.account_rk AND p.effective_date < b.effective_date""",
     "audit": """
         SELECT 'turnover' AS step, on_date, count(*) AS row_count,
                CAST(sum(credit_amount_rub) AS DECIMAL(38,8)) AS amount
@@ -505,16 +501,15 @@ ORACLE_SQL: dict[str, str] = {
     + " UNION ALL ".join(_CONTRACT),
     "duplicate_profile": _with(
         ["clients"],
-        """SELECT 'всего записей' AS title, count(*) AS count FROM clients
-           UNION
-           SELECT 'уникальных записей', count(*) FROM (SELECT DISTINCT * FROM clients)""",
+        """SELECT unnest(['всего записей', 'уникальных записей']) AS title,
+                  unnest([count(*), count(DISTINCT (client_rk, effective_from_date, status))])
+                      AS count
+           FROM clients""",
     ),
     "duplicate_key_rows": """
         SELECT l_orderkey, l_linenumber, l_partkey, l_returnflag
         FROM lineitem
-        JOIN (SELECT l_orderkey, l_linenumber FROM lineitem
-              GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1) d
-        USING (l_orderkey, l_linenumber)""",
+        QUALIFY count(*) OVER (PARTITION BY l_orderkey, l_linenumber) > 1""",
     "nonnull_profile": _with(
         ["loan_mart"],
         f"""SELECT effective_from_date, effective_to_date,
@@ -540,11 +535,11 @@ ORACLE_SQL: dict[str, str] = {
     "balance_corrections_in": _all("corrected_in"),
     "balance_repair_out": _with(
         ["account_balance"],
-        """SELECT *, CASE WHEN account_out_sum <> lead(account_in_sum) OVER w
-                          THEN lead(account_in_sum) OVER w ELSE account_out_sum END
-                         AS correct_account_out_sum
-           FROM account_balance
-           WINDOW w AS (PARTITION BY account_rk ORDER BY effective_date)""",
+        """SELECT b.*, if(n.account_in_sum <> b.account_out_sum, n.account_in_sum,
+                          b.account_out_sum) AS correct_account_out_sum
+           FROM account_balance b
+           ASOF LEFT JOIN account_balance n
+             ON n.account_rk = b.account_rk AND n.effective_date > b.effective_date""",
     ),
     "balance_repair_preview": _with(
         ["corrected_in"],

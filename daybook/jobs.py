@@ -131,14 +131,14 @@ def clean_clients(spark: SparkSession, a: argparse.Namespace) -> None:
 def refresh_loans(spark: SparkSession, a: argparse.Namespace) -> None:
     """Products and deals from files, then the loan-holiday mart and its profile."""
 
-    def delivered(name: str, table: Table) -> DataFrame:
+    def delivered(path: str, table: Table) -> DataFrame:
         return sources.read_delimited(
-            spark, f"{a.raw}/{name}.csv", sep=",", encoding="windows-1251", schema=table.schema
+            spark, path, sep=",", encoding="windows-1251", schema=table.schema
         )
 
     products, deals, _ = plans.refresh_loans(
-        delivered("product_info", PRODUCT),
-        delivered("deal_info", DEAL),
+        delivered(a.products, PRODUCT),
+        delivered(a.deals, DEAL),
         _table(spark, a.current, DEAL),
         _table(spark, a.current, LOAN_HOLIDAY),
     )
@@ -197,7 +197,14 @@ def _parser() -> argparse.ArgumentParser:
     command(report, report_date=day, detail=needed, marts=needed, csv=needed, log={})
     command(import_report, csv=needed, output=needed)
     command(clean_clients, table=needed, output=needed, show=number)
-    command(refresh_loans, raw=needed, current=needed, output=needed, show=number)
+    command(
+        refresh_loans,
+        products=needed,
+        deals=needed,
+        current=needed,
+        output=needed,
+        show=number,
+    )
     command(repair_balances, tables=needed, output=needed)
     return parser
 

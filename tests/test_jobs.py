@@ -71,12 +71,12 @@ def test_clients_loans_and_repair(spark):
     )
     product = "10,loan,2018-01-01,2050-12-31"
     line = "7,N7,loan,99.50,1,2,3,2018-01-01,4,10,T,2018-01-01,2050-12-31"
-    for name, table, text in (("product_info", PRODUCT, product), ("deal_info", DEAL, line)):
+    for name, table, text in (("products", PRODUCT, product), ("deals", DEAL, line)):
         spark.createDataFrame(
             [(x,) for x in (",".join(table.columns), text)], "value string"
         ).coalesce(1).write.text(f"{base}/raw/{name}.csv")
-    place = ["--raw", f"{base}/raw", "--current", f"{base}/rd", "--output", f"{base}/rd2"]
-    main(["refresh-loans", *place])
+    files = ["--products", f"{base}/raw/products.csv", "--deals", f"{base}/raw/deals.csv"]
+    main(["refresh-loans", *files, "--current", f"{base}/rd", "--output", f"{base}/rd2"])
     mart = sources.read_table(spark, f"{base}/rd2/loan_holiday_info").first()
     assert (mart.product_name, mart.loan_holiday_type_cd) == ("loan", "H")
 
