@@ -1,3 +1,4 @@
+import re
 from datetime import date
 
 import pytest
@@ -147,6 +148,10 @@ def test_published_marts_equal_the_computed_ones_and_rerun_changes_nothing(spark
     for _ in range(2):
         stored = publish_month(post, acc, rate, snap, PERIOD, turnover_path, balance_path)
         assert rows(stored.turnover) == rows(close.turnover)
+        whole_mart = spark.read.parquet(balance_path)
+        report = form101(acc, plan, stored.turnover, whole_mart, PERIOD)
+        physical = report._jdf.queryExecution().executedPlan().toString()
+        assert re.search(r"PartitionFilters: [^\]]*on_date#\d+ IN", physical)
         assert rows(stored.balances) == rows(close.balances)
     # All postings of a day gone: the day is empty after a new close.
     fewer = post.where(F.col("oper_date") != F.lit(day(9)))
