@@ -77,7 +77,7 @@ TABLES = {
                DATE '2050-12-31' AS effective_to_date
         FROM orders""",
     "holidays": """
-        SELECT l_orderkey AS deal_rk, l_linestatus AS loan_holiday_type_cd,
+        SELECT l_orderkey AS deal_rk, l_returnflag || l_linestatus AS loan_holiday_type_cd,
                CAST(l_shipdate AS DATE) AS loan_holiday_start_date,
                CAST(l_shipdate AS DATE) + l_linenumber * 30 AS loan_holiday_finish_date,
                CASE WHEN l_linenumber > 1 THEN CAST(l_shipdate AS DATE) + l_linenumber END
@@ -86,7 +86,7 @@ TABLES = {
                CAST(l_shipdate AS DATE) + 365 AS loan_holiday_last_possible_date,
                CAST(date_trunc('year', l_shipdate) AS DATE) AS effective_from_date,
                CAST(l_shipdate AS DATE) + 1000 AS effective_to_date
-        FROM lineitem WHERE l_returnflag = 'R'""",
+        FROM lineitem""",
     "products": """
         SELECT p_partkey AS product_rk, 'Продукт ' || CAST(p_partkey AS VARCHAR) AS product_name,
                make_date(y.year, 1, 1) AS effective_from_date, e.effective_to_date

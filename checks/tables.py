@@ -199,24 +199,20 @@ def deals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_planned_once
 def holidays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Returned order lines as loan holidays of the deal version of their year."""
+    """Order lines as loan holidays of the deal version of their year."""
     day = F.col("l_shipdate").cast("date")
-    return (
-        table(spark, sf_dir, "lineitem")
-        .where(F.col("l_returnflag") == "R")
-        .select(
-            F.col("l_orderkey").alias("deal_rk"),
-            F.col("l_linestatus").alias("loan_holiday_type_cd"),
-            day.alias("loan_holiday_start_date"),
-            F.date_add(day, F.col("l_linenumber") * 30).alias("loan_holiday_finish_date"),
-            F.when(F.col("l_linenumber") > 1, F.date_add(day, F.col("l_linenumber"))).alias(
-                "loan_holiday_fact_finish_date"
-            ),
-            F.when(F.col("l_quantity") > 25, "Y").otherwise("N").alias("loan_holiday_finish_flg"),
-            F.date_add(day, 365).alias("loan_holiday_last_possible_date"),
-            F.trunc(day, "year").alias("effective_from_date"),
-            F.date_add(day, 1000).alias("effective_to_date"),
-        )
+    return table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("deal_rk"),
+        F.concat("l_returnflag", "l_linestatus").alias("loan_holiday_type_cd"),
+        day.alias("loan_holiday_start_date"),
+        F.date_add(day, F.col("l_linenumber") * 30).alias("loan_holiday_finish_date"),
+        F.when(F.col("l_linenumber") > 1, F.date_add(day, F.col("l_linenumber"))).alias(
+            "loan_holiday_fact_finish_date"
+        ),
+        F.when(F.col("l_quantity") > 25, "Y").otherwise("N").alias("loan_holiday_finish_flg"),
+        F.date_add(day, 365).alias("loan_holiday_last_possible_date"),
+        F.trunc(day, "year").alias("effective_from_date"),
+        F.date_add(day, 1000).alias("effective_to_date"),
     )
 
 

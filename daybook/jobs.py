@@ -35,13 +35,16 @@ from daybook.schemas import (
 )
 from daybook.session import configure
 
+# Written only by these jobs, so their columns are known; they may still be empty.
+MARTS = (DM_TURNOVER, DM_BALANCE, DM_FORM101)
 DETAIL = (MD_ACCOUNT, MD_CURRENCY, MD_EXCHANGE_RATE, MD_LEDGER_ACCOUNT, FT_BALANCE, FT_POSTING)
 
 
 def _table(spark: SparkSession, folder: str | None, table: Table) -> DataFrame:
     if folder is None:
         return spark.createDataFrame([], table.schema)
-    return sources.read_table(spark, f"{folder}/{table.name}")
+    schema = table.schema if table in MARTS else None
+    return sources.read_table(spark, f"{folder}/{table.name}", schema=schema)
 
 
 def _log(step: str, df: DataFrame, day: str, folder: str | None) -> None:
@@ -108,7 +111,7 @@ def report(spark: SparkSession, a: argparse.Namespace) -> None:
         period,
     )
     sources.replace_days(op.form101_table(form), path, first, day="from_date")
-    stored = sources.read_table(spark, path).where(first.contains("from_date"))
+    stored = _table(spark, a.marts, DM_FORM101).where(first.contains("from_date"))
     text = op.form101_text(stored.select(DM_FORM101.columns))
     sources.write_delimited(text, a.csv)
     _log("form 101", stored, "from_date", a.log)

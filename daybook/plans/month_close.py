@@ -89,18 +89,20 @@ def publish_month(
     """
     spark = postings.sparkSession
     replace_days(turnover(postings, accounts, rates, period), turnover_path, period)
-    moves = read_table(spark, turnover_path).where(period.contains("on_date"))
+    moves = read_table(spark, turnover_path, schema=DM_TURNOVER.schema).where(period.contains("on_date"))
     if opening == "snapshot":
         seeds = opening_balances(snapshot, accounts, rates, period)
         replaced = Period(period.day_before, period.end)
         rows = balances(accounts, moves, seeds, period, days).unionByName(seeds)
     else:
-        stored = read_table(spark, balance_path)
+        stored = read_table(spark, balance_path, schema=DM_BALANCE.schema)
         seeds = stored.where(F.col("on_date") == F.lit(period.day_before))
         replaced = period
         rows = balances(accounts, moves, seeds, period, days)
     replace_days(rows, balance_path, replaced, compact=compact)
-    carried = read_table(spark, balance_path).where(replaced.contains("on_date"))
+    carried = read_table(spark, balance_path, schema=DM_BALANCE.schema).where(
+        replaced.contains("on_date")
+    )
     return MonthClose(
         period, moves.select(DM_TURNOVER.columns), carried.select(DM_BALANCE.columns), replaced
     )

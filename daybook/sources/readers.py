@@ -67,13 +67,20 @@ def read_form101_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_table(
-    spark: SparkSession, path: str | None = None, fmt: str = "parquet", **options: str
+    spark: SparkSession,
+    path: str | None = None,
+    fmt: str = "parquet",
+    schema: T.StructType | None = None,
+    **options: str,
 ) -> DataFrame:
-    """A whole stored table, in any format Spark knows.
+    """A whole stored table, in any format Spark knows. With ``schema`` nothing is
+    read to find the columns, and a table still without files is empty.
 
     For a database pass ``fmt="jdbc"`` with its options; give ``partitionColumn``,
     ``lowerBound``, ``upperBound`` and ``numPartitions`` too, or Spark fetches the
     table through a single task.
     """
     reader = spark.read.format(fmt).options(**options)
+    if schema is not None:
+        reader = reader.schema(schema)
     return reader.load(path) if path is not None else reader.load()

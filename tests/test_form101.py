@@ -177,3 +177,14 @@ def test_rerun_of_a_slice_changes_nothing(spark):
     assert 77 not in {r.account_rk for r in once.collect()}
     emptied = replace_slice(once, PERIOD.contains("on_date"), mart(spark))
     assert {r.on_date for r in emptied.collect()} == {None, BEFORE, day(3, 2)}
+
+
+def test_month_without_postings_or_accounts(spark):
+    acc, plan, _, rate, snap = case(spark)
+    paths = scratch_path(spark, "t"), scratch_path(spark, "b")
+    stored = publish_month(postings(spark), acc, rate, snap, PERIOD, *paths)
+    assert stored.turnover.count() == 0
+    assert stored.balances.where(F.col("on_date") == F.lit(day(31))).count() == 6
+    empty = scratch_path(spark, "t"), scratch_path(spark, "b")
+    stored = publish_month(postings(spark), accounts(spark), rate, snap, PERIOD, *empty)
+    assert form101(accounts(spark), plan, stored.turnover, stored.balances, PERIOD).count() == 0
