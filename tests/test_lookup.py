@@ -1,6 +1,7 @@
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 
 from daybook.operators.lookup import fits_broadcast, left_join_skewed, lookup_join
 from daybook.session import scratch_path
@@ -70,3 +71,32 @@ def test_scratch_folder_is_the_clusters_shared_one():
     assert scratch_path(session("local[2]", None), "x") != scratch_path(session("local[2]", None), "x")
     with pytest.raises(ValueError):
         scratch_path(session("yarn", None), "x")
+
+
+@pytest.mark.parametrize("hot_side", ["left", "right"])
+def test_overfull_key_of_a_left_join_is_split_on_either_side(spark, hot_side):
+    def keyed(rows, hot, name):
+        ids = spark.range(0, rows, 1, 8)
+        key = F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")) if hot else F.col("id")
+        return ids.select(key.alias("k"), F.sha2(F.col("id").cast("string"), 256).alias(name))
+
+    left = keyed(60_000, hot_side == "left", "a")
+    right = keyed(60_000, hot_side == "right", "b")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        joined = left_join_skewed(left, right, ["k"])
+        assert len(joined.collect()) == (60_000 if hot_side == "left" else 80_000)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in plan
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
