@@ -12,6 +12,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from daybook.operators.lookup import BROADCAST_ROWS, fits_broadcast
+
 
 def _unique_keys(source: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """The keys of ``source``, and a frame with no rows that raises on bad keys.
@@ -93,19 +95,27 @@ def replace_slice(target: DataFrame, in_slice: Column, new: DataFrame) -> DataFr
 
 
 
-def append_new(target: DataFrame, source: DataFrame) -> DataFrame:
+def append_new(
+    target: DataFrame, source: DataFrame, max_broadcast_rows: int = BROADCAST_ROWS
+) -> DataFrame:
     """Add the rows of ``source`` that ``target`` does not hold yet.
 
     Repeated new rows are added once; rows already in ``target`` stay as they are,
-    repeated or not. NULLs compare as equal. Copies in the source are merged
-    before any join. Target rows are first reduced to those that occur in the
-    source; with a source small enough to be broadcast, the target is only
-    scanned.
+    repeated or not. NULLs compare as equal.
+
+    A source counted at no more than ``max_broadcast_rows`` rows is broadcast to find
+    which of its rows are stored; the target is only scanned then. A larger one is
+    grouped together with the target by whole rows, where copies are merged in each
+    map task before the shuffle, however many there are.
     """
     columns = target.columns
-    fresh = source.select(columns).distinct()
-    candidate = fresh.alias("candidate")
-    stored = target.alias("stored")
+    source = source.select(columns)
+    if not fits_broadcast(source, max_broadcast_rows):
+        both = source.withColumn("_stored", F.lit(0)).unionByName(
+            target.withColumn("_stored", F.lit(1))
+        )
+        grouped = both.groupBy(*columns).agg(F.max("_stored").alias("_stored"))
+        return target.unionByName(grouped.where(F.col("_stored") == 0).select(columns))
 
     def same(left: str, right: str) -> Column:
         return reduce(
@@ -113,8 +123,13 @@ def append_new(target: DataFrame, source: DataFrame) -> DataFrame:
             [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in columns],
         )
 
-    held = stored.join(candidate, same("stored", "candidate"), "left_semi").distinct()
-    new = candidate.join(held.alias("held"), same("candidate", "held"), "left_anti")
+    fresh = F.broadcast(source.distinct()).alias("fresh")
+    held = target.alias("target").join(fresh, same("target", "fresh"), "left_semi").distinct()
+    new = (
+        source.distinct()
+        .alias("fresh")
+        .join(F.broadcast(held).alias("held"), same("fresh", "held"), "left_anti")
+    )
     return target.unionByName(new.select(columns))
 
 

@@ -52,24 +52,23 @@ def test_replace_slice_keeps_rows_with_unknown_condition(spark):
     ]
 
 
-def test_append_new_compares_nulls_and_adds_copies_once(spark):
+@pytest.mark.parametrize("max_rows", [0, 1000])
+def test_append_new_compares_nulls_and_adds_copies_once(spark, max_rows):
     target = table(spark, (1, None, "x"), (1, None, "x"), (2, "a", "b"))
     source = table(spark, (1, None, "x"), (3, None, None), (3, None, None), (2, "a", None))
-    result = append_new(target, source)
+    result = append_new(target, source, max_rows)
     assert rows(result) == sorted(
         [(1, None, "x"), (1, None, "x"), (2, "a", "b"), (3, None, None), (2, "a", None)], key=repr
     )
-    assert rows(append_new(result, source)) == rows(result)
+    assert rows(append_new(result, source, max_rows)) == rows(result)
 
 
-def test_append_new_without_broadcast(spark):
-    held = [(i % 50, "a", None) for i in range(300)]
-    target, source = table(spark, *held), table(spark, *[(i, "a", None) for i in range(100)] * 2)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        assert append_new(target, source).count() == 300 + 50
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+@pytest.mark.parametrize("max_rows", [0, 1000])
+def test_append_new_with_many_copies(spark, max_rows):
+    held = [(i % 50, "a", None) for i in range(300)] + [(7, "a", None)] * 200
+    source = [(i, "a", None) for i in range(100)] * 2 + [(777, "b", None)] * 200
+    result = append_new(table(spark, *held), table(spark, *source), max_rows)
+    assert result.count() == 500 + 50 + 1
 
 
 def test_dedupe_keeps_one_of_identical_rows(spark):
