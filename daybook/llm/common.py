@@ -65,8 +65,9 @@ def gram_hashes(hashes: np.ndarray, k: int) -> np.ndarray:
     total = np.zeros(max(n, 0), np.uint64)
     if n > 0:
         for i in range(k):
-            total = total * PRIME + hashes[i : i + n]
-    return mixed(total)
+            total *= PRIME
+            total += hashes[i : i + n]
+    return total
 
 
 def shingle_set(text: str | None, k: int = 5) -> np.ndarray:
@@ -76,7 +77,7 @@ def shingle_set(text: str | None, k: int = 5) -> np.ndarray:
     if len(hashes) < k:
         short = gram_hashes(hashes, len(hashes)) if len(hashes) else hashes
         return mixed(short + np.uint64(len(hashes)))
-    return np.unique(gram_hashes(hashes, k))
+    return np.unique(mixed(gram_hashes(hashes, k)))
 
 
 def signed(x: np.ndarray) -> np.ndarray:

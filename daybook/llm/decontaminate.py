@@ -10,7 +10,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import PRIME, mixed, slices, word_hashes
+from daybook.llm.common import PRIME, slices, word_hashes
 from daybook.llm.licenses import words_of
 
 # Masks over words in a row; words at 0 are ignored.
@@ -25,11 +25,12 @@ SPANS = "array<struct<item_id:long,start:long,stop:long,share:double>>"
 def seed_hashes(hashes: np.ndarray, mask: str) -> np.ndarray:
     """A hash of each place of a mask over a text's words."""
     n = len(hashes) - len(mask) + 1
-    total = np.full(max(n, 0), np.uint64(int(mask, 2)))
+    total = np.zeros(max(n, 0), np.uint64)
     for i, bit in enumerate(mask):
         if bit == "1" and n > 0:
-            total = total * PRIME + hashes[i : i + n]
-    return mixed(total)
+            total *= PRIME
+            total += hashes[i : i + n]
+    return total * PRIME
 
 
 class Index:
@@ -45,7 +46,11 @@ class Index:
             at = np.concatenate([np.arange(len(s)) for s in seeds]) if seeds else np.zeros(0, np.int64)
             flat = np.concatenate(seeds) if seeds else np.zeros(0, np.uint64)
             order = np.argsort(flat, kind="stable")
-            self.tables.append((mask, flat[order], owner[order], at[order]))
+            # Leading bits that occur: most seeds of a text need no search.
+            shift = np.uint64(64 - min(26, (64 * len(flat) + 1).bit_length()))
+            some = np.zeros(1 << (64 - int(shift)), bool)
+            some[flat >> shift] = True
+            self.tables.append((mask, flat[order], owner[order], at[order], shift, some))
         # Shorter than any mask: whole items, compared by their first word.
         self.short: dict[int, list[int]] = {}
         shortest = min(map(len, MASKS))
@@ -56,16 +61,13 @@ class Index:
     def diagonals(self, hashes: np.ndarray) -> set[tuple[int, int]]:
         """Item and shift (place in the text less place in the item) of every hit."""
         out = set()
-        for mask, flat, owner, at in self.tables:
+        for mask, flat, owner, at, shift, some in self.tables:
             seeds = seed_hashes(hashes, mask)
-            if not len(seeds) or not len(flat):
-                continue
-            low = np.searchsorted(flat, seeds)
-            for p in np.flatnonzero(flat[np.minimum(low, len(flat) - 1)] == seeds).tolist():
-                for k in range(low[p], len(flat)):
-                    if flat[k] != seeds[p]:
-                        break
-                    out.add((int(owner[k]), p - int(at[k])))
+            places = np.flatnonzero(some[seeds >> shift])
+            low = np.searchsorted(flat, seeds[places], "left")
+            high = np.searchsorted(flat, seeds[places], "right")
+            for p, x, y in zip(places.tolist(), low.tolist(), high.tolist(), strict=True):
+                out.update((int(owner[k]), p - int(at[k])) for k in range(x, y))
         if self.short:
             for p in np.flatnonzero(np.isin(hashes, np.array(list(self.short), np.uint64))).tolist():
                 for i in self.short[int(hashes[p])]:

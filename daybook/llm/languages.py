@@ -15,7 +15,7 @@ from daybook.llm.common import per_document, slices
 #: Bits of a hashed n-gram, and its characters.
 BITS, LENGTH = 15, 3
 #: Bounds: languages of a model, rounds of the mixture inference, languages of a document.
-MAX_LANGUAGES, ROUNDS, MAX_SET = 256, 12, 3
+MAX_LANGUAGES, ROUNDS, MAX_SET = 256, 8, 3
 #: Log-likelihood that a further language must add, for each doubling of the text's n-grams.
 PENALTY = 2.0
 UNKNOWN = "und"
@@ -91,6 +91,27 @@ def train(docs: DataFrame) -> Model:
     return Model([r["lang"] for r in sums], (counts / counts.sum(axis=0)).astype(np.float64))
 
 
+class _Texts:
+    """The n-grams of several texts one after another, with their chances."""
+
+    def __init__(self, model: Model, parts: list[tuple[np.ndarray, np.ndarray]]):
+        self.sizes = np.array([len(bins) for bins, _ in parts])
+        self.starts = np.concatenate([[0], np.cumsum(self.sizes)[:-1]])
+        self.counts = np.concatenate([counts for _, counts in parts])
+        self.chances = model.chances[np.concatenate([bins for bins, _ in parts])]
+        self.total = np.add.reduceat(self.counts, self.starts)
+
+    def fitted(self, shares: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray]:
+        """Shares after rounds of expectation-maximisation, and their log-likelihoods."""
+        for _ in range(rounds):
+            weight = self.counts / self._mass(shares)
+            shares = shares * np.add.reduceat(self.chances * weight[:, None], self.starts, axis=0) / self.total[:, None]
+        return shares, np.add.reduceat(self.counts * np.log(self._mass(shares)), self.starts)
+
+    def _mass(self, shares: np.ndarray) -> np.ndarray:
+        return np.einsum("ij,ij->i", self.chances, np.repeat(shares, self.sizes, axis=0))
+
+
 def mixtures(model: Model, texts: list[str | None]) -> np.ndarray:
     """Each text's proportions of the model's languages (rows of zeros without letters).
 
@@ -104,28 +125,21 @@ def mixtures(model: Model, texts: list[str | None]) -> np.ndarray:
     full = np.array([i for i, (bins, _) in enumerate(parts) if len(bins)], np.int64)
     if not len(full) or not k:
         return out
-    sizes = np.array([len(parts[i][0]) for i in full])
-    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-    counts = np.concatenate([parts[i][1] for i in full])
-    chances = model.chances[np.concatenate([parts[i][0] for i in full])]
-    total = np.add.reduceat(counts, starts)
-
-    def fitted(shares: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray]:
-        for _ in range(rounds):
-            mass = np.einsum("ij,ij->i", chances, np.repeat(shares, sizes, axis=0))
-            shares = shares * np.add.reduceat(chances * (counts / mass)[:, None], starts, axis=0) / total[:, None]
-        mass = np.einsum("ij,ij->i", chances, np.repeat(shares, sizes, axis=0))
-        return shares, np.add.reduceat(counts * np.log(mass), starts)
-
-    everything, _ = fitted(np.full((len(full), k), 1 / k), ROUNDS)
+    found = _Texts(model, [parts[i] for i in full])
+    everything, bound = found.fitted(np.full((len(full), k), 1 / k), ROUNDS)
     place = np.argsort(np.argsort(-everything, axis=1, kind="stable"), axis=1, kind="stable")
-    best, score = np.zeros((len(full), k)), np.full(len(full), -np.inf)
-    for size in range(1, min(k, MAX_SET) + 1):
-        start = np.where(place < size, 1 / size, 0.0)
-        shares, likelihood = fitted(start, ROUNDS if size > 1 else 0)
-        likelihood = likelihood - PENALTY * (size - 1) * np.log2(1 + total)
-        better = likelihood > score
-        best[better], score[better] = shares[better], likelihood[better]
+    best = (place == 0).astype(np.float64)
+    _, score = found.fitted(best, 0)
+    price = PENALTY * np.log2(1 + found.total)
+    # All languages together bound the likelihood of every set: most texts are done.
+    left = np.flatnonzero(bound - price > score)
+    if len(left):
+        again = _Texts(model, [parts[i] for i in full[left]])
+        for size in range(2, min(k, MAX_SET) + 1):
+            shares, likelihood = again.fitted(np.where(place[left] < size, 1 / size, 0.0), ROUNDS)
+            likelihood = likelihood - (size - 1) * price[left]
+            better = likelihood > score[left]
+            best[left[better]], score[left[better]] = shares[better], likelihood[better]
     out[full] = best
     return out
 

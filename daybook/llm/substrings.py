@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -18,6 +19,7 @@ WINDOW, SEED = 35, 6
 #: Seeds of a window; the one with the smallest hash is its anchor.
 SEEDS = WINDOW - SEED + 1
 _INVERSE = np.uint64(pow(int(PRIME), -1, 1 << 64))
+_LEFT, _RIGHT = mixed(np.array([1, 2], np.uint64)) | np.uint64(1)
 
 
 def anchors(hashes: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -38,17 +40,27 @@ def anchors(hashes: np.ndarray) -> tuple[np.ndarray, ...]:
     return seeds[at[first]], at[first], first, last
 
 
+@lru_cache(maxsize=32)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    return np.cumprod(np.full(n, PRIME, np.uint64)), np.cumprod(np.full(n, _INVERSE, np.uint64))
+
+
 def regions(hashes: np.ndarray, at: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
     """A hash of all words of each anchor's windows and of the anchor's place in them."""
     n = len(hashes)
-    powers = np.cumprod(np.full(n + 1, PRIME, np.uint64))
-    back = np.cumprod(np.full(n + 1, _INVERSE, np.uint64))
+    powers, back = _powers(1 << n.bit_length())
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * powers[:n])])
     end = last + WINDOW
     words = (sums[end] - sums[first]) * back[first]
     return mixed(words + mixed(((end - first) * 64 + at - first).astype(np.uint64)))
 
 
+def _seed_rows(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for part in slices(batches):
+        found = np.concatenate([anchors(word_hashes(utf8(text).split()))[0] for text in part["text"]])
+        yield pd.DataFrame({"seed": signed(found)})
+
+
 def _anchor_rows(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for part in slices(batches):
         found = []
@@ -76,10 +88,26 @@ def _contexts(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["seed", "row", "at", "start", "before", "after", "n"])
 
 
-def _common(x: np.ndarray, y: np.ndarray) -> int:
-    n = min(len(x), len(y))
-    differ = np.flatnonzero(x[:n] != y[:n])
-    return int(differ[0]) if len(differ) else n
+def _padded(arrays: Iterable[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The arrays as rows of WINDOW - SEED words, and their lengths."""
+    arrays = list(arrays)
+    sizes = np.array([len(x) for x in arrays])
+    out = np.zeros((len(arrays), WINDOW - SEED), np.uint64)
+    out[np.arange(WINDOW - SEED)[None] < sizes[:, None]] = np.concatenate(arrays).view(np.uint64)
+    return out, sizes
+
+
+def _agreeing(x: np.ndarray, nx: np.ndarray, y: np.ndarray, ny: np.ndarray) -> np.ndarray:
+    """How many leading words two rows share."""
+    equal = (x == y) & (np.arange(x.shape[1])[None] < np.minimum(nx, ny)[:, None])
+    return np.logical_and.accumulate(equal, axis=1).sum(axis=1)
+
+
+def _prefix_hashes(x: np.ndarray) -> np.ndarray:
+    out = np.zeros((x.shape[0], x.shape[1] + 1), np.uint64)
+    for i in range(x.shape[1]):
+        out[:, i + 1] = out[:, i] * PRIME + x[:, i]
+    return out
 
 
 def _extend(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -87,25 +115,33 @@ def _extend(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
     kind 0: words [start, stop) of a row are repeated. kind 1: a window of the row that
     the reference lacks, with a hash of its words, to be looked for elsewhere.
+
+    A window that begins o words before the anchor needs o words on the left and
+    WINDOW - SEED - o on the right.
     """
-    for part in slices(batches):
-        out = []
-        for x in part.itertuples(index=False):
-            left, right = _common(x.before, x.ref_before), _common(x.after, x.ref_after)
-            # A window that begins o words before the anchor needs o words on the left
-            # and WINDOW - SEED - o on the right.
-            least, most = WINDOW - SEED - len(x.after), len(x.before)
-            low, high = max(least, WINDOW - SEED - right), min(most, left)
-            if low <= high:
-                out.append((0, x.row, x.at - high, x.at - low + WINDOW, 0, 0, 0))
-                out.append((0, x.ref_row, x.ref_at - high, x.ref_at - low + WINDOW, 0, 0, 0))
-            for o in range(least, most + 1):
-                if low <= o <= high:
-                    continue
-                ends = np.concatenate([x.before[:o], x.after[: WINDOW - SEED - o]]).view(np.uint64)
-                words = int(signed(gram_hashes(ends, len(ends)) + mixed(np.array([o], np.uint64)))[0])
-                out.append((1, x.row, x.at - o, x.at - o + WINDOW, x.seed, words, x.n))
-        yield pd.DataFrame(out, columns=["kind", "row", "start", "stop", "seed", "words", "n"])
+    names = ["kind", "row", "start", "stop", "seed", "words", "n"]
+    for x in slices(batches, 4096):
+        before, n_before = _padded(x["before"])
+        after, n_after = _padded(x["after"])
+        left = _agreeing(before, n_before, *_padded(x["ref_before"]))
+        right = _agreeing(after, n_after, *_padded(x["ref_after"]))
+        least, most = WINDOW - SEED - n_after, n_before
+        low, high = np.maximum(least, WINDOW - SEED - right), np.minimum(most, left)
+        at, row, seed = (x[c].to_numpy() for c in ("at", "row", "seed"))
+        hit = low <= high
+        for r, a in ((row, at), (x["ref_row"].to_numpy(), x["ref_at"].to_numpy())):
+            yield pd.DataFrame(
+                dict(zip(names, (0, r[hit], (a - high)[hit], (a - low)[hit] + WINDOW, 0, 0, 0), strict=True)), columns=names
+            )
+        o = np.arange(SEEDS)[None]
+        rest = (o >= least[:, None]) & (o <= most[:, None]) & ((o < low[:, None]) | (o > high[:, None]))
+        i, o = np.nonzero(rest)
+        words = _prefix_hashes(before)[i, o] * _LEFT + _prefix_hashes(after)[i, WINDOW - SEED - o] * _RIGHT
+        words = signed(mixed(words + o.astype(np.uint64)))
+        start = at[i] - o
+        yield pd.DataFrame(
+            dict(zip(names, (1, row[i], start, start + WINDOW, seed[i], words, x["n"].to_numpy()[i]), strict=True)), columns=names
+        )
 
 
 def _covered(spans: Iterable[dict] | None, n: int) -> np.ndarray:
@@ -128,8 +164,9 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     are then grouped by their words. So work follows the number of occurrences and
     never its square, and no occurrence is capped.
     """
-    found = docs.select("row", "text").mapInPandas(_anchor_rows, "seed long, region long, row long, loc long")
-    common = found.groupBy("seed").count().where("count > 1").select("seed")
+    texts = docs.select("row", "text")
+    found = texts.mapInPandas(_anchor_rows, "seed long, region long, row long, loc long")
+    common = texts.select("text").mapInPandas(_seed_rows, "seed long").groupBy("seed").count().where("count > 1").select("seed")
     shared = stored(found.join(common, "seed", "left_semi"), "anchors")
     classes = stored(
         shared.groupBy("seed", "region").agg(
