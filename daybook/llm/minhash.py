@@ -111,6 +111,53 @@ def _first_equal(x: str, y: str, start: int) -> F.Column:
     return start + F.array_position(F.zip_with(part(x), part(y), lambda a, b: a == b), True) - 1
 
 
+def _possible(size_a: str, alike_a: str, size_b: str, alike_b: str) -> F.Column:
+    """Whether sets can be similar enough, if alike of size members are in any other."""
+    most = F.least(alike_a, alike_b)
+    return (100 + MIN_SIMILARITY) * most >= MIN_SIMILARITY * (F.col(size_a) + F.col(size_b))
+
+
+def _shingles(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for part in slices(batches):
+        found = [signed(shingle_set(t)) for t in part["text"]]
+        yield pd.DataFrame({"node": np.repeat(part["node"].to_numpy(), [len(x) for x in found]), "shingle": np.concatenate(found)})
+
+
+def _open_buckets(
+    tables: DataFrame, sets: DataFrame, labels: DataFrame, texts: DataFrame, alike: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Rows (key, i, j, node, label, bands, size, alike) of buckets in which labels
+    differ, and alike: how many shingles of each node any other node of them has."""
+    named = tables.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    several = named.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y")
+    rows = stored(named.join(several.select("key"), "key", "left_semi").select("key", "i", "j", "node", "label"), "open")
+    if alike is None:
+        nodes = rows.select("node").distinct()
+        found = texts.join(nodes, "node", "left_semi").mapInPandas(_shingles, "node long, shingle long")
+        single = found.groupBy("shingle").agg(F.count("*").alias("n"), F.min("node").alias("node")).where("n = 1")
+        alone = single.groupBy("node").agg(F.count("*").alias("alone"))
+        alike = stored(
+            nodes.join(sets.select("node", "size"), "node")
+            .join(alone, "node", "left")
+            .select("node", "size", (F.col("size") - F.coalesce("alone", F.lit(0))).alias("alike")),
+            "alike",
+        )
+    return rows.join(alike, "node").join(sets.select("node", "bands"), "node"), alike
+
+
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels after more links (a, b) between nodes."""
+    label = lambda s: labels.select(F.col("node").alias(s), F.col("label").alias(f"label_{s}"))
+    over = components(
+        links.join(label("a"), "a", "left")
+        .join(label("b"), "b", "left")
+        .select(F.coalesce("label_a", "a").alias("a"), F.coalesce("label_b", "b").alias("b"))
+    ).withColumnRenamed("label", "over")
+    old = labels.join(over.withColumnRenamed("node", "label"), "label", "left").select("node", F.coalesce("over", "label").alias("label"))
+    new = over.join(labels.select("node"), "node", "left_anti").select("node", F.col("over").alias("label"))
+    return stored(old.union(new), "merged")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """Near-duplicate groups: doc_id, n_shingles, component_id, kept per row of docs.
 
@@ -120,9 +167,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     at the threshold is missed with a chance of 2 * (1 - 0.75**2)**14, about 2e-5.
 
     Equal sets are one node. Of a table's bucket each node first meets the smallest
-    one only; then nodes of a bucket that are not yet connected meet each other, each
-    pair in the first table it shares. So a group of n copies costs n comparisons and
-    no candidate is dropped.
+    one only, then the most typical one. Nodes of a bucket that are still not connected
+    meet each other, each pair in the first table it shares, unless the shingles that
+    no other candidate has rule the link out. So a group of n copies costs about n
+    comparisons, and no possible link is dropped.
 
     A doc_id names one text; a repeated row is in its twin's group. A document without words or text is
     linked with nothing. A null doc_id stands alone: component_id null, kept true.
@@ -131,7 +179,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     known = stored(sketches(docs), "sketches")
     some = known.where("n_shingles > 0 and doc_id is not null")
     sets = stored(
-        some.groupBy("high", "low").agg(F.min("doc_id").alias("node"), F.any_value("bands").alias("bands")), "sets"
+        some.groupBy("high", "low").agg(F.min("doc_id").alias("node"), F.any_value("bands").alias("bands"), F.max("n_shingles").alias("size")), "sets"
     )
     keys = table_keys(sets.select("node", "bands"))
     first = keys.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least < most")
@@ -147,37 +195,37 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     links = confirmed(star.select(F.col("least").alias("a"), F.col("node").alias("b")), texts)
     labels = components(links)
 
-    # Members of a bucket with different labels.
-    named = tables.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    mixed_keys = named.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y")
-    open_rows = (
-        named.join(mixed_keys.select("key"), "key", "left_semi")
-        .join(sets.select("node", "bands"), "node")
-        .select("key", "i", "j", "node", "label", "bands")
+    # Members of a bucket with different labels: first each with the most typical one,
+    # whose shingles others have too, then every pair left that can be similar enough.
+    open_rows, alike = _open_buckets(tables, sets, labels, texts)
+    by = F.struct((1 - F.col("alike") / F.col("size")).alias("own"), "node", "label", "size", "alike")
+    typical = open_rows.groupBy("key").agg(F.min(by).alias("to"))
+    chosen = (
+        open_rows.join(typical, "key")
+        .where((F.col("label") != F.col("to.label")) & _possible("size", "alike", "to.size", "to.alike"))
+        .groupBy("node")
+        .agg(F.min("to").alias("to"))
+        .select(F.col("to.node").alias("a"), F.col("node").alias("b"))
     )
-    a, b = (open_rows.select(["key", "i", "j"] + [F.col(c).alias(f"{c}_{s}") for c in ("node", "label", "bands")]) for s in "ab")
+    labels = _merged(labels, confirmed(chosen, texts))
+
+    open_rows, _ = _open_buckets(tables, sets, labels, texts, alike)
+    a, b = (open_rows.select("key", "i", "j", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "label", "bands", "size", "alike")]) for s in "ab")
     pairs = a.join(
         b,
         (a["key"] == b["key"])
         & (a["i"] == b["i"])
         & (a["j"] == b["j"])
         & (a["label_a"] < b["label_b"])
+        & _possible("size_a", "alike_a", "size_b", "alike_b")
         & (_first_equal("bands_a", "bands_b", 0) == a["i"])
         & (_first_equal("bands_a", "bands_b", GROUPS) == a["j"]),
     ).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
-    more = confirmed(pairs, texts)
-    label = lambda s: labels.select(F.col("node").alias(s), F.col("label").alias(f"label_{s}"))
-    over = components(
-        more.join(label("a"), "a", "left")
-        .join(label("b"), "b", "left")
-        .select(F.coalesce("label_a", "a").alias("a"), F.coalesce("label_b", "b").alias("b"))
-    ).select(F.col("node").alias("label"), F.col("label").alias("over"))
+    labels = _merged(labels, confirmed(pairs, texts))
     final = (
         sets.select("high", "low", "node")
         .join(labels, "node", "left")
-        .withColumn("label", F.coalesce("label", "node"))
-        .join(over, "label", "left")
-        .select("high", "low", F.coalesce("over", "label").alias("label"))
+        .select("high", "low", F.coalesce("label", "node").alias("label"))
     )
     return (
         known.join(final, ["high", "low"], "left")
