@@ -166,7 +166,9 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     """
     texts = docs.select("row", "text")
     found = texts.mapInPandas(_anchor_rows, "seed long, region long, row long, loc long")
-    common = texts.select("text").mapInPandas(_seed_rows, "seed long").groupBy("seed").count().where("count > 1").select("seed")
+    # Written, so that the join below has plain sides and Spark can split an overfull seed.
+    common = texts.select("text").mapInPandas(_seed_rows, "seed long").groupBy("seed").count().where("count > 1")
+    common = stored(common.select("seed"), "seeds")
     shared = stored(found.join(common, "seed", "left_semi"), "anchors")
     classes = stored(
         shared.groupBy("seed", "region").agg(
