@@ -15,6 +15,8 @@ from daybook.llm.common import components, mixed, per_document, shingle_set, sig
 #: Hashes in each of the two collections, and min-hashes in each of those hashes.
 GROUPS, WIDTH = 14, 2
 MIN_SIMILARITY = 75
+#: Bits of the bitmaps that rule pairs out before their texts meet.
+BITMAP = 1024
 _FUNCTIONS = mixed(np.arange(1, 2 * GROUPS * WIDTH + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)) | np.uint64(1)
 
 
@@ -111,12 +113,32 @@ def _first_equal(x: str, y: str, start: int) -> F.Column:
     return start + F.array_position(F.zip_with(part(x), part(y), lambda a, b: a == b), True) - 1
 
 
-def _possible(size_a: str, alike_a: str, size_b: str, alike_b: str) -> F.Column:
-    """Whether sets can be similar enough, if alike of size members are in any other."""
+def _possible(size_a: str, alike_a: str, size_b: str, alike_b: str, bits_a: str = "", bits_b: str = "") -> F.Column:
+    """Whether sets can be similar enough, if alike of size members are in any other.
+
+    A bit that only one bitmap has set stands for a member or more that the other set
+    lacks, which bounds the intersection further.
+    """
     most = F.least(alike_a, alike_b)
+    if bits_a:
+        word = lambda c, k: F.get(c, F.lit(k))
+        lacks = lambda x, y: sum(F.bit_count(word(x, k).bitwiseAND(F.bitwise_not(word(y, k)))) for k in range(BITMAP // 64))
+        most = F.least(most, F.col(size_a) - lacks(bits_a, bits_b), F.col(size_b) - lacks(bits_b, bits_a))
     return (100 + MIN_SIMILARITY) * most >= MIN_SIMILARITY * (F.col(size_a) + F.col(size_b))
 
 
+def bitmap(shingles: np.ndarray) -> np.ndarray:
+    """One bit per shingle of BITMAP, by its leading bits."""
+    places = np.zeros(BITMAP, np.uint8)
+    places[shingles >> np.uint64(65 - BITMAP.bit_length())] = 1
+    return np.packbits(places).view(np.int64)
+
+
+def _bitmaps(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for part in slices(batches):
+        yield pd.DataFrame({"node": part["node"], "bits": [bitmap(shingle_set(t)) for t in part["text"]]})
+
+
 def _shingles(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for part in slices(batches):
         found = [signed(shingle_set(t)) for t in part["text"]]
@@ -126,20 +148,23 @@ def _shingles(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def _open_buckets(
     tables: DataFrame, sets: DataFrame, labels: DataFrame, texts: DataFrame, alike: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """Rows (key, i, j, node, label, bands, size, alike) of buckets in which labels
+    """Rows (key, i, j, node, label, bands, size, alike, bits) of buckets in which labels
     differ, and alike: how many shingles of each node any other node of them has."""
     named = tables.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     several = named.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y")
     rows = stored(named.join(several.select("key"), "key", "left_semi").select("key", "i", "j", "node", "label"), "open")
     if alike is None:
         nodes = rows.select("node").distinct()
-        found = texts.join(nodes, "node", "left_semi").mapInPandas(_shingles, "node long, shingle long")
+        known = texts.join(nodes, "node", "left_semi")
+        found = known.mapInPandas(_shingles, "node long, shingle long")
+        bits = known.mapInPandas(_bitmaps, "node long, bits array<long>")
         single = found.groupBy("shingle").agg(F.count("*").alias("n"), F.min("node").alias("node")).where("n = 1")
         alone = single.groupBy("node").agg(F.count("*").alias("alone"))
         alike = stored(
             nodes.join(sets.select("node", "size"), "node")
             .join(alone, "node", "left")
-            .select("node", "size", (F.col("size") - F.coalesce("alone", F.lit(0))).alias("alike")),
+            .join(bits, "node")
+            .select("node", "size", (F.col("size") - F.coalesce("alone", F.lit(0))).alias("alike"), "bits"),
             "alike",
         )
     return rows.join(alike, "node").join(sets.select("node", "bands"), "node"), alike
@@ -168,8 +193,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     Equal sets are one node. Of a table's bucket each node first meets the smallest
     one only, then the most typical one. Nodes of a bucket that are still not connected
-    meet each other, each pair in the first table it shares, unless the shingles that
-    no other candidate has rule the link out. So a group of n copies costs about n
+    meet each other, each pair in the first table it shares, unless bitmaps or the
+    shingles that no other candidate has rule the link out. So a group of n copies costs about n
     comparisons, and no possible link is dropped.
 
     A doc_id names one text; a repeated row is in its twin's group. A document without words or text is
@@ -210,14 +235,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     labels = _merged(labels, confirmed(chosen, texts))
 
     open_rows, _ = _open_buckets(tables, sets, labels, texts, alike)
-    a, b = (open_rows.select("key", "i", "j", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "label", "bands", "size", "alike")]) for s in "ab")
+    a, b = (open_rows.select("key", "i", "j", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "label", "bands", "size", "alike", "bits")]) for s in "ab")
     pairs = a.join(
         b,
         (a["key"] == b["key"])
         & (a["i"] == b["i"])
         & (a["j"] == b["j"])
         & (a["label_a"] < b["label_b"])
-        & _possible("size_a", "alike_a", "size_b", "alike_b")
+        & _possible("size_a", "alike_a", "size_b", "alike_b", "bits_a", "bits_b")
         & (_first_equal("bands_a", "bands_b", 0) == a["i"])
         & (_first_equal("bands_a", "bands_b", GROUPS) == a["j"]),
     ).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
