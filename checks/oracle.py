@@ -433,10 +433,12 @@ ORACLE_SQL: dict[str, str] = {
     "opening_balance": _all("opening"),
     "balance_daily": _with(
         ["balances"],
-        """SELECT on_date, account_rk % 10 AS last_digit, count(*) AS accounts,
+        """SELECT account_rk, CAST(date_trunc('month', on_date) AS DATE) AS month,
+                  count(*) AS days,
                   CAST(sum(balance_out) AS DECIMAL(23,8)) AS balance_out,
-                  CAST(sum(balance_out_rub) AS DECIMAL(23,8)) AS balance_out_rub
-           FROM balances GROUP BY on_date, account_rk % 10""",
+                  CAST(sum(balance_out_rub) AS DECIMAL(23,8)) AS balance_out_rub,
+                  min(balance_out) AS least, max(balance_out) AS most
+           FROM balances GROUP BY ALL""",
     ),
     "balance_month_end": _with(
         ["balances"], "SELECT * FROM balances WHERE on_date = last_day(on_date)"
@@ -507,8 +509,7 @@ ORACLE_SQL: dict[str, str] = {
            FROM clients""",
     ),
     "duplicate_key_rows": """
-        SELECT l_orderkey, l_linenumber, l_partkey, l_returnflag
-        FROM lineitem
+        SELECT * REPLACE (CAST(l_shipdate AS DATE) AS l_shipdate) FROM lineitem
         QUALIFY count(*) OVER (PARTITION BY l_orderkey, l_linenumber) > 1""",
     "nonnull_profile": _with(
         ["loan_mart"],

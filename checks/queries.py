@@ -60,14 +60,16 @@ def _balances(spark: SparkSession, sf: str, days: str) -> DataFrame:
 
 
 def balance_daily(spark: SparkSession, sf: str) -> DataFrame:
-    """Every account's balance on every day, added up by day and last digit."""
+    """Every account's balances on every day, by account and month: days, sums, range."""
     return (
         _balances(spark, sf, "all")
-        .groupBy("on_date", (F.col("account_rk") % 10).alias("last_digit"))
+        .groupBy("account_rk", F.trunc("on_date", "MM").alias("month"))
         .agg(
-            F.count(F.lit(1)).alias("accounts"),
+            F.count(F.lit(1)).alias("days"),
             F.sum("balance_out").cast(MONEY).alias("balance_out"),
             F.sum("balance_out_rub").cast(MONEY).alias("balance_out_rub"),
+            F.min("balance_out").alias("least"),
+            F.max("balance_out").alias("most"),
         )
     )
 
@@ -330,6 +332,7 @@ def append_new_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 def full_refresh(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "products")
+    sources.overwrite_table(t.products(spark, sf).limit(7), path)
     sources.overwrite_table(op.dedupe(t.products(spark, sf)), path)
     return sources.read_table(spark, path)
 
@@ -385,9 +388,8 @@ def duplicate_profile(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def duplicate_key_rows(spark: SparkSession, sf: str) -> DataFrame:
-    lines = t.table(spark, sf, "lineitem").select(
-        "l_partkey", "l_orderkey", "l_linenumber", "l_returnflag"
-    )
+    lines = t.table(spark, sf, "lineitem")
+    lines = lines.withColumn("l_shipdate", F.col("l_shipdate").cast("date"))
     return op.duplicate_key_rows(lines, ["l_orderkey", "l_linenumber"])
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from daybook import operators as op
 from daybook import plans, sources
-from daybook.functions import Period, month_of_report
+from daybook.functions import Period, month_of_report, moscow_now
 from daybook.schemas import (
     ACCOUNT_BALANCE,
     DEAL,
@@ -52,6 +52,27 @@ def _log(step: str, df: DataFrame, day: str, folder: str | None) -> None:
         op.run_log(op.step_audit(step, df, day)).write.mode("append").parquet(folder)
 
 
+def _log_message(spark: SparkSession, log_type: str, text: str, folder: str | None) -> None:
+    if folder:
+        entry = spark.createDataFrame([(log_type, text)], "log_type string, log_message string")
+        entry.select(moscow_now().alias("date_time"), "log_type", "log_message").write.mode(
+            "append"
+        ).parquet(folder)
+
+
+def logged(spark: SparkSession, a: argparse.Namespace) -> None:
+    """Run a command between a start message and a message of its end or error. An
+    error is logged with its first line and raised."""
+    name, folder = a.run.__name__.replace("_", "-"), getattr(a, "log", None)
+    _log_message(spark, "info", f"{name}: start", folder)
+    try:
+        a.run(spark, a)
+    except Exception as error:
+        _log_message(spark, "error", f"{name}: {type(error).__name__}: {str(error)[:500]}", folder)
+        raise
+    _log_message(spark, "info", f"{name}: end", folder)
+
+
 def load_detail(spark: SparkSession, a: argparse.Namespace) -> None:
     """Merge the raw files into the detail tables."""
     raw = {
@@ -61,6 +82,9 @@ def load_detail(spark: SparkSession, a: argparse.Namespace) -> None:
     current = {t.name: _table(spark, a.current, t) for t in DETAIL}
     for name, df in plans.load_detail(raw, current).items():
         sources.overwrite_table(df, f"{a.output}/{name}")
+        if a.log:
+            count = sources.read_table(spark, f"{a.output}/{name}").count()
+            _log_message(spark, "info", f"{name}: {count} rows", a.log)
 
 
 def check_detail(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -99,7 +123,8 @@ def close_month(spark: SparkSession, a: argparse.Namespace) -> None:
 
 
 def report(spark: SparkSession, a: argparse.Namespace) -> None:
-    """Form 101 from the stored marts: its table's month is replaced and exported."""
+    """Form 101 from the stored marts: its table's month is replaced, and the whole
+    table exported, or with --month-only the month."""
     period = month_of_report(a.report_date)
     first = Period(period.start, period.start)
     path = f"{a.marts}/{DM_FORM101.name}"
@@ -112,7 +137,8 @@ def report(spark: SparkSession, a: argparse.Namespace) -> None:
     )
     sources.replace_days(op.form101_table(form), path, first, day="from_date")
     stored = _table(spark, a.marts, DM_FORM101).where(first.contains("from_date"))
-    text = op.form101_text(stored.select(DM_FORM101.columns))
+    shown = stored if a.month_only else _table(spark, a.marts, DM_FORM101)
+    text = op.form101_text(shown.select(DM_FORM101.columns))
     sources.write_delimited(text, a.csv)
     _log("form 101", stored, "from_date", a.log)
 
@@ -187,7 +213,7 @@ def _parser() -> argparse.ArgumentParser:
     needed = {"required": True}
     day = {"required": True, "type": date.fromisoformat}
     number = {"type": int, "default": 20}
-    command(load_detail, raw=needed, output=needed, current={"help": "none for a first load"})
+    command(load_detail, raw=needed, output=needed, current={"help": "none for a first load"}, log={})
     command(check_detail, detail=needed)
     command(
         close_month,
@@ -197,7 +223,15 @@ def _parser() -> argparse.ArgumentParser:
         opening={"choices": ("snapshot", "previous_close"), "default": "snapshot"},
         log={},
     )
-    command(report, report_date=day, detail=needed, marts=needed, csv=needed, log={})
+    command(
+        report,
+        report_date=day,
+        detail=needed,
+        marts=needed,
+        csv=needed,
+        month_only={"action": "store_true"},
+        log={},
+    )
     command(import_report, csv=needed, output=needed)
     command(clean_clients, table=needed, output=needed, show=number)
     command(
@@ -214,7 +248,7 @@ def _parser() -> argparse.ArgumentParser:
 
 def main(arguments: list[str] | None = None) -> None:
     args = _parser().parse_args(arguments)
-    args.run(configure(SparkSession.builder.appName("daybook").getOrCreate()), args)
+    logged(configure(SparkSession.builder.appName("daybook").getOrCreate()), args)
 
 
 if __name__ == "__main__":

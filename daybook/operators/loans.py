@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.operators.lookup import BROADCAST_ROWS, left_join_skewed, lookup_join
+from daybook.operators.lookup import left_join_skewed, lookup_join
 from daybook.schemas import LOAN_HOLIDAY, LOAN_HOLIDAY_MART_COLUMNS
 
 
@@ -13,7 +13,6 @@ def loan_holiday_mart(
     deals: DataFrame,
     holidays: DataFrame,
     products: DataFrame,
-    max_broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Every deal version with its loan holiday and its product's name.
 
@@ -52,9 +51,6 @@ def loan_holiday_mart(
         deals,
         names,
         ["product_rk", "deal_from", "deal_name"],
-        spread_by=["deal_rk", "deal_number"],
-        max_rows=max_broadcast_rows,
-        counted=products,
     )
     periods = holidays.select(
         *LOAN_HOLIDAY.columns, F.col("effective_from_date").alias("deal_from")

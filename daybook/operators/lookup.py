@@ -5,51 +5,19 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-# A broadcast row here is a few keys and values, around a hundred bytes.
-BROADCAST_ROWS = 200_000
-SALTS = 16
-_SALT = "_salt"
-
-
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows. Each task stops reading after
-    one row more than that, so the check stays cheap on a large table."""
-    return df.limit(max_rows + 1).count() <= max_rows
 
 
 def lookup_join(
-    facts: DataFrame,
-    dimension: DataFrame,
-    keys: Sequence[str],
-    spread_by: Sequence[str],
-    how: str = "left",
-    max_rows: int = BROADCAST_ROWS,
-    salts: int = SALTS,
-    counted: DataFrame | None = None,
+    facts: DataFrame, dimension: DataFrame, keys: Sequence[str], how: str = "left"
 ) -> DataFrame:
     """Join ``facts`` to ``dimension`` on equal ``keys``.
 
-    A dimension counted at no more than ``max_rows`` rows is broadcast, so the
-    facts stay where they are. A larger one is joined by shuffle with every key
-    split over ``salts`` parts: a key used by a third of the facts (such as the
-    ruble), or facts without a key, would otherwise end up in one task. Facts
-    are spread by the hash of ``spread_by``, which keeps retried tasks the same;
-    each dimension row is repeated once per part. Both ways give the same rows.
-
-    ``counted`` is what to count instead of ``dimension`` when that is costly to
-    compute, such as its rows before copies are removed.
+    Nothing is counted or forced: Spark broadcasts a dimension whose size in bytes
+    is under its threshold, as estimated and again as measured at run time. A larger
+    one is shuffled, and adaptive execution splits the facts of an overfull key (such
+    as the ruble, or facts without a key) over several tasks.
     """
-    if fits_broadcast(dimension if counted is None else counted, max_rows):
-        return facts.join(F.broadcast(dimension), list(keys), how)
-    spread = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
-    copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    return (
-        facts.withColumn(_SALT, spread)
-        .join(dimension.withColumn(_SALT, copies), [*keys, _SALT], how)
-        .drop(_SALT)
-    )
+    return facts.join(dimension, list(keys), how)
 
 
 def left_join_skewed(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:

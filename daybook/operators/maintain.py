@@ -12,7 +12,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybook.operators.lookup import BROADCAST_ROWS, fits_broadcast
 
 
 def _unique_keys(source: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
@@ -95,42 +94,32 @@ def replace_slice(target: DataFrame, in_slice: Column, new: DataFrame) -> DataFr
 
 
 
-def append_new(
-    target: DataFrame, source: DataFrame, max_broadcast_rows: int = BROADCAST_ROWS
-) -> DataFrame:
+def append_new(target: DataFrame, source: DataFrame) -> DataFrame:
     """Add the rows of ``source`` that ``target`` does not hold yet.
 
     Repeated new rows are added once; rows already in ``target`` stay as they are,
     repeated or not. NULLs compare as equal.
 
-    A source counted at no more than ``max_broadcast_rows`` rows is broadcast to find
-    which of its rows are stored; the target is only scanned then. A larger one is
-    grouped together with the target by whole rows, where copies are merged in each
-    map task before the shuffle, however many there are.
+    Rows meet by a 64-bit hash of all columns, so of the target only hashes move. The
+    target's rows whose hash the source has, about as many as the source repeats, are
+    then compared whole, so that an equal hash of other rows drops nothing.
     """
+    return _append_new(target, source, F.xxhash64(*target.columns))
+
+
+def _append_new(target: DataFrame, source: DataFrame, row_hash: Column) -> DataFrame:
     columns = target.columns
-    source = source.select(columns)
-    if not fits_broadcast(source, max_broadcast_rows):
-        both = source.withColumn("_stored", F.lit(0)).unionByName(
-            target.withColumn("_stored", F.lit(1))
-        )
-        grouped = both.groupBy(*columns).agg(F.max("_stored").alias("_stored"))
-        return target.unionByName(grouped.where(F.col("_stored") == 0).select(columns))
-
-    def same(left: str, right: str) -> Column:
-        return reduce(
-            lambda a, b: a & b,
-            [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in columns],
-        )
-
-    fresh = F.broadcast(source.distinct()).alias("fresh")
-    held = target.alias("target").join(fresh, same("target", "fresh"), "left_semi").distinct()
-    new = (
-        source.distinct()
-        .alias("fresh")
-        .join(F.broadcast(held).alias("held"), same("fresh", "held"), "left_anti")
+    fresh = source.select(columns).distinct().withColumn("_hash", row_hash)
+    hashed = target.withColumn("_hash", row_hash)
+    absent = fresh.join(hashed.select("_hash"), "_hash", "left_anti")
+    doubtful = fresh.join(hashed.select("_hash"), "_hash", "left_semi")
+    held = hashed.join(doubtful.select("_hash"), "_hash", "left_semi")
+    same = reduce(
+        lambda a, b: a & b,
+        [F.col(f"fresh.{c}").eqNullSafe(F.col(f"held.{c}")) for c in ["_hash", *columns]],
     )
-    return target.unionByName(new.select(columns))
+    other = doubtful.alias("fresh").join(held.alias("held"), same, "left_anti")
+    return target.unionByName(absent.select(columns)).unionByName(other.select(columns))
 
 
 def dedupe(df: DataFrame) -> DataFrame:

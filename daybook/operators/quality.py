@@ -10,13 +10,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from daybook.functions import moscow_now, text_message
-from daybook.operators.lookup import BROADCAST_ROWS
 from daybook.schemas import MONEY, Table
 
 # The titles of the two-row duplicate profile.
 TOTAL_TITLE = "всего записей"
 UNIQUE_TITLE = "уникальных записей"
 
+# Keys broadcast at most by duplicate_key_rows; each is a few values.
+HEAVY_KEYS = 200_000
+
 
 def _count_if(condition: Column) -> Column:
     return F.count(F.when(condition, 1))
@@ -94,7 +96,7 @@ def duplicate_profile(df: DataFrame) -> DataFrame:
 
 
 def duplicate_key_rows(
-    df: DataFrame, keys: Sequence[str], max_broadcast_rows: int = BROADCAST_ROWS
+    df: DataFrame, keys: Sequence[str], max_broadcast_rows: int = HEAVY_KEYS
 ) -> DataFrame:
     """All rows whose key occurs more than once, key columns first. Rows with a
     NULL in the key are not listed.

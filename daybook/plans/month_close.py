@@ -14,6 +14,7 @@ from daybook.operators.form101 import form101, form101_table, form101_text
 from daybook.operators.maintain import replace_slice
 from daybook.operators.turnover import turnover
 from daybook.schemas import DM_BALANCE, DM_TURNOVER
+from daybook.session import scratch_path
 from daybook.sources.readers import read_table
 from daybook.sources.writers import replace_days, write_delimited
 
@@ -76,20 +77,26 @@ def publish_month(
     balance_path: str,
     opening: Literal["snapshot", "previous_close"] = "snapshot",
     days: Literal["all", "month_ends"] = "all",
-    compact: bool = True,
+    compact: bool = False,
 ) -> MonthClose:
     """Close a period into marts stored by day, and return its stored rows.
     ``days="month_ends"`` stores only the balances form 101 needs. ``compact`` moves
     the balances once more, to write few large files per day; without it every task
     writes its own file for each day.
 
-    Balances are computed from the turnover as stored, and whatever follows reads
-    the stored balances: each step starts from files, so a lost executor costs a
-    retried task and a failed job can be run again from the beginning.
+    Turnover and balances are both computed into a scratch folder before either mart
+    is touched: a close that fails leaves the stored month as it was. Each step starts
+    from files, so a lost executor costs a retried task and a failed job can be run
+    again from the beginning.
     """
     spark = postings.sparkSession
-    replace_days(turnover(postings, accounts, rates, period), turnover_path, period)
-    moves = read_table(spark, turnover_path, schema=DM_TURNOVER.schema).where(period.contains("on_date"))
+
+    def staged(df: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(spark, name)
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    moves = staged(turnover(postings, accounts, rates, period), "turnover")
     if opening == "snapshot":
         seeds = opening_balances(snapshot, accounts, rates, period)
         replaced = Period(period.day_before, period.end)
@@ -99,7 +106,12 @@ def publish_month(
         seeds = stored.where(F.col("on_date") == F.lit(period.day_before))
         replaced = period
         rows = balances(accounts, moves, seeds, period, days)
+    rows = staged(rows, "balances")
+    replace_days(moves, turnover_path, period)
     replace_days(rows, balance_path, replaced, compact=compact)
+    moves = read_table(spark, turnover_path, schema=DM_TURNOVER.schema).where(
+        period.contains("on_date")
+    )
     carried = read_table(spark, balance_path, schema=DM_BALANCE.schema).where(
         replaced.contains("on_date")
     )

@@ -29,14 +29,15 @@ def read_delimited(
     schema: T.StructType | None = None,
     encoding: str = "utf-8",
     dedupe: bool = False,
-    mode: str = "PERMISSIVE",
+    mode: str | None = None,
 ) -> DataFrame:
     """Files with a header line. Without ``schema`` every column is text.
 
     ``dedupe`` keeps one of each fully identical row. For a table without a key
     it also merges genuinely repeated records, so it is the caller's choice.
-    ``mode`` says what a malformed line does: by default unreadable fields become
-    NULL; ``FAILFAST`` raises.
+    ``mode`` says what a malformed line does. With ``schema`` it raises by default
+    (``FAILFAST``), also for a missing or surplus field; without, short lines are
+    filled up with NULLs (``PERMISSIVE``), and typing raises later.
 
     Windows code pages, which Spark does not read by name, are read byte for
     byte and translated afterwards; that needs a single-byte encoding.
@@ -46,7 +47,9 @@ def read_delimited(
         sep=sep,
         header=True,
         encoding=encoding if known else "iso-8859-1",
-        mode=mode,
+        mode=mode or ("PERMISSIVE" if schema is None else "FAILFAST"),
+        # A line is read whole, or its number of fields would go unchecked.
+        columnPruning=False,
     )
     df = (reader.schema(schema) if schema is not None else reader).csv(path)
     if not known:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from daybook.functions import Period
 
@@ -26,29 +27,54 @@ def write_delimited(
 
 
 def replace_days(
-    df: DataFrame, path: str, period: Period, day: str = "on_date", compact: bool = True
+    df: DataFrame, path: str, period: Period, day: str = "on_date", compact: bool = False
 ) -> None:
     """Replace the days of ``period`` in a parquet table partitioned by ``day``.
 
-    Days without rows in ``df`` end up empty, which dynamic partition overwrite
-    alone would not do, so the period's folders are removed first: at most one
-    per day of the period, whatever the size of the table. Other days are not
-    read or rewritten. ``df`` must hold only days of the period and must not
-    read them from ``path``. Running it again after a failure is safe.
+    The new days are written beside the old ones and take their place when the job
+    has succeeded; if it fails, the stored days stay as they were. Then the period's
+    days that ``df`` does not hold are removed. Other days are not read or rewritten.
+    A row outside the period or without a day raises. ``df`` must not read the
+    period's days from ``path``. Running it again after a failure is safe.
 
     ``compact`` brings each day's rows together before writing, so that a day has
     as many files as its size asks for and not one per task; adaptive execution
-    cuts large days into several parts.
+    cuts large days into several parts. It moves all rows once more.
     """
-    spark = df.sparkSession
+    inside = F.coalesce(period.contains(day), F.lit(False))
+    stray = F.raise_error(F.lit(f"a row to store has no {day} in {period.start} to {period.end}"))
+    rows = df.withColumn(day, F.when(inside, F.col(day)).otherwise(stray.cast("date")))
+    if compact:
+        rows = rows.hint("rebalance", day)
+    before = _files_by_day(df.sparkSession, path, period, day)
+    (
+        rows.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(day)
+        .parquet(path)
+    )
+    # A day that was overwritten has none of its old files left.
+    for folder, names in _files_by_day(df.sparkSession, path, period, day).items():
+        if names & before.get(folder, set()):
+            _delete_folder(df.sparkSession, folder)
+
+
+def _files_by_day(
+    spark: SparkSession, path: str, period: Period, day: str
+) -> dict[str, set[str]]:
+    """The data files of each stored day of the period: as many folders as it has days."""
     root = spark._jvm.org.apache.hadoop.fs.Path(path)
     files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    found: dict[str, set[str]] = {}
     if files.exists(root):
         for entry in files.listStatus(root):
             name, _, value = entry.getPath().getName().partition("=")
             if name == day and period.start.isoformat() <= value <= period.end.isoformat():
-                files.delete(entry.getPath(), True)
-    rows = df.where(period.contains(day))
-    if compact:
-        rows = rows.hint("rebalance", day)
-    rows.write.mode("append").partitionBy(day).parquet(path)
+                own = {x.getPath().getName() for x in files.listStatus(entry.getPath())}
+                found[entry.getPath().toString()] = own
+    return found
+
+
+def _delete_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -4,6 +4,13 @@ from pyspark.sql import SparkSession
 from daybook.session import configure
 
 
+@pytest.fixture(autouse=True)
+def usual_broadcast(request):
+    yield
+    if "spark" in request.fixturenames:
+        request.getfixturevalue("spark").conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 @pytest.fixture(scope="session")
 def spark():
     session = (

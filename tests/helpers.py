@@ -12,6 +12,7 @@ from daybook.schemas import (
     MD_LEDGER_ACCOUNT,
 )
 
+BROADCAST = "spark.sql.autoBroadcastJoinThreshold"
 JAN = (date(2018, 1, 1), date(2018, 1, 31))
 A, P = "А", "П"
 

@@ -6,7 +6,7 @@ from pyspark.errors import PySparkException
 
 from daybook.functions import Period
 from daybook.operators import balances, opening_balances, turnover
-from helpers import JAN, A, P, accounts, day, mart, num, postings, rates, rows, snapshot
+from helpers import BROADCAST, JAN, A, P, accounts, day, mart, num, postings, rates, rows, snapshot
 
 PERIOD = Period(*JAN)
 BEFORE = PERIOD.day_before
@@ -69,8 +69,9 @@ def test_opening_uses_the_snapshots_currency_and_the_day_before_rate(spark):
     )
     rate = rates(spark, (978, day(1, 12, 2017), BEFORE, 70), (978, day(1), day(31), 80),
                  (840, day(1, 12, 2017), day(31), 60))
-    for max_rows in (0, 1000):
-        result = opening_balances(snap, acc, rate, PERIOD, max_broadcast_rows=max_rows)
+    for threshold in ("-1", "10m"):
+        spark.conf.set(BROADCAST, threshold)
+        result = opening_balances(snap, acc, rate, PERIOD)
         assert rows(result) == [
             (BEFORE, 1, num(10), num(700)),
             (BEFORE, 3, num(10), num(10)),

@@ -2,6 +2,7 @@ import re
 from datetime import date
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from daybook.functions import Period, month_of_report
@@ -10,7 +11,7 @@ from daybook.plans import close_month, export_form101, publish_month
 from daybook.schemas import DM_FORM101, FORM101_MEASURES
 from daybook.session import scratch_path
 from daybook.sources import read_form101_csv
-from helpers import JAN, A, P, accounts, day, ledger, mart, num, postings, rates, rows, snapshot
+from helpers import BROADCAST, JAN, A, P, accounts, day, ledger, mart, num, postings, rates, rows, snapshot
 
 PERIOD = Period(*JAN)
 BEFORE = PERIOD.day_before
@@ -46,8 +47,9 @@ def case(spark):
 def test_report_of_a_month(spark):
     acc, plan, post, rate, snap = case(spark)
     close = close_month(post, acc, rate, snap, PERIOD)
-    for max_rows in (0, 1000):
-        report = form101(acc, plan, close.turnover, close.balances, PERIOD, max_rows)
+    for threshold in ("-1", "10m"):
+        spark.conf.set(BROADCAST, threshold)
+        report = form101(acc, plan, close.turnover, close.balances, PERIOD)
         # Two account types give two rows; a ledger account not valid all month, an
         # account opened in mid-month and an unknown ledger account give none.
         assert rows(report, *HEAD) == sorted([("30102", A), ("30102", P)], key=repr)
@@ -167,6 +169,16 @@ def test_published_marts_equal_the_computed_ones_and_rerun_changes_nothing(spark
     assert kept.count() == stored.balances.count()
 
 
+def test_failed_close_leaves_the_stored_month(spark):
+    acc, _, post, rate, snap = case(spark)
+    paths = scratch_path(spark, "t"), scratch_path(spark, "b")
+    publish_month(post, acc, rate, snap, PERIOD, *paths)
+    before = [rows(spark.read.parquet(p)) for p in paths]
+    with pytest.raises(PySparkException):
+        publish_month(post, acc.unionByName(acc), rate, snap, PERIOD, *paths)
+    assert [rows(spark.read.parquet(p)) for p in paths] == before
+
+
 def test_rerun_of_a_slice_changes_nothing(spark):
     acc, _, post, rate, snap = case(spark)
     close = close_month(post, acc, rate, snap, PERIOD)

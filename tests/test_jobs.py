@@ -1,3 +1,5 @@
+import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from daybook import sources
@@ -40,8 +42,9 @@ def test_load_close_report_and_import(spark):
         main(["close-month", "--report-date", report_date, *place, "--opening", opening])
         main(["report", "--report-date", report_date, *place, "--csv", f"{base}/csv-{report_date}"])
     main(["import-report", "--csv", f"{base}/csv-2018-03-01", "--output", f"{base}/v2"])
-    imported = sources.read_table(spark, f"{base}/v2").first()
-    assert (imported.from_date, imported.characteristic) == (day(1, 2), A)
+    months = sources.read_table(spark, f"{base}/v2")
+    assert rows(months, "from_date") == [(day(1),), (day(1, 2),)]
+    imported = months.where(F.col("from_date") == F.lit(day(1, 2))).first()
     assert imported.balance_in_rub == num("93.5") and imported.balance_out_rub == num("92.5")
     stored = sources.read_table(spark, f"{base}/dm/dm_f101_round_f")
     assert rows(stored, "from_date", "balance_out_total") == [
@@ -50,6 +53,12 @@ def test_load_close_report_and_import(spark):
     ]
     log = {r.log_message for r in spark.read.parquet(f"{base}/logs").collect()}
     assert {"turnover 2018-01-05: 1 rows", "form 101 2018-01-01: 1 rows"} <= log
+    assert imported.characteristic == A
+    assert {"close-month: start", "report: end"} <= log
+    with pytest.raises(PySparkException):
+        main(["close-month", "--report-date", "2018-02-01", *place[:-2], "--detail", f"{base}/none", "--log", f"{base}/logs"])
+    failed = spark.read.parquet(f"{base}/logs").where("log_type = 'error'").collect()
+    assert len(failed) == 1 and failed[0].log_message.startswith("close-month: ")
     assert "legs of accounts not valid 2018-01-05: 1 rows" in log
 
 

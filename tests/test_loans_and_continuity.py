@@ -13,7 +13,7 @@ from daybook.operators import (
 )
 from daybook.plans import refresh_loans
 from daybook.schemas import ACCOUNT_BALANCE, DEAL, LOAN_HOLIDAY, PRODUCT
-from helpers import day, num, rows
+from helpers import BROADCAST, day, num, rows
 
 D1, D2, FAR = day(1), day(1, 2), day(31, 12, 2050)
 
@@ -37,8 +37,9 @@ def products(spark, *data):
     return spark.createDataFrame(list(data), PRODUCT.schema)
 
 
-@pytest.mark.parametrize("max_rows", [0, 1000])
-def test_loan_holiday_mart(spark, max_rows):
+@pytest.mark.parametrize("threshold", ["-1", "10m"])
+def test_loan_holiday_mart(spark, threshold):
+    spark.conf.set(BROADCAST, threshold)
     deal = deals(spark, (1, 10, "loan", D1), (2, 10, "other", D1), (3, None, None, D1), (4, 20, "x", D1))
     holiday = holidays(spark, (1, "H", D1, day(9)), (1, "H2", D2, day(9)), (4, "H", D1, D2))
     product = products(
@@ -49,7 +50,7 @@ def test_loan_holiday_mart(spark, max_rows):
         (20, "x", D1, day(9)),
         (20, "x", D2, FAR),
     )
-    result = loan_holiday_mart(deal, holiday, product, max_broadcast_rows=max_rows)
+    result = loan_holiday_mart(deal, holiday, product)
     columns = ["deal_rk", "effective_from_date", "effective_to_date", "product_name",
                "loan_holiday_type_cd", "deal_sum"]
     cost = deal.first().deal_sum
@@ -128,15 +129,16 @@ def test_preview_is_ordered_and_short(spark):
     assert [r.account_rk for r in preview(df, ["account_rk"]).collect()] == list(range(1, 41))
 
 
-@pytest.mark.parametrize("max_rows", [0, 1000])
-def test_account_balance_turnover(spark, max_rows):
+@pytest.mark.parametrize("threshold", ["-1", "10m"])
+def test_account_balance_turnover(spark, threshold):
+    spark.conf.set(BROADCAST, threshold)
     accounts = spark.createDataFrame(
         [(1, 9, "810"), (2, 9, "999"), (3, 9, None)],
         "account_rk long, department_rk long, currency_cd string",
     )
     names = spark.createDataFrame([("810", "RUB")], "currency_cd string, currency_name string")
     df = balances(spark, (1, day(1), 0, 1), (1, day(2), 1, 2), (3, day(1), 0, 3))
-    result = account_balance_turnover(accounts, df, names, max_broadcast_rows=max_rows)
+    result = account_balance_turnover(accounts, df, names)
     assert rows(result) == sorted(
         [
             (1, "RUB", 9, day(1), num(0), num(1)),

@@ -3,9 +3,28 @@ from types import SimpleNamespace
 import pytest
 from pyspark.sql import functions as F
 
-from daybook.operators.lookup import fits_broadcast, left_join_skewed, lookup_join
+from daybook.functions import Period
+from daybook.operators import (
+    append_new,
+    balances,
+    form101,
+    loan_holiday_mart,
+    opening_balances,
+    turnover,
+)
+from daybook.operators.lookup import left_join_skewed, lookup_join
+from daybook.schemas import (
+    DEAL,
+    FT_BALANCE,
+    LOAN_HOLIDAY,
+    MD_EXCHANGE_RATE,
+    MD_LEDGER_ACCOUNT,
+    PRODUCT,
+)
 from daybook.session import scratch_path
-from helpers import rows
+from helpers import BROADCAST, JAN, A, accounts, day, postings, rows
+
+PERIOD = Period(day(1), day(31))
 
 
 def facts(spark):
@@ -21,30 +40,32 @@ def dimension(spark):
 
 
 @pytest.mark.parametrize("how", ["left", "inner"])
-@pytest.mark.parametrize("max_rows", [0, 31, 32])
-def test_broadcast_and_split_join_give_the_plain_join(spark, how, max_rows):
+@pytest.mark.parametrize("threshold", ["-1", "10m"])
+def test_lookup_gives_the_plain_join(spark, how, threshold):
+    spark.conf.set(BROADCAST, threshold)
     left, right = facts(spark), dimension(spark)
-    joined = lookup_join(left, right, ["k"], ["id"], how, max_rows=max_rows, salts=5)
+    joined = lookup_join(left, right, ["k"], how)
     plain = left.join(right, "k", how)
     assert joined.columns == plain.columns
     assert rows(joined) == rows(plain)
-
-
-def test_size_check_is_exact(spark):
-    assert fits_broadcast(dimension(spark), 32)
-    assert not fits_broadcast(dimension(spark), 31)
-
-
-def test_large_dimension_is_not_broadcast_by_hint(spark):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        small = lookup_join(facts(spark), dimension(spark), ["k"], ["id"])
-        large = lookup_join(facts(spark), dimension(spark), ["k"], ["id"], max_rows=3)
-        plans = [df._jdf.queryExecution().executedPlan().toString() for df in (small, large)]
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "BroadcastHashJoin" in plans[0]
-    assert "SortMergeJoin" in plans[1] and "BroadcastHashJoin" not in plans[1]
+    physical = joined._jdf.queryExecution().executedPlan().toString()
+    assert ("BroadcastHashJoin" in physical) == (threshold != "-1")
+
+
+def test_building_operators_starts_no_job(spark):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "nothing runs yet")
+    post, acc = postings(spark, (day(5), 1, 2, 1, 1)), accounts(spark, (1, A, *JAN))
+    rate = spark.createDataFrame([], MD_EXCHANGE_RATE.schema)
+    moves = turnover(post, acc, rate, PERIOD)
+    seeds = opening_balances(spark.createDataFrame([], FT_BALANCE.schema), acc, rate, PERIOD)
+    marts = balances(acc, moves, seeds, PERIOD)
+    form101(acc, spark.createDataFrame([], MD_LEDGER_ACCOUNT.schema), moves, marts, PERIOD)
+    append_new(facts(spark), facts(spark))
+    deal, holiday, product = (spark.createDataFrame([], t.schema) for t in (DEAL, LOAN_HOLIDAY, PRODUCT))
+    loan_holiday_mart(deal, holiday, product)
+    assert not tracker.getJobIdsForGroup("building")
+    spark.sparkContext.setJobGroup("tests", "")
 
 
 @pytest.mark.parametrize("threshold", ["-1", "10m"])

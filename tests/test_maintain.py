@@ -3,7 +3,8 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from daybook.operators import append_new, dedupe, replace_slice, upsert
-from helpers import rows
+from daybook.operators.maintain import _append_new
+from helpers import BROADCAST, rows
 
 
 def table(spark, *data):
@@ -52,25 +53,35 @@ def test_replace_slice_keeps_rows_with_unknown_condition(spark):
     ]
 
 
-@pytest.mark.parametrize("max_rows", [0, 1000])
-def test_append_new_compares_nulls_and_adds_copies_once(spark, max_rows):
+@pytest.mark.parametrize("threshold", ["-1", "10m"])
+def test_append_new_compares_nulls_and_adds_copies_once(spark, threshold):
+    spark.conf.set(BROADCAST, threshold)
     target = table(spark, (1, None, "x"), (1, None, "x"), (2, "a", "b"))
     source = table(spark, (1, None, "x"), (3, None, None), (3, None, None), (2, "a", None))
-    result = append_new(target, source, max_rows)
+    result = append_new(target, source)
     assert rows(result) == sorted(
         [(1, None, "x"), (1, None, "x"), (2, "a", "b"), (3, None, None), (2, "a", None)], key=repr
     )
-    assert rows(append_new(result, source, max_rows)) == rows(result)
+    assert rows(append_new(result, source)) == rows(result)
 
 
-@pytest.mark.parametrize("max_rows", [0, 1000])
-def test_append_new_with_many_copies(spark, max_rows):
+@pytest.mark.parametrize("threshold", ["-1", "10m"])
+def test_append_new_with_many_copies(spark, threshold):
+    spark.conf.set(BROADCAST, threshold)
     held = [(i % 50, "a", None) for i in range(300)] + [(7, "a", None)] * 200
     source = [(i, "a", None) for i in range(100)] * 2 + [(777, "b", None)] * 200
-    result = append_new(table(spark, *held), table(spark, *source), max_rows)
+    result = append_new(table(spark, *held), table(spark, *source))
     assert result.count() == 500 + 50 + 1
 
 
+def test_append_new_tells_rows_of_equal_hash_apart(spark):
+    target = table(spark, (1, "a", "x"), (2, "a", None))
+    source = table(spark, (1, "a", "y"), (2, "a", None), (3, None, None))
+    result = _append_new(target, source, F.lit(7).cast("long"))
+    assert rows(result) == rows(append_new(target, source))
+    assert result.count() == 4
+
+
 def test_dedupe_keeps_one_of_identical_rows(spark):
     df = table(spark, (1, None, "x"), (1, None, "x"), (1, None, "y"))
     assert rows(dedupe(df)) == [(1, None, "x"), (1, None, "y")]

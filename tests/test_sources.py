@@ -3,6 +3,7 @@ from decimal import Decimal
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from daybook.functions import (
     Period,
@@ -15,6 +16,7 @@ from daybook.functions import (
 )
 from daybook.plans import load_detail, typed_balances, typed_postings
 from daybook.schemas import (
+    DM_BALANCE,
     DEAL,
     FT_BALANCE,
     FT_POSTING,
@@ -152,6 +154,28 @@ def test_tables_and_replaced_days(spark):
     assert rows(stored) == [(day(2), num(5)), (day(9), num(9))]
 
 
+def test_stray_rows_raise_and_stored_days_stay(spark):
+    path = scratch_path(spark, "days")
+    week = Period(day(1), day(7))
+    replace_days(mart(spark, (day(1), 1, 1, 1), (day(2), 1, 1, 1)), path, week)
+    before = rows(read_table(spark, path))
+    for stray in (day(8), None):
+        with pytest.raises(PySparkException):
+            replace_days(mart(spark, (day(3), 1, 5, 5), (stray, 1, 1, 1)), path, week)
+        assert rows(read_table(spark, path)) == before
+    replace_days(mart(spark), path, week)
+    assert read_table(spark, path, schema=DM_BALANCE.schema).count() == 0
+
+
+@pytest.mark.parametrize("line", ["1;x", "1", "1;2;3"])
+def test_malformed_typed_lines_raise(spark, line):
+    path = scratch_path(spark, "lines")
+    spark.createDataFrame([("a;b",), ("5;6",), (line,)], "value string").coalesce(1).write.text(path)
+    typed = read_delimited(spark, path, schema=T.StructType.fromDDL("a int, b int"))
+    with pytest.raises(Exception, match="(?i)malformed"):
+        typed.collect()
+
+
 def test_detail_load_merges_dimensions_and_replaces_postings(spark):
     def text(columns, *data):
         return spark.createDataFrame(list(data), ", ".join(f"{c.upper()} string" for c in columns))

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from daybook.functions import Period
 from daybook.operators import dropped_legs, turnover
-from helpers import JAN, A, P, accounts, day, num, postings, rates, rows
+from helpers import BROADCAST, JAN, A, P, accounts, day, num, postings, rates, rows
 
 PERIOD = Period(*JAN)
 
@@ -75,15 +75,16 @@ def test_two_rates_on_one_day_count_twice(spark):
     assert rows(result, "credit_amount", "credit_amount_rub") == [(num(20), num(50))]
 
 
-@pytest.mark.parametrize("max_rows", [0, 1000])
-def test_hot_account_and_currency_give_the_same_either_way(spark, max_rows):
+@pytest.mark.parametrize("threshold", ["-1", "10m"])
+def test_hot_account_and_currency_give_the_same_either_way(spark, threshold):
+    spark.conf.set(BROADCAST, threshold)
     acc = accounts(spark, *[(k, A, *JAN, 34 if k < 40 else 840) for k in range(60)])
     post = postings(
         spark,
         *[(day(1 + i % 31), 1 if i % 3 == 0 else i % 60, (i * 7) % 60, i, i) for i in range(600)],
     )
     rate = rates(spark, (840, *JAN, "57.6"), (34, day(10), day(20), "2.5"))
-    result = turnover(post, acc, rate, PERIOD, max_broadcast_rows=max_rows)
+    result = turnover(post, acc, rate, PERIOD)
     expected = {}
     for i in range(600):
         d = day(1 + i % 31)
