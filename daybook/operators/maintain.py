@@ -13,21 +13,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def _one_per_key(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``source``, raising when it is read if a key is repeated or NULL.
 
-def _unique_keys(source: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """The keys of ``source``, and a frame with no rows that raises on bad keys.
-
-    Both hang on the same aggregation, so it runs once. Counting per key keeps a
-    key repeated very often from being gathered in one place.
+    Counting per key keeps a key repeated very often from being gathered in one place.
     """
-    counted = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    rest = [F.any_value(c).alias(c) for c in source.columns if c not in keys]
+    counted = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), *rest)
     given = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     check = F.assert_true(
         (F.col("_rows") == 1) & given, F.lit(f"upsert needs one row per key {list(keys)}")
     )
-    good = counted.where(check.isNull()).select(*keys)
-    none = counted.where(check.isNotNull()).select(*keys)
-    return good, none
+    return counted.where(check.isNull()).drop("_rows")
 
 
 def upsert(
@@ -40,8 +37,9 @@ def upsert(
     ones inserted, the rest stays. Repeated or NULL source keys raise.
 
     ``columns`` are those the source supplies, by default all. Others keep their
-    value in updated rows and are NULL in inserted ones. A source small enough to
-    be broadcast leaves the target unshuffled.
+    value in updated rows and are NULL in inserted ones. With all columns the target
+    loses the source's keys and gains its rows, and a source small enough to be
+    broadcast leaves it unshuffled; with some, both are read once and meet in one join.
     """
     keys = list(keys)
     supplied = list(columns) if columns is not None else target.columns
@@ -49,24 +47,17 @@ def upsert(
     if missing:
         raise ValueError(f"the source must supply its keys, lacks {sorted(missing)}")
     kept = [c for c in target.columns if c not in supplied]
-    source = source.select(supplied)
-    good, none = _unique_keys(source, keys)
-    raising = none.select(
-        *[
-            F.col(f.name) if f.name in keys else F.lit(None).cast(f.dataType).alias(f.name)
-            for f in target.schema
-        ]
-    )
+    source = _one_per_key(source.select(supplied), keys)
     if not kept:
-        stays = target.join(good, keys, "left_anti")
-        return stays.unionByName(source.select(target.columns)).unionByName(raising)
+        stays = target.join(source.select(keys), keys, "left_anti")
+        return stays.unionByName(source.select(target.columns))
 
     fresh = source.select(
         *keys,
         F.lit(True).alias("_matched"),
         *[F.col(c).alias(f"_new_{c}") for c in supplied if c not in keys],
     )
-    updated = target.join(fresh, keys, "left").select(
+    return target.join(fresh, keys, "full_outer").select(
         *[
             F.when(F.col("_matched"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c)
             if c in supplied and c not in keys
@@ -74,16 +65,6 @@ def upsert(
             for c in target.columns
         ]
     )
-    # Target keys that are also in the source: no more than the source has, so the
-    # second pass over the target (keys only) shrinks before anything is shuffled.
-    known = target.select(keys).join(good, keys, "left_semi")
-    inserted = source.join(known, keys, "left_anti").select(
-        *[
-            F.col(f.name) if f.name in supplied else F.lit(None).cast(f.dataType).alias(f.name)
-            for f in target.schema
-        ]
-    )
-    return updated.unionByName(inserted).unionByName(raising)
 
 
 def replace_slice(target: DataFrame, in_slice: Column, new: DataFrame) -> DataFrame:
@@ -92,8 +73,6 @@ def replace_slice(target: DataFrame, in_slice: Column, new: DataFrame) -> DataFr
     return target.where(~F.coalesce(in_slice, F.lit(False))).unionByName(new)
 
 
-
-
 def append_new(target: DataFrame, source: DataFrame) -> DataFrame:
     """Add the rows of ``source`` that ``target`` does not hold yet.
 

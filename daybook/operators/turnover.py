@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daybook.functions import Period, clip_to_period, days_of, money, valid_on
@@ -24,32 +24,32 @@ def daily_rates(rates: DataFrame, period: Period) -> DataFrame:
     )
 
 
+def _leg(side: str) -> Column:
+    """One side of a posting, with the columns of both sides."""
+
+    def amount(of: str) -> Column:
+        value = F.col(f"{of}_amount") if of == side else F.lit(None)
+        return value.cast(MONEY).alias(f"{of}_amount")
+
+    return F.struct(
+        F.col(f"{side}_account_rk").alias("account_rk"),
+        amount("credit"),
+        amount("debet"),
+        F.lit(int(side == "credit")).alias("credit_legs"),
+        F.lit(int(side == "debet")).alias("debet_legs"),
+    )
+
+
 def posting_legs(postings: DataFrame, period: Period) -> DataFrame:
     """Amounts of the period per day and account, one column per side.
 
-    Each side is read with only its own columns and both meet in one
-    aggregation, so an account with a large share of the postings is reduced to
-    one row per day in every map task before anything is shuffled.
+    Postings are read once, and both sides meet in one aggregation, so an account
+    with a large share of the postings is reduced to one row per day in every map
+    task before anything is shuffled.
     """
-    postings = postings.where(period.contains("oper_date"))
-    credit = postings.select(
-        F.col("oper_date").alias("on_date"),
-        F.col("credit_account_rk").alias("account_rk"),
-        F.col("credit_amount").cast(MONEY).alias("credit_amount"),
-        F.lit(None).cast(MONEY).alias("debet_amount"),
-        F.lit(1).alias("credit_legs"),
-        F.lit(0).alias("debet_legs"),
-    )
-    debet = postings.select(
-        F.col("oper_date").alias("on_date"),
-        F.col("debet_account_rk").alias("account_rk"),
-        F.lit(None).cast(MONEY).alias("credit_amount"),
-        F.col("debet_amount").cast(MONEY).alias("debet_amount"),
-        F.lit(0).alias("credit_legs"),
-        F.lit(1).alias("debet_legs"),
-    )
     return (
-        credit.unionByName(debet)
+        postings.where(period.contains("oper_date"))
+        .select(F.col("oper_date").alias("on_date"), F.inline(F.array(_leg("credit"), _leg("debet"))))
         .groupBy("on_date", "account_rk")
         .agg(
             money(F.sum("credit_amount")).alias("credit_amount"),
