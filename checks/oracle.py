@@ -446,15 +446,29 @@ ORACLE_SQL: dict[str, str] = {
     "form101": _all("form"),
     "f101_export": _form_table("CAST({0} AS VARCHAR)", "CAST(NULL AS DECIMAL(23,8))"),
     "f101_csv_roundtrip": _form_table("{0}", "CAST(NULL AS DECIMAL(23,8))"),
-    "month_close_stored": _all("form").replace(
-        "CAST(o_orderdate AS DATE) AS oper_date",
-        "CAST(date_trunc('month', o_orderdate) AS DATE) AS oper_date",
-    ),
+    "month_close_stored": _all("form"),
     "typed_load": _with(["postings"], "SELECT DISTINCT * FROM postings"),
     "typed_load_accounts": _all("accounts"),
     "typed_load_rates": _all("rates"),
     "typed_load_balances": _with(["snapshot"], "SELECT DISTINCT * FROM snapshot"),
     "typed_load_code_page": _all("deals"),
+    "typed_load_currencies": _with(
+        ["rates"],
+        """SELECT DISTINCT currency_rk, data_actual_date, data_actual_end_date,
+                  code_iso_num AS currency_code, CAST(NULL AS VARCHAR) AS code_iso_char
+           FROM rates""",
+    ),
+    "typed_load_ledger": _with(
+        ["ledger"],
+        """SELECT DISTINCT chapter, CAST(NULL AS VARCHAR) AS chapter_name,
+                  CAST(NULL AS INTEGER) AS section_number, CAST(NULL AS VARCHAR) AS section_name,
+                  CAST(NULL AS VARCHAR) AS subsection_name,
+                  CAST(NULL AS INTEGER) AS ledger1_account,
+                  CAST(NULL AS VARCHAR) AS ledger1_account_name, ledger_account,
+                  CAST(NULL AS VARCHAR) AS ledger_account_name,
+                  CAST(NULL AS VARCHAR) AS characteristic, start_date, end_date
+           FROM ledger""",
+    ),
     "detail_load": _with(
         ["accounts", "rates", "ledger", "snapshot", "postings"],
         " UNION ALL ".join(

@@ -107,10 +107,10 @@ def f101_csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
 def month_close_stored(spark: SparkSession, sf: str) -> DataFrame:
     """Form 101 from marts closed in two steps into tables stored by day, the second
-    carrying on from the first. Postings are dated the first of their month."""
+    carrying on from the first. Of the balances, month ends are stored."""
     turnover_path = scratch_path(spark, "turnover")
     balance_path = scratch_path(spark, "balance")
-    postings = t.postings(spark, sf).withColumn("oper_date", F.trunc("oper_date", "MM"))
+    postings = t.postings(spark, sf)
     halves = (
         Period(t.HISTORY.start, date(1998, 6, 30)),
         Period(date(1998, 7, 1), t.HISTORY.end),
@@ -189,23 +189,43 @@ def typed_load_code_page(spark: SparkSession, sf: str) -> DataFrame:
     return sources.read_delimited(spark, path, sep=",", schema=DEAL.schema, encoding=encoding)
 
 
-def detail_load(spark: SparkSession, sf: str) -> DataFrame:
-    """All six tables loaded over older contents, listed by size and amounts."""
-    accounts, rates = t.accounts(spark, sf), t.rates(spark, sf)
-    snapshot, ledger = t.snapshot(spark, sf), t.ledger(spark, sf)
-    currencies = rates.select(
+def _currencies(spark: SparkSession, sf: str) -> DataFrame:
+    """The rates' currencies as the currency file has them."""
+    return t.rates(spark, sf).select(
         "currency_rk",
         "data_actual_date",
         "data_actual_end_date",
         F.col("code_iso_num").alias("currency_code"),
         F.lit(None).cast("string").alias("code_iso_char"),
     )
-    plan = ledger.select(
+
+
+def _ledger_file(spark: SparkSession, sf: str) -> DataFrame:
+    """The ledger plan with the columns of its file, those it lacks empty."""
+    ledger = t.ledger(spark, sf)
+    return ledger.select(
         [
             F.col(c) if c in ledger.columns else F.lit(None).cast(MD_LEDGER_ACCOUNT.schema[c].dataType).alias(c)
             for c in LEDGER_LOADED
         ]
     )
+
+
+def typed_load_currencies(spark: SparkSession, sf: str) -> DataFrame:
+    path = _written(spark, _capitals(_currencies(spark, sf)), "currencies-csv")
+    return plans.typed_currencies(sources.read_delimited(spark, path, dedupe=True))
+
+
+def typed_load_ledger(spark: SparkSession, sf: str) -> DataFrame:
+    path = _written(spark, _capitals(_ledger_file(spark, sf)), "ledger-csv")
+    return plans.typed_ledger(sources.read_delimited(spark, path, dedupe=True))
+
+
+def detail_load(spark: SparkSession, sf: str) -> DataFrame:
+    """All six tables loaded over older contents, listed by size and amounts."""
+    accounts, rates = t.accounts(spark, sf), t.rates(spark, sf)
+    snapshot, ledger = t.snapshot(spark, sf), t.ledger(spark, sf)
+    currencies, plan = _currencies(spark, sf), _ledger_file(spark, sf)
     text = {
         "md_account_d": accounts,
         "md_currency_d": currencies,
@@ -501,6 +521,8 @@ QUERIES: dict[str, Query] = {
         typed_load_rates,
         typed_load_balances,
         typed_load_code_page,
+        typed_load_currencies,
+        typed_load_ledger,
         detail_load,
         keyed_upsert,
         keyed_upsert_partial,

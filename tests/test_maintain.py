@@ -37,6 +37,17 @@ def test_upsert_rejects_repeated_and_missing_keys(spark, columns, bad, held):
             action()
 
 
+@pytest.mark.parametrize("columns, scans", [(["k", "a"], 2), (None, 3)])
+def test_upsert_reads_the_target_once(spark, tmp_path, capsys, columns, scans):
+    for name in ("target", "source"):
+        table(spark, (1, "a", "b")).write.parquet(str(tmp_path / name))
+    target, source = (spark.read.parquet(str(tmp_path / n)) for n in ("target", "source"))
+    upsert(target, source, ["k"], columns).explain()
+    plan = capsys.readouterr().out
+    assert plan.count("FileScan parquet") == scans
+    assert plan.count(f"{tmp_path}/target") == 1
+
+
 def test_upsert_needs_its_keys_among_the_columns(spark):
     with pytest.raises(ValueError):
         upsert(table(spark), table(spark), ["k"], ["a"])
