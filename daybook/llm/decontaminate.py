@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from fractions import Fraction
 
 import numpy as np
 import pandas as pd
@@ -82,23 +83,30 @@ class Index:
             item = self.words[i]
             low, high = max(0, -shift), min(len(item), len(hashes) - shift)
             equal = hashes[low + shift : high + shift] == item[low:high]
-            start, stop, share = best_stretch(equal)
             whole = len(item) < MIN_WORDS and len(equal) == len(item) and equal.all()
-            if stop - start >= MIN_WORDS and share >= MIN_EQUAL or whole:
+            start, stop, share = (0, len(item), 1.0) if whole else best_stretch(equal)
+            if whole or stop > start and share >= MIN_EQUAL:
                 out.append((self.ids[i], start + low + shift, stop + low + shift, share))
         return out
 
 
-def best_stretch(equal: np.ndarray) -> tuple[int, int, float]:
-    """The stretch with the largest sum of 1 per equal word and -MIN_EQUAL/(1-MIN_EQUAL)
-    per other one: what it gains stays above the wanted share throughout."""
-    if not len(equal):
+def best_stretch(equal: np.ndarray, least: int = MIN_WORDS) -> tuple[int, int, float]:
+    """Of all stretches of least words or more the one with the largest sum of
+    1 - MIN_EQUAL per equal word and -MIN_EQUAL per other one.
+
+    The sum is 0 or more just if the share is MIN_EQUAL or more, so if any stretch
+    qualifies, this one does. Sums are whole numbers, so that a share of just
+    MIN_EQUAL is not lost to rounding. With fewer words there is none: 0, 0, 0.
+    """
+    if len(equal) < least:
         return 0, 0, 0.0
-    sums = np.concatenate([[0.0], np.cumsum(np.where(equal, 1.0, -MIN_EQUAL / (1 - MIN_EQUAL)))])
-    gain = sums - np.minimum.accumulate(sums)
-    stop = int(gain.argmax())
-    start = int(sums[: stop + 1].argmin())
-    return start, stop, float(equal[start:stop].mean()) if stop > start else 0.0
+    wanted = Fraction(MIN_EQUAL).limit_denominator(1000)
+    gain, loss = wanted.denominator - wanted.numerator, wanted.numerator
+    sums = np.concatenate([[0], np.cumsum(np.where(equal, gain, -loss))])
+    lowest = np.minimum.accumulate(sums[: len(sums) - least])
+    stop = int((sums[least:] - lowest).argmax()) + least
+    start = int(sums[: stop - least + 1].argmin())
+    return start, stop, float(equal[start:stop].mean())
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -166,6 +167,24 @@ def test_benchmark_passages(spark, docs_of, monkeypatch):
     assert decontaminate.contaminated(docs_of([]), bench).count() == 0
 
 
+def test_any_stretch_of_enough_equal_words_is_a_passage():
+    rng = np.random.default_rng(8)
+    fixed = [[i % 5 != 4 for i in range(n)] for n in (15, 40, 60)] + [[i != 3 for i in range(13)], [i != 12 for i in range(16)]]
+    drawn = [(rng.random(rng.integers(0, 45)) < rng.choice([0.6, 0.75, 0.85, 0.95])).tolist() for _ in range(1500)]
+    outcomes = set()
+    for equal in fixed + drawn:
+        n = len(equal)
+        rule = any(5 * sum(equal[a:b]) >= 4 * (b - a) for a in range(n) for b in range(a + 13, n + 1))
+        start, stop, share = decontaminate.best_stretch(np.array(equal, bool))
+        assert (stop - start >= 13 and share >= 0.8) == rule
+        assert rule or equal not in fixed
+        outcomes.add(rule)
+    assert outcomes == {True, False}
+    item = [f"i{k}" for k in range(60)]
+    index = decontaminate.Index([(1, " ".join(item[:16]))])
+    assert index.passages(" ".join("other" if k == 12 else w for k, w in enumerate(item[:16]))) == [(1, 0, 16, 15 / 16)]
+
+
 def language_rows():
     parts = {"x": ["th", "er", "on", "ing"], "y": ["sch", "ung", "zu", "ß"], "z": ["ción", "ado", "que", "rr"]}
     make = lambda k, n: " ".join("".join(RANDOM.choice(parts[k]) for _ in range(3)) for _ in range(n))
