@@ -1,6 +1,7 @@
 """Operators over documents against brute force on small texts."""
 
 import hashlib
+import itertools
 import random
 import re
 
@@ -185,6 +186,25 @@ def test_any_stretch_of_enough_equal_words_is_a_passage():
     assert index.passages(" ".join("other" if k == 12 else w for k, w in enumerate(item[:16]))) == [(1, 0, 16, 15 / 16)]
 
 
+def test_masks_hit_every_passage():
+    # Any passage holds one of these: words, and how many of them are replaced.
+    for n, replaced in ((13, 2), (15, 3), (20, 4), (25, 5)):
+        gone = np.array([sum(1 << i for i in c) for c in itertools.combinations(range(n), replaced)])
+        hit = np.zeros(len(gone), bool)
+        for mask in decontaminate.MASKS:
+            bits = int(mask[::-1], 2)
+            for at in range(n - len(mask) + 1):
+                hit |= gone & bits << at == 0
+        assert hit.all(), n
+    item = [f"i{k}" for k in range(13)]
+    index = decontaminate.Index([(1, " ".join(item)), (2, "la " * 60), (3, "tiny item here"), (4, " ".join(item[:12]))])
+    for gone in itertools.combinations(range(13), 2):
+        found = index.passages("x " * 30 + " ".join("other" if k in gone else w for k, w in enumerate(item)) + " y")
+        assert (1, 30, 43, 11 / 13) in found and {i for i, *_ in found} <= {1, 4}
+    assert [i for i, *_ in index.passages("a tiny item here")] == [3]
+    assert len(index.passages("la " * 100)) == 100 + 60 - 2 * 13 + 1
+
+
 def language_rows():
     parts = {"x": ["th", "er", "on", "ing"], "y": ["sch", "ung", "zu", "ß"], "z": ["ción", "ado", "que", "rr"]}
     make = lambda k, n: " ".join("".join(RANDOM.choice(parts[k]) for _ in range(3)) for _ in range(n))
