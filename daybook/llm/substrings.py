@@ -186,6 +186,8 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     context = stored(
         docs.select("row", "text")
         .join(asked, "row")
+        # A repeated row is one context: classes count its places already.
+        .dropDuplicates(["row"])
         .mapInPandas(
             _contexts,
             "seed long, row long, at long, start long, before array<long>, after array<long>, n long",

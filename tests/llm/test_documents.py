@@ -111,6 +111,16 @@ def test_partial_matches_that_share_an_anchor(docs_of):
     assert found == {i: len(g) for (i, _), (_, g) in zip(cases, removed(cases), strict=True)}
 
 
+def test_repeated_rows_leave_text_that_stands_once(docs_of):
+    # One row is given twice and shares only a middle with others, never a window.
+    for _ in range(6):
+        middle = text(12)
+        twice = f"{text(40)} {middle} {text(40)}"
+        cases = [(1, twice), (1, twice), (None, twice), (None, twice)] + [(i, f"{text(40)} {middle} {text(40)}") for i in (2, 3)]
+        found = sorted((r.doc_id or 0, r.n_removed) for r in substrings.removal_digests(docs_of(cases)).collect())
+        assert found == sorted((i or 0, len(g)) for (i, _), (_, g) in zip(cases, removed(cases), strict=True))
+
+
 def test_token_counts_equal_the_library(docs_of):
     public_tokenizers = pytest.importorskip("public_tokenizers")
     library = pytest.importorskip("tokenizers").Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
