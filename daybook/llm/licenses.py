@@ -52,6 +52,18 @@ def blocks_of(text: str | None) -> list[bytes]:
     return utf8(text).translate(_LINES).split(b"\n")
 
 
+def paragraphs_of(text: str | None) -> list[list[bytes]]:
+    """The words of each run of lines without a blank one."""
+    out: list[list[bytes]] = [[]]
+    for line in blocks_of(text):
+        own = line.split()
+        if own:
+            out[-1] += own
+        elif out[-1]:
+            out.append([])
+    return out
+
+
 def word_frequencies(docs: DataFrame, templates: dict[str, str]) -> dict[bytes, int]:
     """In how many documents each word of the templates stands, over all of docs.
 
@@ -88,13 +100,44 @@ class Matcher:
             for word in words[: len(words) - need + 1]:
                 self.prefixes.setdefault(word, []).append(len(self.templates))
             self.templates.append((words, need, label))
+        self.lengths = [len(words_of(text)) for text in templates]
 
     def found(self, block: bytes) -> list[tuple[str, float]]:
         """Label and containment of the templates in a block."""
-        own = set(block.split())
+        return [(self.templates[i][2], hit / len(self.templates[i][0])) for i, hit in self.held(set(block.split()))]
+
+    def wrapped(self, words: list[bytes], i: int) -> list[tuple[str, float]]:
+        """Label and largest containment of template i in as many words in a row as it
+        has, wherever lines end: published wording is hard-wrapped."""
+        own, need, label = self.templates[i]
+        sought, inside, best = set(own), Counter(), 0
+        places = [p for p, w in enumerate(words) if w in sought]
+        first = 0
+        for p in places:
+            inside[words[p]] += 1
+            while places[first] <= p - self.lengths[i]:
+                gone = words[places[first]]
+                inside[gone] -= 1
+                if not inside[gone]:
+                    del inside[gone]
+                first += 1
+            best = max(best, len(inside))
+        return [(label, best / len(own))] if best >= need else []
+
+    def found_in(self, text: str | None, words: list[bytes]) -> list[tuple[str, float]]:
+        """Label and containment of the templates in a line, or wrapped over lines of a
+        paragraph. No part of a text holds what the whole does not."""
+        some = self.held(set(words))
+        if not some:
+            return []
+        lines = [x for block in blocks_of(text) for x in self.found(block)]
+        return lines + [x for part in paragraphs_of(text) for i, _ in some for x in self.wrapped(part, i)]
+
+    def held(self, own: set[bytes]) -> list[tuple[int, int]]:
+        """The templates that a set of words holds, and how many of their words."""
         out = []
         for i in sorted({i for w in own & self.prefixes.keys() for i in self.prefixes[w]}):
-            words, need, label = self.templates[i]
+            words, need, _ = self.templates[i]
             if len(own) < need:
                 continue
             hit = 0
@@ -103,7 +146,7 @@ class Matcher:
                     break
                 hit += word in own
             if hit >= need:
-                out.append((label, hit / len(words)))
+                out.append((i, hit))
         return out
 
 
@@ -130,7 +173,8 @@ def license_labels(
 
     n_base counts all places of the phrases, first_word and last_word are the smallest
     and largest start (null if none), base_labels their labels. labels adds those of
-    templates contained in a line; score is the largest containment, 1 with a phrase,
+    templates contained in a line, or wrapped over lines of a paragraph: in as many of
+    its words in a row as the template has; score is the largest containment, 1 with a phrase,
     else 0. Labels are distinct, sorted and comma-joined, empty if none. Null and empty
     texts have no words. Texts are scanned whole; repeated rows and null ids are kept;
     other columns are ignored.
@@ -147,9 +191,7 @@ def license_labels(
                 places = phrase_places(words, phrases)
                 starts = [x for own in places.values() for x in own]
                 base = {phrases[p] for p in places}
-                more = []
-                if not matcher.prefixes.keys().isdisjoint(words):
-                    more = [x for block in blocks_of(text) for x in matcher.found(block)]
+                more = matcher.found_in(text, words)
                 score = 1.0 if base else max((s for _, s in more), default=0.0)
                 rows.append(
                     (

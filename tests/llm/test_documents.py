@@ -150,6 +150,19 @@ def test_license_labels(docs_of):
     assert licenses.license_labels(docs_of([])).count() == 0
 
 
+def test_license_wording_wrapped_over_lines(docs_of):
+    cases = [
+        (1, "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and"),
+        (2, "# Redistribution and use in source and binary forms, with or without\r\n# modification, are permitted"),
+        (3, "Unless required by applicable law or agreed to in writing, software\n  distributed under the License is distributed on an\n  AS IS basis"),
+        (4, "all\nrights\nreserved"), (5, "all rights\n\nreserved"), (6, "all of it is\nnot rights\nthat are reserved"), (7, "all the rights are reserved"),
+    ]
+    found = {r.doc_id: (r.labels, r.score) for r in licenses.license_labels(docs_of(cases)).collect()}
+    assert found == {
+        1: ("mit", 1.0), 2: ("bsd", 1.0), 3: ("apache", 1.0), 4: ("all-rights-reserved", 1.0), 5: ("", 0.0), 6: ("", 0.0), 7: ("all-rights-reserved", 1.0),
+    }
+
+
 def test_prefix_filter_finds_what_all_pairs_find():
     templates = {" ".join(RANDOM.sample(WORDS[:60], RANDOM.randrange(3, 15))): f"t{i}" for i in range(30)}
     frequencies = {w.encode(): RANDOM.randrange(50) for w in WORDS[:60]}
