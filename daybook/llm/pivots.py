@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from daybook.llm.common import stored
+
 #: Pivots at most, and the nearest ones that represent a vector (a share, and at least).
 PIVOTS, PREFIX_SHARE, MIN_PREFIX = 1024, 0.1, 32
 #: Rows of a block of the index, and of a block of queries.
@@ -62,16 +64,34 @@ def usable(vectors: DataFrame, column: str = "embedding") -> DataFrame:
     )
 
 
+def vector_classes(base: DataFrame, k: int) -> DataFrame:
+    """ids, embedding: each vector once, with the k + 1 smallest ids that have it.
+
+    Of equal vectors a query needs no more: each is as near, ties go to the smaller id,
+    and one id may be the query's own. Every task drops the others before rows move.
+    """
+    smallest = Window.partitionBy("embedding").orderBy("vec_id")
+    some = base.distinct().withColumn("n", F.row_number().over(smallest)).where(F.col("n") <= k + 1)
+    return some.groupBy("embedding").agg(F.array_sort(F.collect_list("vec_id")).alias("ids")).select("ids", "embedding")
+
+
+def closest(footrule: np.ndarray, take: int) -> np.ndarray:
+    """The take smallest, and all that tie with the last of them."""
+    return np.flatnonzero(footrule <= np.partition(footrule, take - 1)[take - 1])
+
+
 def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 10, reranked: float = RERANKED) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest rows of vectors for each row of
     queries (both vec_id, embedding), by Euclidean distance in double precision, ties
     to the smaller vec_id; never the row of the query's own id.
 
-    Pivots are a bounded sample of the rows, the first by a hash of their id. Every row
-    is indexed. The index lies in blocks; a block keeps its vectors' prefixes in pivot
+    Equal vectors are indexed once, with the smallest of their ids. Pivots are a bounded
+    sample of the vectors, the first by a hash of their smallest id. Every vector is
+    indexed. The index lies in blocks; a block keeps its vectors' prefixes in pivot
     inverted files. Every query meets every block (a stated query set against all rows,
-    in blocks), ranks its rows by footrule, and reranks the best share of them, so recall
-    does not fall as rows are added. Each block returns k rows per query.
+    in blocks), ranks its vectors by footrule, and reranks the best share of them and
+    what ties with the last, so recall does not fall as rows are added. Each block
+    returns k different ids per query.
 
     Vectors that are null, empty, zero, not finite, without an id or of another
     dimension than most take no part. Repeated rows count once. With fewer candidates
@@ -85,19 +105,21 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 10, rera
     schema = "query_id long, vec_id long, score double"
     if not sizes:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    dim, n = sizes[0]["dim"], sizes[0]["count"]
-    base, asked = (x.where(F.size("embedding") == dim) for x in (base, asked))
-    sample = base.orderBy(F.xxhash64("vec_id"), "vec_id").limit(min(PIVOTS, max(1, n // 4))).collect()
+    dim = sizes[0]["dim"]
+    base, asked = (x.where(F.size("embedding") == dim) for x in (base, asked.distinct()))
+    classes = stored(vector_classes(base, k), "vectors")
+    n = classes.count()
+    sample = classes.orderBy(F.xxhash64(F.col("ids")[0]), F.col("ids")[0], "embedding").limit(min(PIVOTS, max(1, n // 4))).collect()
     pivots = np.array([r["embedding"] for r in sample], np.float64)
     length = min(len(pivots), max(MIN_PREFIX, ceil(PREFIX_SHARE * len(pivots))))
     shared = spark.sparkContext.broadcast(pivots)
     blocks = max(1, -(-n // BLOCK_ROWS))
 
-    pack = lambda rows: F.collect_list(F.struct("vec_id", "embedding")).alias(rows)
-    index = base.groupBy(F.pmod(F.xxhash64("vec_id", "embedding"), F.lit(blocks)).alias("block")).agg(pack("rows"))
+    pack = lambda rows, ids: F.collect_list(F.struct(ids, "embedding")).alias(rows)
+    index = classes.groupBy(F.pmod(F.xxhash64(F.col("ids")[0], "embedding"), F.lit(blocks)).alias("block")).agg(pack("rows", "ids"))
     n_queries = asked.count()
     groups = max(1, -(-n_queries // QUERY_ROWS))
-    packed = asked.groupBy(F.pmod(F.xxhash64("vec_id", "embedding"), F.lit(groups)).alias("group")).agg(pack("asked"))
+    packed = asked.groupBy(F.pmod(F.xxhash64("vec_id", "embedding"), F.lit(groups)).alias("group")).agg(pack("asked", "vec_id"))
     met = index.join(packed.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<long>"))), "block")
 
     def search(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -106,20 +128,27 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 10, rera
         for batch in batches:
             for block, rows, asked in zip(batch["block"], batch["rows"], batch["asked"], strict=True):
                 if held is None or held[0] != block:
-                    own = np.array([r["vec_id"] for r in rows], np.int64)
+                    sizes = np.array([len(r["ids"]) for r in rows])
+                    ids = np.concatenate([np.asarray(r["ids"], np.int64) for r in rows])
                     matrix = np.array([r["embedding"] for r in rows], np.float64)
-                    held = (block, (own, matrix, InvertedFiles(nearest_pivots(matrix, pivots, length), len(pivots))))
-                own, matrix, files = held[1]
-                take = min(len(own), max(MIN_RERANKED, ceil(reranked * len(own))))
+                    files = InvertedFiles(nearest_pivots(matrix, pivots, length), len(pivots))
+                    held = (block, (ids, sizes, np.cumsum(sizes) - sizes, matrix, files))
+                ids, sizes, starts, matrix, files = held[1]
+                take = min(len(sizes), max(MIN_RERANKED, ceil(reranked * len(sizes))))
                 query = np.array([r["embedding"] for r in asked], np.float64)
                 prefixes = nearest_pivots(query, pivots, length)
                 out = []
                 for i, r in enumerate(asked):
-                    ranked = np.argpartition(files.footrule(prefixes[i]), take - 1)[:take]
-                    ranked = ranked[own[ranked] != r["vec_id"]]
+                    ranked = closest(files.footrule(prefixes[i]), take)
                     distance = np.sqrt(((matrix[ranked] - query[i]) ** 2).sum(axis=1))
-                    order = np.lexsort((own[ranked], distance))[: 2 * k]
-                    out.append((np.full(len(order), r["vec_id"]), own[ranked][order], distance[order]))
+                    n = sizes[ranked]
+                    own = ids[np.repeat(starts[ranked] - np.cumsum(n) + n, n) + np.arange(n.sum())]
+                    distance = np.repeat(distance, n)
+                    order = np.lexsort((own, distance))
+                    order = order[own[order] != r["vec_id"]]
+                    # The nearest place of each id; k of them in order.
+                    order = order[np.sort(np.unique(own[order], return_index=True)[1])[:k]]
+                    out.append((np.full(len(order), r["vec_id"]), own[order], distance[order]))
                 yield pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), map(np.concatenate, zip(*out)), strict=True)))
 
     found = met.repartition("block", "group").mapInPandas(search, schema) if blocks * groups > 1 else met.mapInPandas(search, schema)

@@ -43,6 +43,30 @@ def test_neighbours_against_brute_force(spark, monkeypatch):
     assert pivots.nearest_neighbours(few, few).count() == 6
 
 
+def test_neighbours_among_copies(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    matrix = rng.normal(size=(600, 16))
+    copy = matrix[0].tolist()
+    rows = [(i, v.tolist()) for i, v in enumerate(matrix)] + [(10_000 - i, copy) for i in range(400)]
+    rows += [(i, matrix[i].tolist()) for i in range(40, 50) for _ in range(8)] + [(45, copy), (46, matrix[47].tolist())]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    monkeypatch.setattr(pivots, "MIN_RERANKED", 60)
+    monkeypatch.setattr(pivots, "BLOCK_ROWS", 300)
+    asked = frame.where("vec_id in (0, 9700, 9990, 45)")
+    found = {}
+    for r in pivots.nearest_neighbours(frame, asked).collect():
+        found.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    same = sorted({i for i, v in rows if v == copy})
+    assert set(found) == {0, 9700, 9990, 45}
+    for q in found:
+        first = [i for i in same if i != q][:10]
+        assert sorted(found[q]) == [(n + 1, i, 0.0) for n, i in enumerate(first)]
+    around = frame.where("vec_id between 40 and 44")
+    near = pivots.nearest_neighbours(frame, around, reranked=1.0).groupBy("query_id").agg(F.countDistinct("vec_id").alias("n")).collect()
+    assert [r.n for r in near] == [10] * 5
+    assert pivots.closest(np.array([3, 1, 2, 2, 2, 9]), 2).tolist() == [1, 2, 3, 4]
+
+
 ODD = [
     "", None, "<|im_end|>", "<|im_start|>user\nx<|im_end|>\n", "<\\|im_end|>", "<\\\\|", "a<", "|im_end|>\n", "<|im_end|", "\n\n", "<|n|>",
     "<|im_end|>\n<|im_start|>assistant\nno", "\\n", "😀<|x", "<<|im_end|>>",
