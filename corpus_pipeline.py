@@ -11,13 +11,14 @@ from daybook.llm import decontaminate, languages, minhash, raking, substrings
 from daybook.llm.common import stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
-#: A document in whose mixture no language has so large a share is rejected.
-MIN_SHARE = 0.3
+#: A document whose languages gain less per n-gram over equally likely ones is rejected.
+MIN_FIT = 0.0
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents without a letter and those that no language fits. The model
-    learns from all documents with a language; lang is kept as it is.
+    """Rejects documents without a letter and those that no language fits: junk in
+    letters and languages the model never saw. The model learns from all documents with
+    a language; lang is kept as it is.
 
     Rows without a doc_id are judged by their text; rows of one id and text alike.
     """
@@ -26,7 +27,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     by_row = judged.select(F.col("_row").alias("doc_id"), "text")
     rejected = (
         languages.predict(by_row, model)
-        .where((F.col("lang_pred") == languages.UNKNOWN) | (F.col("score") < MIN_SHARE))
+        .where((F.col("lang_pred") == languages.UNKNOWN) | (F.col("fit") < MIN_FIT))
         .select(F.col("doc_id").alias("_row"))
         .distinct()
     )

@@ -14,8 +14,8 @@ from daybook.llm.common import per_document, slices
 
 #: Bits of a hashed n-gram, and its characters.
 BITS, LENGTH = 15, 3
-#: Bounds: languages of a model, rounds of the mixture inference, languages of a document.
-MAX_LANGUAGES, ROUNDS, MAX_SET = 256, 8, 3
+#: Bounds: languages of a model, rounds of the mixture inference.
+MAX_LANGUAGES, ROUNDS = 256, 8
 #: Log-likelihood that a further language must add, for each doubling of the text's n-grams.
 PENALTY = 2.0
 UNKNOWN = "und"
@@ -112,45 +112,54 @@ class _Texts:
         return np.einsum("ij,ij->i", self.chances, np.repeat(shares, self.sizes, axis=0))
 
 
-def mixtures(model: Model, texts: list[str | None]) -> np.ndarray:
-    """Each text's proportions of the model's languages (rows of zeros without letters).
+def mixtures(model: Model, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Each text's proportions of the model's languages (rows of zeros without letters),
+    and its fit: log-likelihood per n-gram over that of all n-grams equally likely.
 
     Expectation-maximisation runs first over all languages. Then sets of the one, two
     and so on strongest are fitted anew, and the set with the best likelihood less
-    PENALTY per further language and doubling of the n-grams wins.
+    PENALTY per further language and doubling of the n-grams wins. Sets grow for as
+    long as the likelihood of all languages leaves room for a better one.
     """
     k = len(model.languages)
-    out = np.zeros((len(texts), k))
+    out, fit = np.zeros((len(texts), k)), np.full(len(texts), np.nan)
     parts = [grams(t) for t in texts]
     full = np.array([i for i, (bins, _) in enumerate(parts) if len(bins)], np.int64)
     if not len(full) or not k:
-        return out
+        return out, fit
     found = _Texts(model, [parts[i] for i in full])
     everything, bound = found.fitted(np.full((len(full), k), 1 / k), ROUNDS)
     place = np.argsort(np.argsort(-everything, axis=1, kind="stable"), axis=1, kind="stable")
     best = (place == 0).astype(np.float64)
     _, score = found.fitted(best, 0)
+    plain = score.copy()
     price = PENALTY * np.log2(1 + found.total)
-    # All languages together bound the likelihood of every set: most texts are done.
-    left = np.flatnonzero(bound - price > score)
-    if len(left):
-        again = _Texts(model, [parts[i] for i in full[left]])
-        for size in range(2, min(k, MAX_SET) + 1):
-            shares, likelihood = again.fitted(np.where(place[left] < size, 1 / size, 0.0), ROUNDS)
-            likelihood = likelihood - (size - 1) * price[left]
-            better = likelihood > score[left]
-            best[left[better]], score[left[better]] = shares[better], likelihood[better]
+    held = None
+    for size in range(2, k + 1):
+        # All languages together bound the likelihood of every set: most texts are done.
+        left = np.flatnonzero(bound - (size - 1) * price > score)
+        if not len(left):
+            break
+        if held is None or len(held) != len(left):
+            held, again = left, _Texts(model, [parts[i] for i in full[left]])
+        shares, likelihood = again.fitted(np.where(place[left] < size, 1 / size, 0.0), ROUNDS)
+        worth = likelihood - (size - 1) * price[left]
+        better = worth > score[left]
+        best[left[better]], score[left[better]], plain[left[better]] = shares[better], worth[better], likelihood[better]
     out[full] = best
-    return out
+    fit[full] = plain / found.total + BITS * np.log(2)
+    return out, fit
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, lang_pred, score, languages per row of docs.
+    """doc_id, lang_pred, score, languages, fit per row of docs.
 
     lang_pred is the language with the largest share of the whole text, ties to the
     first in order of names, and score its share (0 to 1). A null or empty text, or
     one without a letter, or an empty model gives UNKNOWN with score 0. languages is
-    the chosen set with shares. The model is bounded by its parameters and goes to
+    the chosen set with shares. fit tells whether any language fits: below 0 a draw of
+    n-grams all equally likely explains the text better than its languages do; it is
+    null with UNKNOWN. The model is bounded by its parameters and goes to
     the tasks once. Repeated rows and null ids are kept; other columns are ignored.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -158,18 +167,18 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     def predictions(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = shared.value
         for part in slices(batches, 64):
-            shares = mixtures(model, list(part["text"]))
+            shares, fits = mixtures(model, list(part["text"]))
             rows = []
-            for doc_id, own in zip(part["doc_id"], shares, strict=True):
+            for doc_id, own, fit in zip(part["doc_id"], shares, fits.tolist(), strict=True):
                 if not own.any():
-                    rows.append((doc_id, UNKNOWN, 0.0, {}))
+                    rows.append((doc_id, UNKNOWN, 0.0, {}, None))
                     continue
                 at = int(own.argmax())
                 found = {model.languages[i]: float(own[i]) for i in np.flatnonzero(own)}
-                rows.append((doc_id, model.languages[at], min(1.0, float(own[at])), found))
-            yield pd.DataFrame(rows, columns=["doc_id", "lang_pred", "score", "languages"])
+                rows.append((doc_id, model.languages[at], min(1.0, float(own[at])), found, fit))
+            yield pd.DataFrame(rows, columns=["doc_id", "lang_pred", "score", "languages", "fit"])
 
-    return per_document(docs, predictions, "lang_pred string, score double, languages map<string,double>")
+    return per_document(docs, predictions, "lang_pred string, score double, languages map<string,double>, fit double")
 
 
 def held_out() -> F.Column:

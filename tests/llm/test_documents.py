@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from daybook.llm import decontaminate, languages, licenses, minhash, raking, substrings, tokens
 from daybook.llm.common import components
 
@@ -247,6 +248,30 @@ def test_languages_and_mixtures(spark):
     assert {r.lang_pred for r in languages.predict(spark.createDataFrame(cases, "doc_id long, text string"), empty).collect()} == {"und"}
 
 
+def test_texts_that_no_language_fits_are_rejected(spark):
+    make, rows = language_rows()
+    unseen = {100: "".join(RANDOM.choice("bcdfgjklmpqvwxyz ") for _ in range(400)), 101: "Это текст о погоде и о природе", 102: "jak máte dnes krásné počasí", 103: "12 34"}
+    seen = {200: make("x", 1), 201: make("z", 5), 202: make("x", 30) + " " + make("y", 30)}
+    plain = [(i, t, k, "s", len(t)) for i, t, k in rows]
+    docs = spark.createDataFrame(plain + [(i, t, None, "s", len(t)) for i, t in (unseen | seen).items()], "doc_id long, text string, lang string, source string, n_chars int")
+    kept = {r.doc_id for r in corpus_pipeline.language_id(spark, docs, "").collect()}
+    assert kept == {i for i, *_ in rows} | set(seen)
+
+
+def test_all_languages_of_a_mixed_text_are_named():
+    sounds = {k: [a + b for a in "bcdfghjk" for b in "aeiou"][5 * n : 5 * n + 5] for n, k in enumerate("pqrstuv")}
+    make = lambda k, n: " ".join("".join(RANDOM.choice(sounds[k]) for _ in range(3)) for _ in range(n))
+    counts = np.full((1 << languages.BITS, len(sounds)), 0.1)
+    for at, k in enumerate(sounds):
+        bins, n = languages.grams(make(k, 3000))
+        counts[bins, at] += n
+    model = languages.Model(list(sounds), counts / counts.sum(axis=0))
+    for size in range(1, 7):
+        shares, fit = languages.mixtures(model, [" ".join(make(k, 80) for k in list(sounds)[:size])])
+        assert np.flatnonzero(shares[0]).tolist() == list(range(size)) and fit[0] > 0
+        assert np.abs(shares[0][:size] - 1 / size).max() < 0.05
+
+
 def test_raking_equals_plain_fitting(spark):
     cells = [(a, b, float(RANDOM.randrange(1, 50))) for a in "pqr" for b in "uv"] + [("s", "u", 0.0)]
     frame = spark.createDataFrame(cells, "a string, b string, mass double")
