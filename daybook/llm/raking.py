@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping, Sequence
+from math import exp
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,9 +13,12 @@ from daybook.llm.common import stored
 
 #: Rounds at most, and the largest deviation from a target share that ends them.
 ROUNDS, CLOSE = 25, 1e-5
+#: Share of a sample, in words, that cells may hold which are kept whole.
+WHOLE = 0.01
+log = logging.getLogger(__name__)
 
 
-def rake(cells: DataFrame, margins: Sequence[str], targets: Mapping[str, DataFrame], rounds: int = ROUNDS) -> DataFrame:
+def rake(cells: DataFrame, margins: Sequence[str], targets: Mapping[str, DataFrame], rounds: int = ROUNDS, most: float | None = None) -> DataFrame:
     """Weights of cells (margins..., mass) that meet the targets' shares: cells with weight.
 
     targets: for each margin a frame (margin, share). In every round each margin in
@@ -21,10 +26,14 @@ def rake(cells: DataFrame, margins: Sequence[str], targets: Mapping[str, DataFra
     is the product of its factors. Values without a target or with share 0 get weight
     0; target values that no cell has are left out, and shares are scaled to 1.
 
+    most: no weight passes it; the cells below it then make up for those at it, as far
+    as they can, and rounds end when weights stay. Weights that cells bring are the start.
+
     Cells are aggregates; each round writes them anew, so that lineage does not grow.
     A margin's sums are added up in each task before they meet.
     """
-    now = stored(cells.select(*margins, "mass").withColumn("weight", F.lit(1.0)), "cells")
+    start = F.col("weight") if "weight" in cells.columns else F.lit(1.0).alias("weight")
+    now = stored(cells.select(*margins, "mass", start), "cells")
     total = now.agg(F.sum("mass").alias("m")).first()["m"] or 0.0
     goals = {}
     for margin in margins:
@@ -35,7 +44,7 @@ def rake(cells: DataFrame, margins: Sequence[str], targets: Mapping[str, DataFra
         goals[margin] = aim.join(scale, F.lit(True)).select(margin, (F.col("share") * (total / F.col("scale"))).alias("goal"))
         goals[margin] = stored(goals[margin], "goal")
     for _ in range(rounds):
-        step = now.withColumn("step", F.lit(0.0))
+        step = now.withColumn("step", F.lit(0.0)).withColumn("before", F.col("weight"))
         for margin in margins:
             present = step.groupBy(margin).agg(F.sum(F.col("mass") * F.col("weight")).alias("present")).where("present > 0")
             factor = present.join(goals[margin], margin).select(margin, (F.col("goal") / F.col("present")).alias("factor"))
@@ -45,7 +54,11 @@ def rake(cells: DataFrame, margins: Sequence[str], targets: Mapping[str, DataFra
                 .withColumn("step", F.greatest("step", F.abs(F.coalesce("factor", F.lit(1.0)) - 1)))
                 .drop("factor")
             )
-        now = stored(step, "weights")
+            if most is not None:
+                step = step.withColumn("weight", F.least("weight", F.lit(most)))
+        if most is not None:
+            step = step.withColumn("step", F.when(F.col("before") > 0, F.abs(F.col("weight") / F.col("before") - 1)).otherwise(0.0))
+        now = stored(step.drop("before"), "weights")
         if (now.agg(F.max("step")).first()[0] or 0.0) < CLOSE:
             break
     return now.drop("step")
@@ -75,13 +88,32 @@ def tempered(docs: DataFrame, margin: str, power: float) -> DataFrame:
     return sums.select(margin, F.pow("mass", F.lit(power)).alias("share"))
 
 
+def largest_weight(raked: DataFrame, whole: float = WHOLE) -> tuple[float, bool]:
+    """The least weight that all cells but those with a share of whole of the weighted
+    mass stay below, to 1 part in 100, and whether any cell passes it.
+
+    Weights are added up by steps of their logarithm, so few rows come to the driver.
+    """
+    weighted = raked.where("mass > 0 and weight > 0").withColumn("step", F.ceil(F.log("weight") * 100))
+    steps = weighted.groupBy("step").agg(F.sum(F.col("mass") * F.col("weight")).alias("mass"), F.max("weight").alias("most")).collect()
+    left = whole * sum(r["mass"] for r in steps)
+    for at, r in enumerate(sorted(steps, key=lambda r: -r["step"])):
+        left -= r["mass"]
+        if left < 0:
+            return min(r["most"], exp(r["step"] / 100)), at > 0
+    return 1.0, False
+
+
 def sampled(docs: DataFrame, power: float = 0.8, budget: float = 1.0) -> DataFrame:
     """The documents that a mixture keeps: docs with topic, n_words, weight, keep_chance.
 
     Token mass is raked to tempered shares of source, language and topic (null is a
-    value of its own). A document's chance to stay is its cell's weight times the
-    largest rate at which no chance passes 1, times budget, so the shares that stay
-    equal the targets in expectation. Whether it stays hangs on a hash of doc_id and
+    value of its own). A document's chance to stay is its cell's weight times a rate,
+    times budget. The rate is the largest at which the cells that would pass a chance of
+    1 hold WHOLE of the sample at most: they are kept whole, and the others are raked
+    again to make up for them. So rare values, which no sample can raise above what
+    there is, do not set the rate, and the shares that stay equal the targets in
+    expectation but for WHOLE. The share of words kept is logged. Whether it stays hangs on a hash of doc_id and
     text alone: same input, same sample. Documents without words have chance 0 and
     go. Columns of docs named like the new ones are replaced. Empty docs give an empty
     result; repeated rows stay or go together.
@@ -99,8 +131,13 @@ def sampled(docs: DataFrame, power: float = 0.8, budget: float = 1.0) -> DataFra
     margins = ("_source", "_lang", "_topic")
     cells = stored(named.groupBy(*margins).agg(F.sum("n_words").alias("mass")), "mass")
     targets = {m: tempered(cells, m, power) for m in margins}
-    raked = stored(rake(cells, margins, targets).select(*margins, "weight"), "weights")
-    most = raked.agg(F.max("weight")).first()[0] or 1.0
+    raked = rake(cells, margins, targets)
+    most, passed = largest_weight(raked)
+    if passed:
+        raked = rake(raked, margins, targets, most=most)
+    sums = raked.agg(F.sum("mass"), F.sum(F.col("mass") * F.col("weight"))).first()
+    log.info("a share of %.4f of the words is kept", (sums[1] or 0.0) / most * budget / (sums[0] or 1.0))
+    raked = raked.select(*margins, "weight")
     chance = F.when(F.col("n_words") > 0, F.least(F.lit(1.0), F.coalesce("weight", F.lit(0.0)) * F.lit(budget / most)))
     draw = (F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 53)) + 0.5) / float(1 << 53)
     return (

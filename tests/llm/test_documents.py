@@ -291,6 +291,15 @@ def test_raking_equals_plain_fitting(spark):
     assert all(abs(found[c] - m) < 1e-3 * total for c, m in weight.items())
 
 
+def test_a_rare_value_does_not_set_the_rate(docs_of):
+    docs = docs_of([(i, text(20 + i % 50)) for i in range(600)]).withColumn("source", F.when(F.col("doc_id") % 4 == 0, "a").otherwise("b"))
+    stray = docs_of([(9000, text(3)), (9001, " \n ")]).withColumn("source", F.lit("stray")).withColumn("lang", F.lit("odd"))
+    kept = raking.sampled(docs.union(stray)).collect()
+    mass = {x: sum(r.n_words for r in kept if r.source == x) for x in ("a", "b", "stray")}
+    assert min(r.keep_chance for r in kept if r.source == "a") > 0.9 and mass["stray"] == 3
+    assert abs(mass["a"] / (mass["a"] + mass["b"]) - 1 / (1 + 3**0.8)) < 0.06
+
+
 def test_sampling_is_calibrated_and_repeatable(docs_of):
     docs = docs_of([(i, text(20 + i % 50)) for i in range(600)]).withColumn("source", F.when(F.col("doc_id") % 4 == 0, "a").otherwise("b"))
     kept = raking.sampled(docs.withColumn("weight", F.lit("clash")), power=0.5)
