@@ -79,6 +79,82 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_re
 FROM words LEFT JOIN gone_of USING (r)
 """
 
+OP11 = """
+WITH rows AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM rows a JOIN rows b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id,
+  (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id))::INTEGER AS rank,
+  vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scores USING (anchor_id)
+WHERE NOT same AND 100 * score BETWEEN 50 * positive_score AND 95 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) <= 3
+"""
+
+
+def _op13() -> str:
+    field = lambda x: f"coalesce(strlen({x}::VARCHAR) || ':' || {x}::VARCHAR, '-')"
+    leaf = lambda text: "sha256(" + " || ".join(map(field, ("doc_id", "source", "lang", "n_chars", text))) + ")"
+    # The parts of a run beside the path, and the run with the path's own digest in it.
+    beside = "array_to_string(hs[1:r % 3], '') || {0} || array_to_string(hs[r % 3 + 2:3], '')"
+
+    def tree(name: str, leaves: str, key: str) -> str:
+        """Levels of the trees over leaves (key, r, n, h), and their runs."""
+        return f"""{name} AS (
+  SELECT {key}, 0 AS level, r, n, h FROM {leaves}
+  UNION ALL
+  SELECT {key}, level + 1, r // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY r)) FROM {name} WHERE n > 1
+  GROUP BY {key}, level, r // 3, n
+), {name}_runs AS (
+  SELECT {key}, level, r // 3 AS g, list(h ORDER BY r) AS hs FROM {name} WHERE n > 1 GROUP BY {key}, level, r // 3
+)"""
+
+    def climb(name: str, start: str, runs: str) -> str:
+        """Rows (k, key, level, r, folded, proof) up to the roots."""
+        return f"""{name} AS (
+  SELECT k, key, 0 AS level, r, folded, proof FROM {start}
+  UNION ALL
+  SELECT k, key, level + 1, r // 3, sha256({beside.format("folded")}), proof || {beside.format("''")}
+  FROM {name} JOIN {runs} USING (key, level) WHERE g = r // 3
+), {name}_end AS (
+  SELECT k, arg_max(folded, level) AS folded, arg_max(proof, level) AS proof FROM {name} GROUP BY k
+)"""
+
+    return f"""
+WITH RECURSIVE bits AS (
+  SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tab
+), docs AS (
+  SELECT doc_id, source, coalesce('=' || source, '') AS key, {leaf("text")} AS h, {leaf("replace(text, chr(10), '')")} AS cut,
+    xor(list_reduce([4294967295] || list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ord(x)::BIGINT),
+      lambda c, b: xor(tab[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) AS crc
+  FROM documents, bits
+), leaves AS (
+  SELECT *, row_number() OVER () AS k, row_number() OVER (PARTITION BY key ORDER BY doc_id NULLS FIRST, h) - 1 AS r,
+    count(*) OVER (PARTITION BY key) AS n,
+    CASE WHEN crc % 2 = 0 THEN cut ELSE h END AS folded, '' AS proof
+  FROM docs
+), {tree("up", "leaves", "key")}, subroots AS (
+  SELECT key AS tree, '' AS key, h, row_number() OVER (ORDER BY key) - 1 AS r, count(*) OVER () AS n FROM up WHERE n = 1
+), {tree("above", "subroots", "key")}, {climb("path", "leaves", "up_runs")}, roots AS (
+  SELECT h AS root FROM above WHERE n = 1
+), halfway AS (
+  SELECT e.k, '' AS key, s.r, e.folded, e.proof FROM path_end e JOIN leaves l USING (k) JOIN subroots s ON s.tree = l.key
+), {climb("rest", "halfway", "above_runs")}
+SELECT l.doc_id, l.h AS leaf, s.h AS subroot, root, sha256(e.proof) AS proof_sha256, e.folded AS folded_root, e.folded = root AS verified
+FROM leaves l JOIN subroots s ON s.tree = l.key JOIN rest_end e USING (k), roots
+"""
+
 
 def _op9() -> str:
     spaced = f"' ' || array_to_string({{0}}, ' ') || ' '"
@@ -115,4 +191,4 @@ FROM words LEFT JOIN base USING (r) LEFT JOIN more USING (r)
 """
 
 
-ORACLE_SQL: dict[str, str] = {"op1_minhash": OP1, "op5_chat": OP5, "op6_substrings": OP6, "op9_licenses": _op9()}
+ORACLE_SQL: dict[str, str] = {"op1_minhash": OP1, "op5_chat": OP5, "op6_substrings": OP6, "op9_licenses": _op9(), "op11_bond": OP11, "op13_merkle": _op13()}

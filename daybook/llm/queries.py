@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import chat, decontaminate, html, languages, licenses, minhash, pivots, raking, substrings, tokens
+from daybook.llm import bond, chat, crf, decontaminate, html, languages, licenses, merkle, minhash, pivots, raking, substrings, tokens
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,6 +74,38 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_bond(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = bond.usable(vectors).select("vec_id", label.alias("label"), bond.scaled(F.col("embedding")).alias("embedding"))
+    return bond.hard_negatives(vectors, F.col("vec_id") % 50 == 0)
+
+
+def op12_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    learnt = docs.where(~crf.held_out() & F.col("doc_id").isNotNull())
+    model = crf.train(learnt, table(spark, sf_dir, "labels"))
+    return crf.score(docs, model).select("doc_id", crf.held_out().alias("held_out"), "score", "predicted")
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    whole = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")]
+    leaf = merkle.leaf(*whole)
+    # Where it applies, line ends are deleted from the text after the leaf was taken.
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, merkle.leaf(*whole[:-1], F.replace("text", F.lit("\n"), F.lit(""))))
+    rows = table(spark, sf_dir, "documents").select("doc_id", "source", leaf.alias("leaf"), tampered.alias("tampered"))
+    found = merkle.proofs(merkle.manifest(rows, "leaf", "source", ["doc_id"]))
+    shown = F.coalesce("row.tampered", "row.leaf")
+    return found.select(
+        "row.doc_id",
+        F.col("digest").alias("leaf"),
+        F.get("roots", F.lit(1)).alias("subroot"),
+        F.get("roots", F.lit(0)).alias("root"),
+        merkle.siblings_digest(F.col("path")).alias("proof_sha256"),
+        merkle.folded(F.col("path"), shown).alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -93,6 +125,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_html,
         op9_licenses,
         op10_decontaminate,
+        op11_bond,
+        op12_crf,
+        op13_merkle,
         pipeline,
     )
 }
