@@ -1,6 +1,8 @@
 """Vectors, conversations, pages, the registered queries and the pipeline."""
 
 import os
+import time
+from html.parser import HTMLParser
 
 import numpy as np
 import pytest
@@ -90,21 +92,105 @@ def page(body):
     return f"<html><head><title>t</title><style>p{{}}</style></head><body>{body}</body></html>"
 
 
+def extracted(spark, rows):
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit("clash")).withColumn("near", F.lit(1))
+    return [(r.page_id, r.text, r.n_chars) for r in html.main_texts(frame).collect()]
+
+
 def test_pages(spark):
     menu, note = "<div>Home of all</div><div>Shared line</div>", "<div>Bottom line</div>"
     rows = [
-        (1, "http://a.org/x/1", page(f"<nav>n</nav><article><h1>T &amp; U</h1><p>one\n two<br>three<p>four<script>var a='</p>'</script></article><footer>f</footer>")),
-        (2, "http://a.org/y/1", page(f"{menu}<p>Own first</p>{note}")), (3, "http://a.org/y/12", page(f"{menu}<p>Own second</p>{note}")),
+        (1, "http://a.org/x/1", page("<nav>n</nav><article><h1>T &amp; U</h1><p>one\n two<br>three<p>four<script>var a='</p>'</script></article><footer>f</footer>")),
+        (2, "http://a.org/y/1", page(f"{menu}<p>Own first text</p>{note}")), (3, "http://a.org/y/12", page(f"{menu}<p>Own second</p>{note}")),
         (4, "http://b.org/", page(f"{menu}<p>Only page</p>")), (5, None, None), (6, "nonsense", ""), (None, "http://c.org/q", "<p>cut <b>off &lt"),
         (7, "http://a.org/x/1", page("<article><p>one\n two</p><div class='comments'>c</div><form>q</form><!-- <p>no</p> --></article>")),
+        (8, "http://a.org/y/2/z", page(f"{menu}<p>Own third text</p>{note}")),
     ]
-    found = {r.page_id: r for r in html.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit("clash"))).collect()}
-    texts = {i: r.text for i, r in found.items()}
-    assert texts == {
-        1: "T & U\n\none two three\n\nfour", 2: "Own first", 3: "Own second", 4: "Home of all\n\nShared line\n\nOnly page", 5: "", 6: "", None: "cut off <", 7: "one two",
+    found = {i: (t, n) for i, t, n in extracted(spark, rows)}
+    assert {i: t for i, (t, _) in found.items()} == {
+        1: "T & U\n\none two three\n\nfour", 2: "Own first text", 3: "Own second", 4: "Home of all\n\nShared line\n\nOnly page", 5: "", 6: "", None: "cut off <", 7: "one two",
+        8: "Own third text",
     }
-    assert found[1].n_chars == len(texts[1])
-    assert html.main_texts(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+    assert found[1][1] == len(found[1][0])
+    assert extracted(spark, []) == []
+
+
+def test_copies_without_an_article_keep_their_text(spark):
+    menu = "<div>Home</div><div>Contact us</div>"
+    story = "".join(f"<p>Paragraph {i} of the story that many pages tell.</p>" for i in range(6))
+    other = [page(f"{menu}<p>Quite another text of its own, number {x}, and longer than any line.</p>") for x in "abc"]
+    rows = [(1, "http://a.org/s/1", page(menu + story)), (1, "http://a.org/s/1", page(menu + story)), (2, "http://m.a.org/s/1", page(menu + story))]
+    rows += [(3, "http://a.org/s/1/print", page(f"{menu}<h1>Print</h1>{story}")), (4, "http://a.org/s/1b", page(f"{menu}{story}<p>More.</p>"))]
+    alone = dict((i, t) for i, t, _ in extracted(spark, rows))
+    whole = "\n\n".join(f"Paragraph {i} of the story that many pages tell." for i in range(6))
+    # Copies alone say nothing of what is furniture: nothing goes.
+    assert alone == {1: f"Home\n\nContact us\n\n{whole}", 2: f"Home\n\nContact us\n\n{whole}", 3: f"Home\n\nContact us\n\nPrint\n\n{whole}", 4: f"Home\n\nContact us\n\n{whole}\n\nMore."}
+    found = extracted(spark, rows + [(10 + n, f"http://a.org/t/{n}", x) for n, x in enumerate(other)])
+    texts = dict((i, t) for i, t, _ in found)
+    assert len(found) == 8 and texts[1] == whole and texts[3] == f"Print\n\n{whole}" and texts[4] == f"{whole}\n\nMore."
+    assert texts[2] == alone[2] and texts[11] == "Quite another text of its own, number b, and longer than any line."
+
+
+def test_the_article_is_where_the_text_is():
+    texts = lambda body: [b.text for b in html.blocks(page(body))]
+    main = lambda body: html.main_blocks(html.blocks(page(body)))
+    story = "<p>A story in a plain element, longer than what is around it.</p>"
+    assert main(f"<div><h1>Head</h1>{story}</div><article>Read next</article>") is None
+    assert main(f"<h1>Head</h1><article>{story}</article><p>loose</p>") == ["Head", "A story in a plain element, longer than what is around it."]
+    assert main(f"<h1>Site</h1><article><h1>Head</h1>{story}</article>")[0] == "Head"
+    names = ["article-header", "social-policy", "notice-period", "search-theory", "headerless", "adsorption", "commentary", "shared"]
+    assert texts("<article>" + "".join(f"<div class='x {n}'>{n}</div>" for n in names) + "</article>") == names
+    names = ["site-header", "cookie-banner", "ad", "AD-slot", "sidebar left", "relatedPosts", "comment-list", "article-comments", "x share", "site_footer_2"]
+    assert texts(f"<article>{story}" + "".join(f"<div class='{n}'>{n}</div>" for n in names) + "</article>") == texts(story)
+    assert texts(f"<form id=aspnet><div class=menu>m</div>{story}<form>q</form></form>")[0].startswith("A story")
+    assert texts(f"<div class=share>{story}</div>") == texts(story) and texts(f"<div class=widget><h1>t</h1></div>{story}")[0] == "t"
+    assert texts(f"<article>{story}<section id=comments>{story * 9}<article class=comment>{story}</article></section></article>") == texts(story)
+    assert texts(f"<div class=ad>{story}</div><article>short</article>") == ["short"] and len(texts(f"<form><article>{story}</article></form>")) == 1
+    assert texts("<div>a<span class=ad>b<span>c</span>d</span>e</div>") == ["ae"]
+
+
+def test_hostile_pages_take_time_in_proportion():
+    n = 30_000
+    pages = ["<div>" + "<b>x</i>" * n + "<i>" + "</b>" * n, "<i><div>" + "<b>x</i>" * n, '<a "' * n, "<a " * n, "<div class=ad>" * n + "x", "<p class='" * n, "<!-" * n, "<script>" * n]
+    started = time.process_time()
+    for x in pages:
+        html.blocks(x)
+    assert html.common_lines([1] * n + [2] + [3, 4] * 100, [5] + [1] * n + [4, 3, 3] * 100)[: n - 9] == list(range(n - 9))
+    html.common_lines(list(range(5)) * 4000, list(range(4, -1, -1)) * 4000)
+    assert time.process_time() - started < 30
+
+
+class PlainText(HTMLParser):
+    """What stands in <article>, a paragraph per block element: a plain version for well-formed pages."""
+
+    def __init__(self):
+        super().__init__()
+        self.out, self.depth, self.skip = [""], 0, 0
+
+    def handle_starttag(self, tag, attrs):
+        self.depth += tag == "article"
+        self.skip += tag in ("script", "style")
+        self.out += [""] if tag in ("p", "h1", "article", "div") else []
+        self.out[-1] += " " if tag == "br" else ""
+
+    def handle_endtag(self, tag):
+        self.depth -= tag == "article"
+        self.skip -= tag in ("script", "style")
+        self.out += [""] if tag in ("p", "h1", "article", "div") else []
+
+    def handle_data(self, data):
+        self.out[-1] += data if self.depth and not self.skip else ""
+
+
+@tables
+def test_pages_equal_a_plain_extractor(spark):
+    found = {r.page_id: r.text for r in QUERIES["op8_html"](spark, SF_DIR).collect()}
+    pages = spark.read.parquet(f"{SF_DIR}/pages.parquet").collect()
+    assert len(found) == len(pages)
+    for r in pages:
+        plain = PlainText()
+        plain.feed(r.html or "")
+        assert found[r.page_id] == "\n\n".join(" ".join(x.split()) for x in plain.out if x.split())
 
 
 def test_common_lines_is_longest():
