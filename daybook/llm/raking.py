@@ -8,60 +8,88 @@ from math import exp
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from daybook.llm.common import stored
 
 #: Rounds at most, and the largest deviation from a target share that ends them.
-ROUNDS, CLOSE = 25, 1e-5
+ROUNDS, CLOSE = 24, 1e-5
+#: Rounds of one written step.
+STRIDE = 3
 #: Share of a sample, in words, that cells may hold which are kept whole.
 WHOLE = 0.01
 log = logging.getLogger(__name__)
 
 
+def _aimed(cells: DataFrame, margins: Sequence[str], targets: Mapping[str, DataFrame]) -> DataFrame:
+    """cells with weight and, per margin, the mass that the cell's value shall have: null
+    without a target. Shares are scaled to 1 over the values that have mass."""
+    start = F.col("weight") if "weight" in cells.columns else F.lit(1.0).alias("weight")
+    now = cells.select(*margins, "mass", start)
+    for i, margin in enumerate(margins):
+        aim = targets[margin].where("share > 0").select(margin, F.col("share").alias(f"share{i}"))
+        now = now.join(aim, margin, "left").withColumn(f"part{i}", F.try_divide(F.col("mass"), F.sum("mass").over(Window.partitionBy(margin))))
+    now = stored(now, "cells")
+    # A value's cells hold parts of it that add up to 1, so this adds each share once.
+    sums = now.where("mass > 0").agg(F.sum("mass"), *[F.sum(F.col(f"share{i}") * F.col(f"part{i}")) for i in range(len(margins))]).first()
+    total = sums[0] or 0.0
+    goals = [(F.col(f"share{i}") * (total / (sums[i + 1] or 1.0))).alias(f"goal{i}") for i in range(len(margins))]
+    return now.select(*margins, "mass", "weight", *goals)
+
+
 def rake(cells: DataFrame, margins: Sequence[str], targets: Mapping[str, DataFrame], rounds: int = ROUNDS, most: float | None = None) -> DataFrame:
     """Weights of cells (margins..., mass) that meet the targets' shares: cells with weight.
 
     targets: for each margin a frame (margin, share). In every round each margin in
     turn gets a factor per value: its target mass by its present mass. A cell's weight
     is the product of its factors. Values without a target or with share 0 get weight
-    0; target values that no cell has are left out, and shares are scaled to 1.
+    0; target values that no cell has are left out, and shares are scaled to 1. Null is
+    no value: give it a name.
 
     most: no weight passes it; the cells below it then make up for those at it, as far
     as they can, and rounds end when weights stay. Weights that cells bring are the start.
+    Rounds end after so many all the same: deviations tells what is met.
 
-    Cells are aggregates; each round writes them anew, so that lineage does not grow.
-    A margin's sums are added up in each task before they meet.
+    Cells are aggregates, so a value's cells fit a window partition, which spills.
+    Present masses are sums over windows: no join, no broadcast, nothing on the driver
+    but one row. STRIDE rounds are written at once, so that lineage does not grow.
     """
-    start = F.col("weight") if "weight" in cells.columns else F.lit(1.0).alias("weight")
-    now = stored(cells.select(*margins, "mass", start), "cells")
-    total = now.agg(F.sum("mass").alias("m")).first()["m"] or 0.0
-    goals = {}
-    for margin in margins:
-        there = now.groupBy(margin).agg(F.sum("mass").alias("mass")).where("mass > 0").drop("mass")
-        aim = there.join(targets[margin].where("share > 0").select(margin, "share"), margin)
-        scale = aim.agg(F.sum("share").alias("scale"))
-        # One row: the sum of all shares.
-        goals[margin] = aim.join(scale, F.lit(True)).select(margin, (F.col("share") * (total / F.col("scale"))).alias("goal"))
-        goals[margin] = stored(goals[margin], "goal")
-    for _ in range(rounds):
-        step = now.withColumn("step", F.lit(0.0)).withColumn("before", F.col("weight"))
-        for margin in margins:
-            present = step.groupBy(margin).agg(F.sum(F.col("mass") * F.col("weight")).alias("present")).where("present > 0")
-            factor = present.join(goals[margin], margin).select(margin, (F.col("goal") / F.col("present")).alias("factor"))
-            step = (
-                step.join(factor, margin, "left")
-                .withColumn("weight", F.col("weight") * F.coalesce("factor", F.lit(0.0)))
-                .withColumn("step", F.greatest("step", F.abs(F.coalesce("factor", F.lit(1.0)) - 1)))
-                .drop("factor")
-            )
-            if most is not None:
-                step = step.withColumn("weight", F.least("weight", F.lit(most)))
+    now = _aimed(cells, margins, targets)
+    for done in range(0, rounds, STRIDE):
+        for _ in range(min(STRIDE, rounds - done)):
+            now = now.withColumn("before", F.col("weight")).withColumn("step", F.lit(0.0))
+            for i, margin in enumerate(margins):
+                present = F.sum(F.col("mass") * F.col("weight")).over(Window.partitionBy(margin))
+                now = now.withColumn("present", present)
+                factor = F.when(F.col("present") > 0, F.coalesce(F.col(f"goal{i}"), F.lit(0.0)) / F.col("present")).otherwise(0.0)
+                weight = F.col("weight") * F.col("factor")
+                now = now.withColumn("factor", factor).select(
+                    *[c for c in now.columns if c not in ("weight", "step", "present")],
+                    (weight if most is None else F.least(weight, F.lit(most))).alias("weight"),
+                    F.greatest("step", F.when(F.col("present") > 0, F.abs(F.col("factor") - 1)).otherwise(0.0)).alias("step"),
+                )
         if most is not None:
-            step = step.withColumn("step", F.when(F.col("before") > 0, F.abs(F.col("weight") / F.col("before") - 1)).otherwise(0.0))
-        now = stored(step.drop("before"), "weights")
+            now = now.withColumn("step", F.when(F.col("before") > 0, F.abs(F.col("weight") / F.col("before") - 1)).otherwise(0.0))
+        now = stored(now.drop("before"), "weights")
         if (now.agg(F.max("step")).first()[0] or 0.0) < CLOSE:
             break
-    return now.drop("step")
+    return now.select(*margins, "mass", "weight")
+
+
+def deviations(raked: DataFrame, margins: Sequence[str], targets: Mapping[str, DataFrame]) -> DataFrame:
+    """margin, value, target, share, deviation: for every value of a margin with mass or
+    with a target its target share, the share of the weighted mass and their difference."""
+    out = None
+    for margin in margins:
+        there = raked.where("mass > 0").groupBy(margin).agg(F.sum(F.col("mass") * F.col("weight")).alias("mass"))
+        both = targets[margin].select(margin, "share").join(there, margin, "full")
+        wanted = F.when(F.col("mass").isNotNull(), F.coalesce("share", F.lit(0.0)))
+        # One margin's values are few beside its cells; their sums are one row each.
+        sums = both.agg(F.sum(wanted), F.sum("mass")).first()
+        target, share = F.coalesce(wanted, F.lit(0.0)) / (sums[0] or 1.0), F.coalesce("mass", F.lit(0.0)) / (sums[1] or 1.0)
+        rows = both.select(F.lit(margin).alias("margin"), F.col(margin).cast("string").alias("value"), target.alias("target"), share.alias("share"))
+        out = rows if out is None else out.union(rows)
+    return out.withColumn("deviation", F.col("share") - F.col("target"))
 
 
 def token_mass(text: Column) -> Column:
@@ -121,14 +149,16 @@ def sampled(docs: DataFrame, power: float = 0.8, budget: float = 1.0) -> DataFra
     Mass is added up to cells in each task before anything moves, and only cells and
     factors meet again, so a source with a third of all rows is no hot key.
     """
-    named = docs.drop("topic", "n_words", "weight", "keep_chance").select(
-        "*",
+    # The row travels as one column, so no name of it can clash.
+    added = ("topic", "n_words", "weight", "keep_chance")
+    named = docs.select(
+        F.struct("*").alias("row"),
         topic(F.col("text")).alias("topic"),
         token_mass(F.col("text")).alias("n_words"),
-        F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("_source"),
-        F.coalesce(F.concat(F.lit("="), "lang"), F.lit("")).alias("_lang"),
-    ).withColumn("_topic", F.col("topic"))
-    margins = ("_source", "_lang", "_topic")
+        F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("source"),
+        F.coalesce(F.concat(F.lit("="), "lang"), F.lit("")).alias("lang"),
+    )
+    margins = ("source", "lang", "topic")
     cells = stored(named.groupBy(*margins).agg(F.sum("n_words").alias("mass")), "mass")
     targets = {m: tempered(cells, m, power) for m in margins}
     raked = rake(cells, margins, targets)
@@ -137,12 +167,15 @@ def sampled(docs: DataFrame, power: float = 0.8, budget: float = 1.0) -> DataFra
         raked = rake(raked, margins, targets, most=most)
     sums = raked.agg(F.sum("mass"), F.sum(F.col("mass") * F.col("weight"))).first()
     log.info("a share of %.4f of the words is kept", (sums[1] or 0.0) / most * budget / (sums[0] or 1.0))
+    if log.isEnabledFor(logging.INFO):
+        for r in deviations(raked, margins, targets).groupBy("margin").agg(F.max(F.abs("deviation")).alias("d")).collect():
+            log.info("shares of %s are within %.6f of their targets", r["margin"], r["d"])
     raked = raked.select(*margins, "weight")
     chance = F.when(F.col("n_words") > 0, F.least(F.lit(1.0), F.coalesce("weight", F.lit(0.0)) * F.lit(budget / most)))
-    draw = (F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 53)) + 0.5) / float(1 << 53)
+    draw = (F.pmod(F.xxhash64("row.doc_id", "row.text"), F.lit(1 << 53)) + 0.5) / float(1 << 53)
     return (
         named.join(raked, list(margins), "left")
         .withColumn("keep_chance", F.round(F.coalesce(chance, F.lit(0.0)), 9))
         .where(draw < F.col("keep_chance"))
-        .drop(*margins)
+        .select(*[F.col("row")[c].alias(c) for c in docs.columns if c not in added], *added)
     )
