@@ -268,12 +268,14 @@ def _cuts(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def without_repeats(docs: DataFrame) -> DataFrame:
     """The rows of docs with repeated passages cut out of their texts; n_chars, if docs
     has it, is counted anew for texts that changed. Documents are never dropped."""
-    plain = docs.select("doc_id", "text")
-    marked = _with_spans(plain.withColumn("key", F.xxhash64("doc_id", "text"))).where("spans is not null")
+    key = F.xxhash64("doc_id", "text").alias("key")
+    marked = _with_spans(docs.select("doc_id", "text", key)).where("spans is not null")
     cut = marked.dropDuplicates(["key"]).select("key", "text", "spans").mapInPandas(_cuts, "key long, text string")
-    cut = cut.withColumnRenamed("text", "_cut_text")
-    out = docs.withColumn("key", F.xxhash64("doc_id", "text")).join(cut, "key", "left")
-    changed = F.col("_cut_text").isNotNull()
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(changed, F.length("_cut_text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out.withColumn("text", F.coalesce("_cut_text", "text")).select(docs.columns)
+    # The row travels as one column, so no name of it can clash.
+    out = docs.select(F.struct("*").alias("doc"), key).join(cut, "key", "left")
+    whole = {c: F.col("doc")[c] for c in docs.columns}
+    if "n_chars" in whole:
+        counted = F.length("text").cast(docs.schema["n_chars"].dataType)
+        whole["n_chars"] = F.when(F.col("text").isNotNull(), counted).otherwise(whole["n_chars"])
+    whole["text"] = F.coalesce("text", whole["text"])
+    return out.select(*[x.alias(c) for c, x in whole.items()])
