@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.llm import decontaminate, languages, minhash, raking, substrings
@@ -15,6 +15,19 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 MIN_FIT = 0.0
 
 
+def row_key() -> Column:
+    """A row by its id and text, for rows without an id and ids with several texts."""
+    return F.xxhash64("doc_id", "text")
+
+
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """docs without the rows whose row_key stands in gone as doc_id. A row travels as one
+    column, so no name of it can clash."""
+    whole = docs.select(F.struct("*").alias("doc"), row_key().alias("row"))
+    rest = whole.join(gone.select(F.col("doc_id").alias("row")).distinct(), "row", "left_anti")
+    return rest.select(*[F.col("doc")[c].alias(c) for c in docs.columns])
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents without a letter and those that no language fits: junk in
     letters and languages the model never saw. The model learns from all documents with
@@ -23,15 +36,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Rows without a doc_id are judged by their text; rows of one id and text alike.
     """
     model = languages.train(docs.select("text", "lang"))
-    judged = docs.withColumn("_row", F.xxhash64("doc_id", "text"))
-    by_row = judged.select(F.col("_row").alias("doc_id"), "text")
-    rejected = (
-        languages.predict(by_row, model)
-        .where((F.col("lang_pred") == languages.UNKNOWN) | (F.col("fit") < MIN_FIT))
-        .select(F.col("doc_id").alias("_row"))
-        .distinct()
-    )
-    return judged.join(rejected, "_row", "left_anti").select(docs.columns)
+    judged = languages.predict(docs.select(row_key().alias("doc_id"), "text"), model)
+    return without(docs, judged.where((F.col("lang_pred") == languages.UNKNOWN) | (F.col("fit") < MIN_FIT)))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,10 +56,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a passage of a benchmark item."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    judged = docs.withColumn("_row", F.xxhash64("doc_id", "text"))
-    found = decontaminate.contaminated(judged.select(F.col("_row").alias("doc_id"), "text"), benchmark)
-    gone = found.where("contaminated").select(F.col("doc_id").alias("_row")).distinct()
-    return judged.join(gone, "_row", "left_anti").select(docs.columns)
+    return without(docs, decontaminate.contaminated(docs.select(row_key().alias("doc_id"), "text"), benchmark).where("contaminated"))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
