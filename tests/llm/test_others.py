@@ -23,23 +23,35 @@ def test_neighbours_against_brute_force(spark, monkeypatch):
     rng = np.random.default_rng(3)
     matrix = rng.normal(size=(1500, 16))
     rows = [(i, v.tolist()) for i, v in enumerate(matrix)]
-    odd = [(9001, None), (9002, [0.0] * 16), (9003, [float("nan")] * 16), (9004, [1.0]), (None, [1.0] * 16), (9005, [])]
+    odd = [(9001, None), (9002, [0.0] * 16), (9003, [float("nan")] * 16), (None, [1.0] * 16), (9005, []), (9006, [None] * 16), (9007, [float("inf")])]
+    # Other numbers of dimensions, one of them large enough for pivots of its own.
+    odd += [(9200, [1.0]), (9201, [3.0]), (9300, [2.5, 1.0])]
+    other = [(20_000 + i, v.tolist()) for i, v in enumerate(rng.normal(size=(400, 5)))]
     twin = [(1600, matrix[0].tolist()), (1601, matrix[0].tolist()), rows[5]]
-    frame = spark.createDataFrame(rows + odd + twin, "vec_id long, embedding array<double>")
+    frame = spark.createDataFrame(rows + odd + twin + other, "vec_id long, embedding array<double>")
+    frame = frame.withColumn("ids", F.lit("clash")).withColumn("dim", F.lit(1)).withColumn("block", F.lit(None))
     monkeypatch.setattr(pivots, "BLOCK_ROWS", 600)
     monkeypatch.setattr(pivots, "QUERY_ROWS", 7)
     monkeypatch.setattr(pivots, "MIN_RERANKED", 150)
     found = pivots.nearest_neighbours(frame, frame.where("vec_id % 100 = 0"))
-    real = {i: np.array(v) for i, v in rows + twin}
+    real = {i: np.array(v) for i, v in rows + twin + other + [x for x in odd if 9200 <= (x[0] or 0) <= 9300]}
     expected = []
     for q in [i for i in real if i % 100 == 0]:
-        order = sorted((float(np.sqrt(((real[q] - v) ** 2).sum())), i) for i, v in real.items() if i != q)[:10]
-        expected += [(q, i, s) for s, i in order]
-    exact = spark.createDataFrame(expected, "query_id long, vec_id long, score double")
+        order = sorted((float(np.sqrt(((real[q] - v) ** 2).sum())), i) for i, v in real.items() if i != q and len(v) == len(real[q]))[:10]
+        expected += [(q, i, s, n + 1) for n, (s, i) in enumerate(order)]
+    exact = spark.createDataFrame(expected, "query_id long, vec_id long, score double, rank int")
     assert pivots.recall(found, exact) >= 0.9
+    # What is found has exact scores and is in order; reranking all finds all.
+    whole = sorted((r.query_id, r["rank"], r.vec_id, round(r.score, 9)) for r in pivots.nearest_neighbours(frame, frame.where("vec_id % 100 = 0"), reranked=1.0).collect())
+    assert whole == sorted((q, n, i, round(s, 9)) for q, i, s, n in expected)
+    by_query = {}
+    for r in found.orderBy("query_id", "rank").collect():
+        assert r.vec_id in real and abs(r.score - np.sqrt(((real[r.query_id] - real[r.vec_id]) ** 2).sum())) < 1e-9
+        by_query.setdefault(r.query_id, []).append((r.score, r.vec_id))
+    assert all(x == sorted(x) for x in by_query.values())
     first = found.where("query_id = 0").orderBy("rank").limit(2).collect()
     assert [(r.rank, r.vec_id, r.score) for r in first] == [(1, 1600, 0.0), (2, 1601, 0.0)]
-    assert found.count() == 16 * 10
+    assert found.count() == len(expected) == 16 * 10 + 1 + 4 * 10
     assert pivots.nearest_neighbours(frame.limit(0), frame.limit(0)).count() == 0
     few = frame.where("vec_id in (0, 1, 2)")
     assert pivots.nearest_neighbours(few, few).count() == 6
