@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from daybook.llm import decontaminate, languages, licenses, minhash, raking, substrings, tokens
-from daybook.llm.common import components
+from daybook.llm.common import components, word_hashes
 
 WORDS = [f"w{i}" for i in range(400)]
 RANDOM = random.Random(5)
@@ -182,12 +183,15 @@ def test_benchmark_passages(spark, docs_of, monkeypatch):
     cases = [(1, text(50) + " " + item.upper() + "."), (2, text(20) + "\n" + swapped + " " + text(9)), (3, " ".join(words_[5:20]) + " " + text(9)),
              (4, " ".join(words_[:8]) + " " + text(50)), (5, None), (6, ""), (7, "tiny item here"), (None, item), (8, text(400))]
     bench = spark.createDataFrame([(1, item), (1, item), (2, None), (3, ""), (4, "tiny item here"), (5, text(30))], "item_id long, text string")
-    for limit in (2_000_000, 20):
-        monkeypatch.setattr(decontaminate, "BLOCK_WORDS", limit)
+    for bits in (27, 17):
+        # Few bits let seeds pass that the benchmark lacks.
+        monkeypatch.setattr(decontaminate, "SEED_BITS", bits)
         found = {r.doc_id: r for r in decontaminate.contaminated(docs_of(cases), bench).collect()}
         assert {i for i, r in found.items() if r.contaminated} == {1, 2, 3, 7, None}
         assert found[1].item_ids == [1] and found[7].item_ids == [4]
         assert (found[2].spans[0].start, found[2].spans[0].stop) == (20, 60)
+    twice = decontaminate.contaminated(docs_of(cases + cases[:3]), bench)
+    assert sorted((r.doc_id or 0, r.n_hits) for r in twice.collect()) == sorted((i or 0, found[i].n_hits) for i, _ in cases + cases[:3])
     assert decontaminate.contaminated(docs_of(cases), bench.limit(0)).where("contaminated").count() == 0
     assert decontaminate.contaminated(docs_of([]), bench).count() == 0
 
@@ -206,8 +210,68 @@ def test_any_stretch_of_enough_equal_words_is_a_passage():
         outcomes.add(rule)
     assert outcomes == {True, False}
     item = [f"i{k}" for k in range(60)]
-    index = decontaminate.Index([(1, " ".join(item[:16]))])
-    assert index.passages(" ".join("other" if k == 12 else w for k, w in enumerate(item[:16]))) == [(1, 0, 16, 15 / 16)]
+    assert seeded(" ".join("other" if k == 12 else w for k, w in enumerate(item[:16])), " ".join(item[:16])) == [(0, 16, 15 / 16)]
+
+
+def hashes_of(x):
+    return word_hashes(licenses.words_of(x))
+
+
+def seeded(text_, item):
+    """The passages of an item around the seeds that both have."""
+    x, y = hashes_of(text_), hashes_of(item)
+    own, held = (decontaminate.seeds_of(h, [len(y)] if 0 < len(y) < decontaminate.SHORTEST else []) for h in (x, y))
+    shifts = {p - q for a, b in zip(own, held, strict=True) for q, s in enumerate(b.tolist()) for p in np.flatnonzero(a == np.uint64(s)).tolist()}
+    return decontaminate.passages(x, y, np.array(sorted(shifts), np.int64))
+
+
+def all_shifts(text_, item):
+    """The passages of an item on every shift, without seeds."""
+    x, y = hashes_of(text_), hashes_of(item)
+    found = []
+    for shift in range(-len(y), len(x)):
+        low, high = max(0, -shift), min(len(y), len(x) - shift)
+        equal = x[low + shift : high + shift] == y[low:high]
+        if len(y) < 13:
+            found += [(shift, shift + len(y))] if 0 < len(equal) == len(y) and equal.all() else []
+        elif 5 * equal.sum() >= 4 * 13 - 2:
+            start, stop, share = decontaminate.best_stretch(equal)
+            found += [(start + low + shift, stop + low + shift)] if stop > start and share >= 0.8 else []
+    merged = []
+    for start, stop in sorted(found):
+        if merged and start < merged[-1][1]:
+            merged[-1] = (merged[-1][0], max(stop, merged[-1][1]))
+        else:
+            merged.append((start, stop))
+    return merged
+
+
+def test_contamination_of_a_table_equals_all_shifts(spark, docs_of):
+    draw = random.Random(11)
+    vocabulary = [f"v{i}" for i in range(120)]
+    say = lambda n: [draw.choice(vocabulary) for _ in range(n)]
+    items = [say(draw.choice([3, 7, 8, 12, 13, 20, 60])) for _ in range(25)] + [["la"] * 50, ["a", "b"] * 20]
+    docs = []
+    for i in range(60):
+        parts = say(draw.randrange(0, 80))
+        for _ in range(draw.randrange(0, 3)):
+            item = draw.choice(items)
+            start = draw.randrange(0, max(1, len(item) - 14))
+            parts += [draw.choice(vocabulary) if draw.random() < 0.15 else w for w in item[start : start + draw.randrange(5, 60)]] + say(4)
+        docs.append((i, " ".join(parts)))
+    docs += [(100, "la " * 300), (101, "b a " * 70), (102, None), (103, "")]
+    bench = spark.createDataFrame([(n, " ".join(x)) for n, x in enumerate(items)], "item_id long, text string")
+    found = {r.doc_id: sorted((s.item_id, s.start, s.stop) for s in r.spans) for r in decontaminate.contaminated(docs_of(docs), bench).collect()}
+    assert found == {i: sorted((n, *x) for n, item in enumerate(items) for x in all_shifts(t, " ".join(item))) for i, t in docs}
+    assert sum(map(bool, found.values())) > 20
+
+
+def test_differences_of_many_places():
+    rng = np.random.default_rng(5)
+    x, y = np.flatnonzero(rng.random(9000) < 0.4), np.flatnonzero(rng.random(3000) < 0.5)
+    few = x[:50], y[::40]
+    assert decontaminate.differences(x, y).tolist() == sorted({p - q for p in x.tolist() for q in y.tolist()})
+    assert decontaminate.differences(*few).tolist() == sorted({p - q for p in few[0].tolist() for q in few[1].tolist()})
 
 
 def test_masks_hit_every_passage():
@@ -221,12 +285,15 @@ def test_masks_hit_every_passage():
                 hit |= gone & bits << at == 0
         assert hit.all(), n
     item = [f"i{k}" for k in range(13)]
-    index = decontaminate.Index([(1, " ".join(item)), (2, "la " * 60), (3, "tiny item here"), (4, " ".join(item[:12]))])
     for gone in itertools.combinations(range(13), 2):
-        found = index.passages("x " * 30 + " ".join("other" if k in gone else w for k, w in enumerate(item)) + " y")
-        assert (1, 30, 43, 11 / 13) in found and {i for i, *_ in found} <= {1, 4}
-    assert [i for i, *_ in index.passages("a tiny item here")] == [3]
-    assert len(index.passages("la " * 100)) == 100 + 60 - 2 * 13 + 1
+        text_ = "x " * 30 + " ".join("other" if k in gone else w for k, w in enumerate(item)) + " y"
+        assert seeded(text_, " ".join(item)) == [(30, 43, 11 / 13)]
+    assert seeded("a tiny item here", "tiny item here") == [(1, 4, 1.0)] and seeded("tiny item", "tiny item here") == []
+    started = time.process_time()
+    # Every shift of a text that repeats itself is one passage.
+    x, y = hashes_of("la " * 20_000), hashes_of("la " * 3000)
+    shifts = decontaminate.differences(np.arange(20_000), np.arange(3000))
+    assert decontaminate.passages(x, y, shifts) == [(0, 20_000, 1.0)] and time.process_time() - started < 60
 
 
 def language_rows():
