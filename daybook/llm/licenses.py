@@ -1,4 +1,4 @@
-"""License scan: phrases, and templates contained in text blocks by an exact join."""
+"""License scan: phrases, and templates contained in blocks of text by an exact join."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ from collections import Counter
 from collections.abc import Iterable, Iterator
 from math import ceil
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,27 +20,49 @@ PHRASES = {
     "cc by": "cc-by",
     "mit license": "mit",
 }
-# Wording of public licenses and notices, with the label of each.
+# Sentences of published licenses and notices, with the label of each, as
+# words in lower case.
 TEMPLATES = {
     "this work is licensed under the gnu general public license version": "gpl",
     "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license": "gpl",
+    "this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose": "gpl",
+    "you should have received a copy of the gnu general public license along with this program": "gpl",
+    "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license": "lgpl",
+    "you should have received a copy of the gnu lesser general public license along with this library": "lgpl",
+    "you should have received a copy of the gnu affero general public license along with this program": "agpl",
     "licensed under the apache license version": "apache",
+    "you may not use this file except in compliance with the license": "apache",
     "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis": "apache",
-    "licensed under cc by nc": "cc-by-nc",
-    "licensed under cc by sa": "cc-by-sa",
-    "this work is licensed under a creative commons attribution license": "cc-by",
+    "without warranties or conditions of any kind either express or implied see the license for the specific language governing permissions and limitations under the license": "apache",
+    "this source code form is subject to the terms of the mozilla public license": "mpl",
     "released under the mit license": "mit",
     "permission is hereby granted free of charge to any person obtaining a copy of this software": "mit",
+    "to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software": "mit",
+    "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software": "mit",
     "redistribution and use in source and binary forms with or without modification are permitted": "bsd",
+    "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer": "bsd",
+    "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation": "bsd",
+    "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted": "isc",
+    "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely": "zlib",
+    "this is free and unencumbered software released into the public domain": "unlicense",
+    "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license": "boost",
+    "licensed under cc by": "cc-by",
+    "licensed under cc by nc": "cc-by-nc",
+    "licensed under cc by nd": "cc-by-nd",
+    "licensed under cc by sa": "cc-by-sa",
+    "licensed under cc by nc sa": "cc-by-nc-sa",
+    "licensed under cc by nc nd": "cc-by-nc-nd",
+    "this work is licensed under a creative commons attribution license": "cc-by",
+    "this work is licensed under the creative commons attribution sharealike": "cc-by-sa",
+    "this work is licensed under the creative commons attribution noncommercial": "cc-by-nc",
     "all rights reserved": "all-rights-reserved",
 }
-#: Share of a template's distinct words that a block must hold.
+#: Share of a template's words that a block must hold, each in its place.
 CONTAINMENT = 0.9
 _TO_SPACE = bytes(
     32 if c <= 0x2F or 0x3A <= c <= 0x40 or 0x5B <= c <= 0x60 or 0x7B <= c <= 0x7F else c + 32 if 65 <= c <= 90 else c
     for c in range(256)
 )
-_LINES = bytes(10 if c == 10 else _TO_SPACE[c] for c in range(256))
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -47,23 +70,6 @@ def words_of(text: str | None) -> list[bytes]:
     return utf8(text).translate(_TO_SPACE).split()
 
 
-def blocks_of(text: str | None) -> list[bytes]:
-    """The lines of a text, words apart by spaces."""
-    return utf8(text).translate(_LINES).split(b"\n")
-
-
-def paragraphs_of(text: str | None) -> list[list[bytes]]:
-    """The words of each run of lines without a blank one."""
-    out: list[list[bytes]] = [[]]
-    for line in blocks_of(text):
-        own = line.split()
-        if own:
-            out[-1] += own
-        elif out[-1]:
-            out.append([])
-    return out
-
-
 def word_frequencies(docs: DataFrame, templates: dict[str, str]) -> dict[bytes, int]:
     """In how many documents each word of the templates stands, over all of docs.
 
@@ -82,62 +88,38 @@ def word_frequencies(docs: DataFrame, templates: dict[str, str]) -> dict[bytes,
     return {bytes(r["word"]): r["n"] for r in rows.collect()}
 
 
-class Matcher:
-    """Finds every template that a block contains to the threshold.
+def _need(size: int, containment: float) -> int:
+    return ceil(containment * size - 1e-9)
+
 
-    Words are ordered by frequency over all documents, rarest first. A block that
-    holds at least need = ceil(CONTAINMENT * size) of a template's words holds one of
-    its first size - need + 1 words (prefix), has need words at least (length), and
-    after meeting position p of the template can gain size - p more (position).
+class Matcher:
+    """Finds every template that a block of a text contains to the threshold.
+
+    A block is as many words in a row as the template has, wherever lines end; it contains
+    the template if so many of its words stand in their place. Of all texts, the exact join
+    by sets leaves those that hold enough of a template's different words. Words are
+    ordered by frequency over all documents, rarest first: a text that holds at least need
+    of them holds one of the first size - need + 1 (prefix), has need different
+    words at least (length), and after position p can gain size - p more (position).
     """
 
     def __init__(self, templates: dict[str, str], frequencies: dict[bytes, int], containment: float = CONTAINMENT):
         self.templates = []
         self.prefixes: dict[bytes, list[int]] = {}
         for text, label in templates.items():
-            words = sorted(set(words_of(text)), key=lambda w: (frequencies.get(w, 0), w))
-            need = ceil(containment * len(words) - 1e-9)
+            whole = words_of(text)
+            words = sorted(set(whole), key=lambda w: (frequencies.get(w, 0), w))
+            # A place that differs costs one different word at most.
+            need = max(1, len(words) - (len(whole) - _need(len(whole), containment)))
             for word in words[: len(words) - need + 1]:
                 self.prefixes.setdefault(word, []).append(len(self.templates))
-            self.templates.append((words, need, label))
-        self.lengths = [len(words_of(text)) for text in templates]
-
-    def found(self, block: bytes) -> list[tuple[str, float]]:
-        """Label and containment of the templates in a block."""
-        return [(self.templates[i][2], hit / len(self.templates[i][0])) for i, hit in self.held(set(block.split()))]
-
-    def wrapped(self, words: list[bytes], i: int) -> list[tuple[str, float]]:
-        """Label and largest containment of template i in as many words in a row as it
-        has, wherever lines end: published wording is hard-wrapped."""
-        own, need, label = self.templates[i]
-        sought, inside, best = set(own), Counter(), 0
-        places = [p for p, w in enumerate(words) if w in sought]
-        first = 0
-        for p in places:
-            inside[words[p]] += 1
-            while places[first] <= p - self.lengths[i]:
-                gone = words[places[first]]
-                inside[gone] -= 1
-                if not inside[gone]:
-                    del inside[gone]
-                first += 1
-            best = max(best, len(inside))
-        return [(label, best / len(own))] if best >= need else []
-
-    def found_in(self, text: str | None, words: list[bytes]) -> list[tuple[str, float]]:
-        """Label and containment of the templates in a line, or wrapped over lines of a
-        paragraph. No part of a text holds what the whole does not."""
-        some = self.held(set(words))
-        if not some:
-            return []
-        lines = [x for block in blocks_of(text) for x in self.found(block)]
-        return lines + [x for part in paragraphs_of(text) for i, _ in some for x in self.wrapped(part, i)]
+            self.templates.append((words, need, label, whole, _need(len(whole), containment)))
 
-    def held(self, own: set[bytes]) -> list[tuple[int, int]]:
-        """The templates that a set of words holds, and how many of their words."""
+    def held(self, own: set[bytes]) -> list[int]:
+        """The templates that a set of words can contain."""
         out = []
         for i in sorted({i for w in own & self.prefixes.keys() for i in self.prefixes[w]}):
-            words, need, _ = self.templates[i]
+            words, need, *_ = self.templates[i]
             if len(own) < need:
                 continue
             hit = 0
@@ -146,7 +128,34 @@ class Matcher:
                     break
                 hit += word in own
             if hit >= need:
-                out.append((i, hit))
+                out.append(i)
+        return out
+
+    def found_in(self, words: list[bytes]) -> list[tuple[str, float]]:
+        """Label and containment of the templates that blocks of a text contain. Inside a
+        block of a longer one, a template is part of it and not named."""
+        some = self.held(set(words))
+        if not some:
+            return []
+        sought = {w for i in some for w in self.templates[i][3]}
+        places: dict[bytes, list[int]] = {}
+        for p, word in enumerate(words):
+            if word in sought:
+                places.setdefault(word, []).append(p)
+        blocks = []
+        for i in some:
+            _, _, label, whole, need = self.templates[i]
+            starts = np.concatenate([np.array(places.get(w, ()), np.int64) - j for j, w in enumerate(whole)])
+            starts, hits = np.unique(starts[starts >= 0], return_counts=True)
+            blocks += [(s, s + len(whole), label, h / len(whole)) for s, h in zip(starts.tolist(), hits.tolist(), strict=True) if h >= need]
+        # From the left, the longer first: a block lies in a longer one if one that begins no later ends no sooner.
+        blocks.sort(key=lambda b: (b[0], -b[1]))
+        out, end, longest = [], -1, 0
+        for start, stop, label, share in blocks:
+            if stop > end or stop - start == longest:
+                out.append((label, share))
+            if stop > end:
+                end, longest = stop, stop - start
         return out
 
 
@@ -156,10 +165,11 @@ def phrase_places(words: list[bytes], phrases: Iterable[str]) -> dict[str, list[
     out = {}
     for phrase in phrases:
         sought = b" " + phrase.encode() + b" "
-        at, starts = line.find(sought), []
+        at, last, n, starts = line.find(sought), 0, 0, []
         while at >= 0:
-            starts.append(line.count(b" ", 0, at))
-            at = line.find(sought, at + 1)
+            n += line.count(b" ", last, at)
+            starts.append(n)
+            at, last = line.find(sought, at + 1), at
         if starts:
             out[phrase] = starts
     return out
@@ -173,9 +183,8 @@ def license_labels(
 
     n_base counts all places of the phrases, first_word and last_word are the smallest
     and largest start (null if none), base_labels their labels. labels adds those of
-    templates contained in a line, or wrapped over lines of a paragraph: in as many of
-    its words in a row as the template has; score is the largest containment, 1 with a phrase,
-    else 0. Labels are distinct, sorted and comma-joined, empty if none. Null and empty
+    templates that a block of the text contains (see Matcher), wherever lines end; score
+    is the largest containment, 1 with a phrase, else 0. Labels are distinct, sorted and comma-joined, empty if none. Null and empty
     texts have no words. Texts are scanned whole; repeated rows and null ids are kept;
     other columns are ignored.
     """
@@ -191,7 +200,7 @@ def license_labels(
                 places = phrase_places(words, phrases)
                 starts = [x for own in places.values() for x in own]
                 base = {phrases[p] for p in places}
-                more = matcher.found_in(text, words)
+                more = matcher.found_in(words)
                 score = 1.0 if base else max((s for _, s in more), default=0.0)
                 rows.append(
                     (

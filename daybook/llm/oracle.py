@@ -174,12 +174,14 @@ docs AS (
 ), base AS (
   SELECT r, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word, list(DISTINCT label) AS base FROM places GROUP BY r
 ), own AS (
-  SELECT template, label, list_distinct(string_split(template, ' ')) AS tw FROM templates
-), lines AS (
-  SELECT DISTINCT r, regexp_extract_all(line, {class_}) AS lw FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM words)
+  SELECT label, string_split(template, ' ') AS tw, ceil({licenses.CONTAINMENT} * len(string_split(template, ' ')) - 1e-9) AS need FROM templates
+), blocks AS (
+  SELECT r, label, i AS start, i + len(tw) AS stop, len(list_filter(range(len(tw)), lambda j: w[i + j] = tw[j + 1])) AS hit, len(tw) AS size, need
+  FROM (SELECT r, w, tw, label, need, unnest(range(1, len(w) + 1)) AS i FROM words JOIN own
+    ON len(list_intersect(tw, w)) >= len(list_distinct(tw)) - (len(tw) - need))
 ), held AS (
-  SELECT r, label, len(list_intersect(tw, lw)) AS hit, len(tw) AS size
-  FROM lines JOIN own ON list_has_any(lw, tw) AND len(list_intersect(tw, lw)) >= ceil({licenses.CONTAINMENT} * len(tw) - 1e-9)
+  SELECT * FROM blocks b WHERE hit >= need AND NOT EXISTS (
+    SELECT 1 FROM blocks c WHERE c.r = b.r AND c.hit >= c.need AND c.size > b.size AND c.start <= b.start AND c.stop >= b.stop)
 ), more AS (
   SELECT r, list(DISTINCT label) AS more, max(hit / size) AS best FROM held GROUP BY r
 )

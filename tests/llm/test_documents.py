@@ -6,6 +6,7 @@ import random
 import re
 import time
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from daybook.llm import decontaminate, languages, licenses, minhash, raking, substrings, tokens
 from daybook.llm.common import components, word_hashes
+from daybook.llm.oracle import ORACLE_SQL
 
 WORDS = [f"w{i}" for i in range(400)]
 RANDOM = random.Random(5)
@@ -158,22 +160,61 @@ def test_license_wording_wrapped_over_lines(docs_of):
         (2, "# Redistribution and use in source and binary forms, with or without\r\n# modification, are permitted"),
         (3, "Unless required by applicable law or agreed to in writing, software\n  distributed under the License is distributed on an\n  AS IS basis"),
         (4, "all\nrights\nreserved"), (5, "all rights\n\nreserved"), (6, "all of it is\nnot rights\nthat are reserved"), (7, "all the rights are reserved"),
+        (8, "the rights of all users are reserved here"), (9, "licensed under CC BY-NC-SA 4.0"), (10, "is licensed\n * under cc\n * by nc, or all rights reserved"),
+        (11, "You may not use that file except in compliance with the License."), (12, "use this file except in compliance with the license"),
     ]
     found = {r.doc_id: (r.labels, r.score) for r in licenses.license_labels(docs_of(cases)).collect()}
     assert found == {
-        1: ("mit", 1.0), 2: ("bsd", 1.0), 3: ("apache", 1.0), 4: ("all-rights-reserved", 1.0), 5: ("", 0.0), 6: ("", 0.0), 7: ("all-rights-reserved", 1.0),
+        1: ("mit", 1.0), 2: ("bsd", 1.0), 3: ("apache", 1.0), 4: ("all-rights-reserved", 1.0), 5: ("all-rights-reserved", 1.0), 6: ("", 0.0), 7: ("", 0.0),
+        8: ("", 0.0), 9: ("cc-by,cc-by-nc-sa", 1.0), 10: ("all-rights-reserved,cc-by,cc-by-nc", 1.0), 11: ("apache", 11 / 12), 12: ("", 0.0),
     }
 
 
+def test_license_sql_sees_wrapped_wording(spark, docs_of):
+    draw = random.Random(4)
+    cases = [(i, None if i == 7 else "") for i in (7, 8)]
+    for i in range(10, 90):
+        parts = []
+        for _ in range(draw.randrange(1, 4)):
+            own = draw.choice(list(licenses.TEMPLATES) + list(licenses.PHRASES)).split()
+            own = [draw.choice(["x", "the", "license"]) if draw.random() < 0.06 else w for w in own][draw.randrange(2) :]
+            parts += [w + draw.choice([" ", " ", "\n", "\n# ", ", ", ".\n\n"]) for w in own + draw.choice([[], ["some", "more"]])]
+        cases.append((i, "".join(parts).upper() if i % 9 == 0 else "".join(parts)))
+    found = licenses.license_labels(docs_of(cases))
+    connection = duckdb.connect()
+    connection.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    connection.executemany("INSERT INTO documents VALUES (?, ?)", cases)
+    result = connection.execute(ORACLE_SQL["op9_licenses"])
+    names = [x[0] for x in result.description]
+    expected = result.fetchall()
+    assert sorted(map(tuple, found.select(names).collect())) == sorted(expected)
+    assert sum(r[names.index("n_base")] == 0 and r[names.index("labels")] != "" for r in expected) > 10
+
+
+def test_many_places_of_a_phrase_take_time_in_proportion():
+    started = time.process_time()
+    words_ = licenses.words_of("cc by " * 100_000)
+    places = licenses.phrase_places(words_, licenses.PHRASES)["cc by"]
+    assert places == list(range(0, 200_000, 2)) and time.process_time() - started < 10
+
+
 def test_prefix_filter_finds_what_all_pairs_find():
-    templates = {" ".join(RANDOM.sample(WORDS[:60], RANDOM.randrange(3, 15))): f"t{i}" for i in range(30)}
+    templates = {" ".join(RANDOM.choice(WORDS[:60]) for _ in range(RANDOM.randrange(3, 15))): f"t{i}" for i in range(30)}
     frequencies = {w.encode(): RANDOM.randrange(50) for w in WORDS[:60]}
     matcher = licenses.Matcher(templates, frequencies, 0.7)
     for _ in range(300):
-        block = " ".join(RANDOM.choice(WORDS[:60]) for _ in range(RANDOM.randrange(1, 60))).encode()
-        own = set(block.split())
-        every = {x for t, x in templates.items() for w in [set(t.encode().split())] if len(w & own) >= 0.7 * len(w) - 1e-9}
-        assert {x for x, _ in matcher.found(block)} == every
+        text_ = [RANDOM.choice(WORDS[:60]).encode() for _ in range(RANDOM.randrange(1, 30))]
+        for t in RANDOM.sample(list(templates), 2):
+            text_ += [RANDOM.choice(WORDS[:60]).encode() if RANDOM.random() < 0.2 else w.encode() for w in t.split()]
+        every = []
+        for t, label in templates.items():
+            own = [w.encode() for w in t.split()]
+            for at in range(len(text_)):
+                hit = sum(a == b for a, b in zip(own, text_[at:], strict=False))
+                if hit >= 0.7 * len(own) - 1e-9:
+                    every.append((at, at + len(own), label, hit / len(own)))
+        inside = lambda b: any(c[1] - c[0] > b[1] - b[0] and c[0] <= b[0] and c[1] >= b[1] for c in every)  # noqa: E731, B023
+        assert sorted(matcher.found_in(text_)) == sorted((b[2], b[3]) for b in every if not inside(b))
 
 
 def test_benchmark_passages(spark, docs_of, monkeypatch):
