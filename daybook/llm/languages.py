@@ -14,8 +14,10 @@ from daybook.llm.common import per_document, slices
 
 #: Bits of a hashed n-gram, and its characters.
 BITS, LENGTH = 15, 3
-#: Bounds: languages of a model, rounds of the mixture inference.
-MAX_LANGUAGES, ROUNDS = 256, 8
+#: Languages of a model: more than have a code of their own.
+MAX_LANGUAGES = 8192
+#: Mixture inference ends when no share changes by more, or after so many rounds.
+CLOSE, ROUNDS = 1e-4, 500
 #: Log-likelihood that a further language must add, for each doubling of the text's n-grams.
 PENALTY = 2.0
 UNKNOWN = "und"
@@ -68,8 +70,8 @@ def _partial_counts(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def train(docs: DataFrame) -> Model:
     """The n-gram counts of all rows (text, lang) with a language, summed by Spark.
 
-    Each task sends one row per language and n-gram bin, so the driver gets at most
-    MAX_LANGUAGES times 2**BITS sums, whatever the input; more languages raise.
+    Each task sends one row per language and n-gram bin, and the driver gets one row per
+    language, one after another: 2**BITS sums each, whatever the input.
     """
     sums = (
         docs.where("lang is not null")
@@ -78,17 +80,18 @@ def train(docs: DataFrame) -> Model:
         .groupBy("lang", "bin")
         .agg(F.sum("n").alias("n"))
         .groupBy("lang")
-        .agg(F.collect_list(F.struct("bin", "n")).alias("sums"))
-        .limit(MAX_LANGUAGES + 1)
-        .collect()
+        .agg(F.collect_list("bin").alias("bins"), F.collect_list("n").alias("sums"))
     )
-    if len(sums) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    sums = sorted(sums, key=lambda r: r["lang"])
-    counts = np.full((1 << BITS, len(sums)), 0.1)
-    for i, row in enumerate(sums):
-        counts[[x["bin"] for x in row["sums"]], i] += [x["n"] for x in row["sums"]]
-    return Model([r["lang"] for r in sums], (counts / counts.sum(axis=0)).astype(np.float64))
+    found = {}
+    for row in sums.toLocalIterator():
+        own = np.full(1 << BITS, 0.1)
+        own[row["bins"]] += row["sums"]
+        found[row["lang"]] = (own / own.sum()).astype(np.float32)
+        if len(found) > MAX_LANGUAGES:
+            raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    names = sorted(found)
+    chances = np.stack([found.pop(x) for x in names], axis=1) if names else np.zeros((1 << BITS, 0), np.float32)
+    return Model(names, chances)
 
 
 class _Texts:
@@ -98,40 +101,66 @@ class _Texts:
         self.sizes = np.array([len(bins) for bins, _ in parts])
         self.starts = np.concatenate([[0], np.cumsum(self.sizes)[:-1]])
         self.counts = np.concatenate([counts for _, counts in parts])
-        self.chances = model.chances[np.concatenate([bins for bins, _ in parts])]
+        self.chances = model.chances[np.concatenate([bins for bins, _ in parts])].astype(np.float64)
         self.total = np.add.reduceat(self.counts, self.starts)
 
-    def fitted(self, shares: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray]:
-        """Shares after rounds of expectation-maximisation, and their log-likelihoods."""
+    def part(self, some: np.ndarray) -> _Texts:
+        """The texts at these places."""
+        out = object.__new__(_Texts)
+        inside = np.zeros(len(self.sizes), bool)
+        inside[some] = True
+        flat = np.repeat(inside, self.sizes)
+        out.sizes, out.total = self.sizes[some], self.total[some]
+        out.starts = np.concatenate([[0], np.cumsum(out.sizes)[:-1]])
+        out.counts, out.chances = self.counts[flat], self.chances[flat]
+        return out
+
+    def fitted(self, shares: np.ndarray, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Shares after expectation-maximisation, their log-likelihoods, and whether they
+        have come to rest. Texts whose shares have leave, so long rounds are for few."""
+        shares, texts, left = shares.copy(), self, np.arange(len(shares))
         for _ in range(rounds):
-            weight = self.counts / self._mass(shares)
-            shares = shares * np.add.reduceat(self.chances * weight[:, None], self.starts, axis=0) / self.total[:, None]
-        return shares, np.add.reduceat(self.counts * np.log(self._mass(shares)), self.starts)
+            now = shares[left]
+            weight = texts.counts / texts._mass(now)
+            step = now * np.add.reduceat(texts.chances * weight[:, None], texts.starts, axis=0) / texts.total[:, None]
+            shares[left] = step
+            moving = np.abs(step - now).max(axis=1) > CLOSE
+            if not moving.any():
+                left = left[:0]
+                break
+            if moving.mean() < 0.75:
+                texts, left = texts.part(np.flatnonzero(moving)), left[moving]
+        likelihood = np.add.reduceat(self.counts * np.log(self._mass(shares)), self.starts)
+        resting = np.ones(len(shares), bool)
+        resting[left] = False
+        return shares, likelihood, resting
 
     def _mass(self, shares: np.ndarray) -> np.ndarray:
         return np.einsum("ij,ij->i", self.chances, np.repeat(shares, self.sizes, axis=0))
 
 
-def mixtures(model: Model, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+def mixtures(model: Model, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Each text's proportions of the model's languages (rows of zeros without letters),
-    and its fit: log-likelihood per n-gram over that of all n-grams equally likely.
+    its fit: log-likelihood per n-gram over that of all n-grams equally likely, and
+    whether all inference it rests on has come to rest.
 
-    Expectation-maximisation runs first over all languages. Then sets of the one, two
-    and so on strongest are fitted anew, and the set with the best likelihood less
+    Expectation-maximisation runs first over all languages. The likeliest language by
+    itself and sets of the two, three and so on strongest are fitted anew, and the set with the best likelihood less
     PENALTY per further language and doubling of the n-grams wins. Sets grow for as
     long as the likelihood of all languages leaves room for a better one.
     """
     k = len(model.languages)
-    out, fit = np.zeros((len(texts), k)), np.full(len(texts), np.nan)
+    out, fit, rests = np.zeros((len(texts), k)), np.full(len(texts), np.nan), np.ones(len(texts), bool)
     parts = [grams(t) for t in texts]
     full = np.array([i for i, (bins, _) in enumerate(parts) if len(bins)], np.int64)
     if not len(full) or not k:
-        return out, fit
+        return out, fit, rests
     found = _Texts(model, [parts[i] for i in full])
-    everything, bound = found.fitted(np.full((len(full), k), 1 / k), ROUNDS)
+    everything, bound, resting = found.fitted(np.full((len(full), k), 1 / k))
     place = np.argsort(np.argsort(-everything, axis=1, kind="stable"), axis=1, kind="stable")
-    best = (place == 0).astype(np.float64)
-    _, score = found.fitted(best, 0)
+    alone = np.add.reduceat(np.log(found.chances) * found.counts[:, None], found.starts, axis=0)
+    best = np.eye(k)[alone.argmax(axis=1)]
+    score = alone.max(axis=1)
     plain = score.copy()
     price = PENALTY * np.log2(1 + found.total)
     held = None
@@ -141,25 +170,27 @@ def mixtures(model: Model, texts: list[str | None]) -> tuple[np.ndarray, np.ndar
         if not len(left):
             break
         if held is None or len(held) != len(left):
-            held, again = left, _Texts(model, [parts[i] for i in full[left]])
-        shares, likelihood = again.fitted(np.where(place[left] < size, 1 / size, 0.0), ROUNDS)
+            held, again = left, found.part(left)
+        shares, likelihood, still = again.fitted(np.where(place[left] < size, 1 / size, 0.0))
+        resting[left] &= still
         worth = likelihood - (size - 1) * price[left]
         better = worth > score[left]
         best[left[better]], score[left[better]], plain[left[better]] = shares[better], worth[better], likelihood[better]
     out[full] = best
     fit[full] = plain / found.total + BITS * np.log(2)
-    return out, fit
+    rests[full] = resting
+    return out, fit, rests
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, lang_pred, score, languages, fit per row of docs.
+    """doc_id, lang_pred, score, languages, fit, converged per row of docs.
 
     lang_pred is the language with the largest share of the whole text, ties to the
     first in order of names, and score its share (0 to 1). A null or empty text, or
     one without a letter, or an empty model gives UNKNOWN with score 0. languages is
     the chosen set with shares. fit tells whether any language fits: below 0 a draw of
     n-grams all equally likely explains the text better than its languages do; it is
-    null with UNKNOWN. The model is bounded by its parameters and goes to
+    null with UNKNOWN. converged is false where shares still moved after ROUNDS rounds. The model is bounded by its parameters and goes to
     the tasks once. Repeated rows and null ids are kept; other columns are ignored.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -167,18 +198,18 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     def predictions(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = shared.value
         for part in slices(batches, 64):
-            shares, fits = mixtures(model, list(part["text"]))
+            shares, fits, rests = mixtures(model, list(part["text"]))
             rows = []
-            for doc_id, own, fit in zip(part["doc_id"], shares, fits.tolist(), strict=True):
+            for doc_id, own, fit, rest in zip(part["doc_id"], shares, fits.tolist(), rests.tolist(), strict=True):
                 if not own.any():
-                    rows.append((doc_id, UNKNOWN, 0.0, {}, None))
+                    rows.append((doc_id, UNKNOWN, 0.0, {}, None, True))
                     continue
                 at = int(own.argmax())
                 found = {model.languages[i]: float(own[i]) for i in np.flatnonzero(own)}
-                rows.append((doc_id, model.languages[at], min(1.0, float(own[at])), found, fit))
-            yield pd.DataFrame(rows, columns=["doc_id", "lang_pred", "score", "languages", "fit"])
+                rows.append((doc_id, model.languages[at], min(1.0, float(own[at])), found, fit, rest))
+            yield pd.DataFrame(rows, columns=["doc_id", "lang_pred", "score", "languages", "fit", "converged"])
 
-    return per_document(docs, predictions, "lang_pred string, score double, languages map<string,double>, fit double")
+    return per_document(docs, predictions, "lang_pred string, score double, languages map<string,double>, fit double, converged boolean")
 
 
 def held_out() -> F.Column:

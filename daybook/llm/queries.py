@@ -32,7 +32,7 @@ def op3_raking(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = languages.train(docs.where(~languages.held_out() & F.col("doc_id").isNotNull()).select("text", "lang"))
-    return languages.predict(docs, model).select("doc_id", languages.held_out().alias("held_out"), "lang_pred", "score", "languages")
+    return languages.predict(docs, model).select("doc_id", languages.held_out().alias("held_out"), "lang_pred", "score", "languages", "converged")
 
 
 #: A conversation whose texts are control strings, added to every input.
