@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterable, Iterator
-from functools import cache
+from functools import cache, cached_property
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pandas as pd
@@ -17,6 +18,8 @@ from daybook.llm.common import per_document, slices, utf8
 # Fixed value: the pre-token pattern of this kind of vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 _NONE = np.int64(1) << 40
+#: From so many bytes on a piece is merged by a queue: rounds over all of it would be too many.
+LONG = 2048
 
 
 def byte_symbols() -> dict[int, str]:
@@ -57,10 +60,13 @@ class Merges:
         """Symbols left of each piece after all merges.
 
         All pieces lie in one array. In each round every piece finds its own pair of
-        lowest rank and merges all places of it, from the left. Finished pieces leave.
+        lowest rank and merges all places of it, from the left. Finished pieces leave. Pieces over LONG bytes,
+        which would take as many rounds as they have different pairs, wait in a queue.
         """
         out = np.array([len(p) for p in pieces], np.int64)
-        active = np.flatnonzero(out > 1)
+        for i in np.flatnonzero(out > LONG):
+            out[i] = self.queued(pieces[i])
+        active = np.flatnonzero((out > 1) & (np.array([len(p) for p in pieces]) <= LONG))
         symbols = self.bytes[np.frombuffer(b"".join(pieces[i] for i in active), np.uint8)]
         owner = np.repeat(np.arange(len(active)), out[active])
         sizes = out[active].copy()
@@ -87,6 +93,43 @@ class Merges:
         out[active] = sizes
         return out
 
+    def queued(self, piece: bytes) -> int:
+        """Symbols left of a long piece: its pairs wait by rank, then place."""
+        symbols = self.bytes[np.frombuffer(piece, np.uint8)].tolist()
+        after = [*range(1, len(symbols)), -1]
+        before = [-1, *range(len(symbols) - 1)]
+        ranks, results = self.lookup(np.array(symbols[:-1]), np.array(symbols[1:]))
+        # rank, place, both symbols: a pair that has changed since is passed over.
+        waiting = [(int(ranks[i]), int(i), symbols[i], symbols[i + 1], int(results[i])) for i in np.flatnonzero(ranks < _NONE)]
+        heapify(waiting)
+        left = len(symbols)
+
+        def wait(i: int, j: int) -> None:
+            pair = (symbols[i] << 32) | symbols[j]
+            if pair in self.table:
+                rank, result = self.table[pair]
+                heappush(waiting, (rank, i, symbols[i], symbols[j], result))
+
+        while waiting:
+            _, i, x, y, result = heappop(waiting)
+            j = after[i]
+            if symbols[i] != x or j < 0 or symbols[j] != y:
+                continue
+            symbols[i], symbols[j] = result, -1
+            after[i] = after[j]
+            left -= 1
+            if after[i] >= 0:
+                before[after[i]] = i
+                wait(i, after[i])
+            if before[i] >= 0:
+                wait(before[i], i)
+        return left
+
+    @cached_property
+    def table(self) -> dict[int, tuple[int, int]]:
+        """Rank and result by pair; made when the first long piece comes."""
+        return dict(zip(self.pairs.tolist(), zip(self.ranks.tolist(), self.results.tolist(), strict=True), strict=True))
+
     def count(self, texts: list[str]) -> np.ndarray:
         """Tokens of each text."""
         split: list[list[str]] = []
