@@ -197,7 +197,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     shingles that no other candidate has rule the link out. So a group of n copies costs about n
     comparisons, and no possible link is dropped.
 
-    A doc_id names one text; a repeated row is in its twin's group. A document without words or text is
+    A doc_id names one text, links of one with several are those of its least text; a repeated row is in its twin's group. A document without words or text is
     linked with nothing. A null doc_id stands alone: component_id null, kept true.
     Empty input gives an empty result; other columns of docs are ignored.
     """
@@ -214,7 +214,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     # Texts of candidates only, one of each set.
     live = tables.select("node").distinct()
     texts = stored(
-        docs.select(F.col("doc_id").alias("node"), "text").join(live, "node", "left_semi").dropDuplicates(["node"]),
+        docs.select(F.col("doc_id").alias("node"), "text").join(live, "node", "left_semi").groupBy("node").agg(F.min("text").alias("text")),
         "texts",
     )
     links = confirmed(star.select(F.col("least").alias("a"), F.col("node").alias("b")), texts)
