@@ -129,6 +129,7 @@ def test_token_counts_equal_the_library(docs_of):
     public_tokenizers = pytest.importorskip("public_tokenizers")
     library = pytest.importorskip("tokenizers").Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     odd = ["a" * 999, "aaa  bb\n\n x", "<|endoftext|> a<|endoftext|>", "\x1c\x85\xa0 ²Ⅷ it's 'sx", "🎉é́ ​﻿", " " * 70]
+    odd += ["".join(RANDOM.choice("etaoinshrdlu") for _ in range(n)) for n in (2047, 2048, 2049, 30_000)] + ["ab" * 3000, "é" * 2000, "-=" * 2000]
     cases = CASES + [(500 + i, t) for i, t in enumerate(odd)]
     found = sorted((tuple(r) for r in tokens.token_counts(docs_of(cases), public_tokenizers.path("byte_bpe_50k.json")).collect()), key=repr)
     expected = []
@@ -136,6 +137,7 @@ def test_token_counts_equal_the_library(docs_of):
         n = len(library.encode(t or "", add_special_tokens=False).ids)
         expected.append((i, len((t or "").encode()), n, n > 1024))
     assert found == sorted(expected, key=repr)
+    assert tokens.token_counts(docs_of([]), public_tokenizers.path("byte_bpe_50k.json")).count() == 0
 
 
 def test_license_labels(docs_of):
@@ -375,11 +377,58 @@ def test_all_languages_of_a_mixed_text_are_named():
         counts[bins, at] += n
     model = languages.Model(list(sounds), counts / counts.sum(axis=0))
     for size in range(1, 7):
-        shares, fit = languages.mixtures(model, [" ".join(make(k, 80) for k in list(sounds)[:size])])
+        shares, fit, rests = languages.mixtures(model, [" ".join(make(k, 80) for k in list(sounds)[:size])])
+        assert rests.all()
         assert np.flatnonzero(shares[0]).tolist() == list(range(size)) and fit[0] > 0
         assert np.abs(shares[0][:size] - 1 / size).max() < 0.05
 
 
+def test_mixtures_have_the_largest_likelihood():
+    rng = np.random.default_rng(6)
+    for k in (2, 3):
+        counts = rng.random((1 << languages.BITS, k)) ** 4 + 1e-3
+        model = languages.Model(list("abc")[:k], counts / counts.sum(axis=0))
+        steps = np.linspace(0, 1, 101)
+        grid = np.array([x for x in itertools.product(steps, repeat=k) if abs(sum(x) - 1) < 1e-9])
+        for text_ in ("one two three four five six", "abc", "la la la la", " ".join(WORDS[:90]) + " zebra quilt fox jump over lazy dogs"):
+            bins, n = languages.grams(text_)
+            likelihood = lambda shares: np.log(model.chances[bins] @ shares.T).T @ n  # noqa: B023, E731
+            shares, _, rests = languages.mixtures(model, [text_])
+            price = languages.PENALTY * np.log2(1 + n.sum())
+            own = likelihood(shares[0]) - (np.count_nonzero(shares[0]) - 1) * price
+            size = (grid > 0).sum(axis=1)
+            every = likelihood(grid) - (size - 1) * price
+            # No single language is better, nor other shares of the chosen ones; of two languages, nothing is.
+            chosen = (grid[:, shares[0] == 0] == 0).all(axis=1)
+            assert rests.all() and own >= every[(size == 1) | chosen | (k == 2)].max() - 0.02
+
+
+def test_language_of_odd_tables(spark, docs_of):
+    _, rows = language_rows()
+    model = languages.train(spark.createDataFrame([(t, k) for _, t, k in rows], "text string, lang string"))
+    assert languages.predict(docs_of([]), model).count() == 0
+    twice = languages.predict(docs_of([(1, rows[0][1]), (1, rows[0][1]), (None, "x" * 100_000)]).withColumn("languages", F.lit("clash")), model).collect()
+    assert [r.lang_pred for r in twice if r.doc_id == 1] == ["x", "x"] and len(twice) == 3
+    tie = languages.Model(["b", "c"], np.full((1 << languages.BITS, 2), 1 / (1 << languages.BITS)))
+    assert [r.lang_pred for r in languages.predict(docs_of([(1, "word")]), tie).collect()] == ["b"]
+
+
+def test_raking_meets_targets_and_says_how_far(spark):
+    cells = [(a, b, float(RANDOM.randrange(1, 50))) for a in "pqr" for b in "uv"]
+    frame = spark.createDataFrame(cells, "a string, b string, mass double")
+    shares = {"a": {"p": 0.5, "q": 0.3, "r": 0.2, "none": 0.4}, "b": {"u": 0.25, "v": 0.75}}
+    frames = {k: spark.createDataFrame(list(v.items()), f"{k} string, share double") for k, v in shares.items()}
+    raked = raking.rake(frame, ["a", "b"], frames)
+    found = {(r.margin, r.value): r for r in raking.deviations(raked, ["a", "b"], frames).collect()}
+    assert found["a", "none"].target == found["a", "none"].share == 0
+    assert len(found) == 6 and abs(found["b", "u"].target - 0.25) < 1e-9 and max(abs(r.deviation) for r in found.values()) < 1e-4
+    capped = raking.rake(frame, ["a", "b"], frames, most=1.1)
+    assert max(r.weight for r in capped.collect()) <= 1.1 + 1e-9
+    assert max(abs(r.deviation) for r in raking.deviations(capped, ["a", "b"], frames).collect()) > 1e-3
+    nothing = raking.rake(frame.where("mass < 0"), ["a", "b"], frames)
+    assert nothing.count() == 0
+
+
 def test_raking_equals_plain_fitting(spark):
     cells = [(a, b, float(RANDOM.randrange(1, 50))) for a in "pqr" for b in "uv"] + [("s", "u", 0.0)]
     frame = spark.createDataFrame(cells, "a string, b string, mass double")
