@@ -29,6 +29,13 @@ class Period:
         """The day whose balances open the period."""
         return self.start - timedelta(days=1)
 
+    @property
+    def days(self) -> int:
+        return (self.end - self.start).days + 1
+
+    def all_days(self) -> list[date]:
+        return [self.start + timedelta(days=n) for n in range(self.days)]
+
     def month_ends(self) -> list[date]:
         """The last days of the months, of a period made of whole months."""
         ends, first = [], self.start

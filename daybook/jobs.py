@@ -11,7 +11,7 @@ import argparse
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from daybook import operators as op
@@ -37,19 +37,25 @@ from daybook.session import configure
 
 # Written only by these jobs, so their columns are known; they may still be empty.
 MARTS = (DM_TURNOVER, DM_BALANCE, DM_FORM101)
+# Stored by day and changed in place.
+FACTS = (FT_BALANCE, FT_POSTING)
 DETAIL = (MD_ACCOUNT, MD_CURRENCY, MD_EXCHANGE_RATE, MD_LEDGER_ACCOUNT, FT_BALANCE, FT_POSTING)
 
 
 def _table(spark: SparkSession, folder: str | None, table: Table) -> DataFrame:
     if folder is None:
         return spark.createDataFrame([], table.schema)
-    schema = table.schema if table in MARTS else None
-    return sources.read_table(spark, f"{folder}/{table.name}", schema=schema)
+    schema = table.schema if table in MARTS + FACTS else None
+    df = sources.read_table(spark, f"{folder}/{table.name}", schema=schema)
+    return df.select(table.columns) if table in FACTS else df
 
 
-def _log(step: str, df: DataFrame, day: str, folder: str | None) -> None:
-    if folder:
-        op.run_log(op.step_audit(step, df, day)).write.mode("append").parquet(folder)
+def _log_days(spark: SparkSession, step: str, counts: dict[date, int] | None, folder: str | None) -> None:
+    """Log the rows of each day as they were counted while they were written."""
+    written = [(step, day, n) for day, n in sorted((counts or {}).items()) if n]
+    if folder and written:
+        audit = spark.createDataFrame(written, "step string, on_date date, row_count long")
+        op.run_log(audit).coalesce(1).write.mode("append").parquet(folder)
 
 
 def _log_message(spark: SparkSession, log_type: str, text: str, folder: str | None) -> None:
@@ -74,17 +80,18 @@ def logged(spark: SparkSession, a: argparse.Namespace) -> None:
 
 
 def load_detail(spark: SparkSession, a: argparse.Namespace) -> None:
-    """Merge the raw files into the detail tables."""
+    """Merge the raw files into the detail tables: dimensions from --current to
+    --output, balances and postings in place, by day, in --facts (by default --output)."""
     raw = {
         t.name: sources.read_delimited(spark, f"{a.raw}/{t.name}.csv", dedupe=True)
         for t in DETAIL
     }
-    current = {t.name: _table(spark, a.current, t) for t in DETAIL}
-    for name, df in plans.load_detail(raw, current).items():
-        sources.overwrite_table(df, f"{a.output}/{name}")
-        if a.log:
-            count = sources.read_table(spark, f"{a.output}/{name}").count()
-            _log_message(spark, "info", f"{name}: {count} rows", a.log)
+    current = {t.name: _table(spark, a.current, t) for t in DETAIL if t not in FACTS}
+    for name, df in plans.load_dimensions(raw, current).items():
+        count = Observation()
+        sources.overwrite_table(df.observe(count, F.count(F.lit(1)).alias("rows")), f"{a.output}/{name}")
+        _log_message(spark, "info", f"{name}: {count.get['rows']} rows", a.log)
+    plans.load_facts(raw, a.facts or a.output)
 
 
 def check_detail(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -98,19 +105,21 @@ def close_month(spark: SparkSession, a: argparse.Namespace) -> None:
     """Turnover and balances of the month before the report date."""
     period = month_of_report(a.report_date)
     accounts = _table(spark, a.detail, MD_ACCOUNT)
-    postings = _table(spark, a.detail, FT_POSTING)
+    facts = a.facts or a.detail
+    postings = _table(spark, facts, FT_POSTING)
     close = plans.publish_month(
         postings,
         accounts,
         _table(spark, a.detail, MD_EXCHANGE_RATE),
-        _table(spark, a.detail, FT_BALANCE),
+        _table(spark, facts, FT_BALANCE),
         period,
         f"{a.marts}/{DM_TURNOVER.name}",
         f"{a.marts}/{DM_BALANCE.name}",
         a.opening,
+        counted=bool(a.log),
     )
-    _log("turnover", close.turnover, "on_date", a.log)
-    _log("balances", close.balances, "on_date", a.log)
+    _log_days(spark, "turnover", close.turnover_rows, a.log)
+    _log_days(spark, "balances", close.balance_rows, a.log)
     if a.log:
         op.run_log(
             op.dropped_legs(postings, accounts, period).select(
@@ -122,6 +131,19 @@ def close_month(spark: SparkSession, a: argparse.Namespace) -> None:
         ).write.mode("append").parquet(a.log)
 
 
+def apply_late(spark: SparkSession, a: argparse.Namespace) -> None:
+    """Bring postings delivered after the close into the marts of closed days."""
+    late = sources.read_delimited(spark, a.postings)
+    plans.apply_late(
+        plans.typed_postings(late),
+        _table(spark, a.detail, MD_ACCOUNT),
+        _table(spark, a.detail, MD_EXCHANGE_RATE),
+        f"{a.marts}/{DM_TURNOVER.name}",
+        f"{a.marts}/{DM_BALANCE.name}",
+        Period(a.first_day, a.last_day),
+    )
+
+
 def report(spark: SparkSession, a: argparse.Namespace) -> None:
     """Form 101 from the stored marts: its table's month is replaced, and the whole
     table exported, or with --month-only the month."""
@@ -135,12 +157,14 @@ def report(spark: SparkSession, a: argparse.Namespace) -> None:
         _table(spark, a.marts, DM_BALANCE),
         period,
     )
-    sources.replace_days(op.form101_table(form), path, first, day="from_date")
-    stored = _table(spark, a.marts, DM_FORM101).where(first.contains("from_date"))
-    shown = stored if a.month_only else _table(spark, a.marts, DM_FORM101)
+    written = sources.replace_days(
+        op.form101_table(form), path, first, day="from_date", counted=True
+    )
+    shown = _table(spark, a.marts, DM_FORM101)
+    shown = shown.where(first.contains("from_date")) if a.month_only else shown
     text = op.form101_text(shown.select(DM_FORM101.columns))
     sources.write_delimited(text, a.csv)
-    _log("form 101", stored, "from_date", a.log)
+    _log_days(spark, "form 101", written, a.log)
 
 
 def import_report(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -213,13 +237,24 @@ def _parser() -> argparse.ArgumentParser:
     needed = {"required": True}
     day = {"required": True, "type": date.fromisoformat}
     number = {"type": int, "default": 20}
-    command(load_detail, raw=needed, output=needed, current={"help": "none for a first load"}, log={})
+    command(
+        load_detail,
+        raw=needed,
+        output=needed,
+        current={"help": "none for a first load"},
+        facts={"help": "folder of the tables stored by day; as --output if not given"},
+        log={},
+    )
+    command(
+        apply_late, postings=needed, detail=needed, marts=needed, first_day=day, last_day=day, log={}
+    )
     command(check_detail, detail=needed)
     command(
         close_month,
         report_date=day,
         detail=needed,
         marts=needed,
+        facts={"help": "folder of the tables stored by day; as --detail if not given"},
         opening={"choices": ("snapshot", "previous_close"), "default": "snapshot"},
         log={},
     )

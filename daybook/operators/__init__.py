@@ -7,8 +7,9 @@ from daybook.operators.continuity import (
     repair_in_sums,
 )
 from daybook.operators.form101 import form101, form101_table, form101_text
+from daybook.operators.late import late_balances, late_turnover
 from daybook.operators.loans import loan_holiday_mart
-from daybook.operators.lookup import lookup_join
+from daybook.operators.lookup import heavy_keys, left_join_skewed
 from daybook.operators.maintain import append_new, dedupe, replace_slice, upsert
 from daybook.operators.quality import (
     duplicate_key_rows,
@@ -31,9 +32,12 @@ __all__ = [
     "form101",
     "form101_table",
     "form101_text",
+    "heavy_keys",
     "in_sum_corrections",
+    "late_balances",
+    "late_turnover",
+    "left_join_skewed",
     "loan_holiday_mart",
-    "lookup_join",
     "nonnull_profile",
     "opening_balances",
     "out_sum_corrections",

@@ -1,6 +1,8 @@
 from daybook.plans.balance_repair import repair_and_publish
 from daybook.plans.detail_load import (
     load_detail,
+    load_dimensions,
+    load_facts,
     typed_accounts,
     typed_balances,
     typed_currencies,
@@ -9,13 +11,22 @@ from daybook.plans.detail_load import (
     typed_rates,
 )
 from daybook.plans.loan_refresh import refresh_loans
-from daybook.plans.month_close import MonthClose, close_month, export_form101, publish_month
+from daybook.plans.month_close import (
+    MonthClose,
+    apply_late,
+    close_month,
+    export_form101,
+    publish_month,
+)
 
 __all__ = [
     "MonthClose",
+    "apply_late",
     "close_month",
     "export_form101",
     "load_detail",
+    "load_dimensions",
+    "load_facts",
     "publish_month",
     "refresh_loans",
     "repair_and_publish",

@@ -11,6 +11,7 @@ from daybook.functions import parse_date, parse_integer, parse_key, parse_number
 from daybook.operators.maintain import upsert
 from daybook.schemas import (
     FT_BALANCE,
+    FT_POSTING,
     LEDGER_LOADED,
     MD_ACCOUNT,
     MD_CURRENCY,
@@ -18,6 +19,7 @@ from daybook.schemas import (
     MD_LEDGER_ACCOUNT,
     RATE,
 )
+from daybook.sources.writers import merge_days, write_by_day
 
 # Column names of the files are those of the tables in capitals; Spark matches
 # names without regard to case.
@@ -89,14 +91,31 @@ def typed_postings(raw: DataFrame) -> DataFrame:
     )
 
 
-def load_detail(
-    raw: Mapping[str, DataFrame], current: Mapping[str, DataFrame]
-) -> dict[str, DataFrame]:
-    """New contents of the six detail tables from raw text and current contents.
+def load_facts(raw: Mapping[str, DataFrame], folder: str) -> None:
+    """Raw balances and postings into fact tables stored by day below ``folder``.
 
-    Dimensions and balances are merged by key; postings are replaced as a whole.
-    Keys of both mappings are the table names.
+    Balances are merged by key: only the days a delivery names are read and rewritten.
+    Postings have no key; a delivery of them replaces the table. Both are written in whole
+    days, so that a month close reads the files of its month only. What ``raw`` lacks
+    stays as it is.
     """
+    if FT_BALANCE.name in raw:
+        merge_days(
+            typed_balances(raw[FT_BALANCE.name]),
+            f"{folder}/{FT_BALANCE.name}",
+            FT_BALANCE.key,
+            schema=FT_BALANCE.schema,
+        )
+    if FT_POSTING.name in raw:
+        write_by_day(
+            typed_postings(raw[FT_POSTING.name]), f"{folder}/{FT_POSTING.name}", "oper_date"
+        )
+
+
+def load_dimensions(
+    raw: Mapping[str, DataFrame], current: Mapping[str, DataFrame]
+) -> dict[str, DataFrame]:
+    """New contents of the dimension tables from raw text and current contents."""
 
     def merged(table, typed, columns=None):
         return upsert(current[table.name], typed(raw[table.name]), table.key, columns)
@@ -106,6 +125,22 @@ def load_detail(
         MD_CURRENCY.name: merged(MD_CURRENCY, typed_currencies),
         MD_EXCHANGE_RATE.name: merged(MD_EXCHANGE_RATE, typed_rates),
         MD_LEDGER_ACCOUNT.name: merged(MD_LEDGER_ACCOUNT, typed_ledger, LEDGER_LOADED),
-        FT_BALANCE.name: merged(FT_BALANCE, typed_balances),
-        "ft_posting_f": typed_postings(raw["ft_posting_f"]),
+    }
+
+
+def load_detail(
+    raw: Mapping[str, DataFrame], current: Mapping[str, DataFrame]
+) -> dict[str, DataFrame]:
+    """New contents of the six detail tables from raw text and current contents.
+
+    Dimensions and balances are merged by key; postings are replaced as a whole.
+    Keys of both mappings are the table names. Where facts are stored by day,
+    ``load_facts`` rewrites only the days delivered.
+    """
+    balances = upsert(
+        current[FT_BALANCE.name], typed_balances(raw[FT_BALANCE.name]), FT_BALANCE.key
+    )
+    return load_dimensions(raw, current) | {
+        FT_BALANCE.name: balances,
+        FT_POSTING.name: typed_postings(raw[FT_POSTING.name]),
     }

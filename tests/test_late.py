@@ -1,0 +1,157 @@
+"""Postings that arrive after the close, and fact tables stored by day."""
+
+import os
+import random
+from datetime import timedelta
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from daybook import plans, sources
+from daybook.functions import Period
+from daybook.operators import balances, form101, late_balances, late_turnover, turnover, upsert
+from daybook.schemas import DM_BALANCE, DM_TURNOVER, FT_BALANCE, FT_POSTING, MD_LEDGER_ACCOUNT
+from daybook.session import scratch_path
+from daybook.sources import merge_days, read_table, replace_days, write_bucketed, write_by_day
+from helpers import A, P, accounts, day, num, postings, rates, rows, snapshot
+
+KEY = ["on_date", "account_rk"]
+QUARTER = Period(day(1), day(31, 3))
+
+
+def bank(spark, seed):
+    """Accounts with gaps and changes of type, rates with gaps, postings, some of them late."""
+    rng = random.Random(seed)
+    at = lambda n: day(1) + timedelta(days=n)
+    versions = []
+    for rk in range(1, 13):
+        start = rng.choice([-30, 0, rng.randrange(60)])
+        while start < 90:
+            end = start + rng.choice([rng.randrange(5, 40), 400])
+            versions.append((rk, rng.choice([A, P, "A"]), at(start), at(end), rng.choice([34, 35])))
+            start = end + rng.choice([1, 1, rng.randrange(2, 20)])
+    rate = [(35, at(-99), at(20), 3.33333333), (35, at(30), at(60), 0.17), (34, at(-9), at(200), 1)]
+    made = lambda: (at(rng.randrange(-3, 95)), rng.randrange(1, 15), rng.randrange(1, 15), rng.choice([None, rng.randrange(999) / 7]), rng.randrange(999) / 3)
+    on_time, late = [made() for _ in range(120)], [made() for _ in range(rng.choice([0, 1, 40]))]
+    opening = [(at(-1), rk, 35, rk * 1.5) for rk in range(1, 9)]
+    return accounts(spark, *versions), rates(spark, *rate), on_time, late, snapshot(spark, *opening)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_late_postings_give_what_a_close_with_all_gives(spark, seed):
+    acc, rate, on_time, late, seeds = bank(spark, seed)
+    close = lambda x: plans.close_month(postings(spark, *x), acc, rate, seeds, QUARTER)
+    before, whole = close(on_time), close(on_time + late)
+    changed = late_turnover(postings(spark, *late), before.turnover, acc, rate, QUARTER)
+    moves = upsert(before.turnover, changed.select(DM_TURNOVER.columns), KEY)
+    assert rows(moves, *DM_TURNOVER.columns) == rows(whole.turnover, *DM_TURNOVER.columns)
+    corrected = late_balances(changed, before.balances, QUARTER)
+    touched = {r.account_rk for r in changed.select("account_rk").collect()}
+    assert {r.account_rk for r in corrected.collect()} <= touched
+    assert rows(upsert(before.balances, corrected, KEY), *DM_BALANCE.columns) == rows(whole.balances, *DM_BALANCE.columns)
+
+
+def test_late_postings_change_stored_marts(spark):
+    acc, rate, on_time, late, seeds = bank(spark, 2)
+    late = [(d, *x) for d, *x in late if d >= day(10)] + [(day(10, 2), 1, 2, 5, 5)]
+    stored, wanted = ([scratch_path(spark, n) for n in ("turnover", "balance")] for _ in range(2))
+    for paths, posted in ((stored, on_time), (wanted, on_time + late)):
+        plans.publish_month(postings(spark, *posted), acc, rate, seeds, QUARTER, *paths)
+    files = {n: os.listdir(f"{stored[1]}/on_date=2018-01-{n:02d}") for n in (2, 9)}
+    plans.apply_late(postings(spark, *late), acc, rate, *stored, QUARTER)
+    for path, right, table in zip(stored, wanted, (DM_TURNOVER, DM_BALANCE), strict=True):
+        found, expected = (read_table(spark, x, schema=table.schema) for x in (path, right))
+        assert rows(found, *table.columns) == rows(expected, *table.columns)
+    assert files == {n: os.listdir(f"{stored[1]}/on_date=2018-01-{n:02d}") for n in (2, 9)}
+    before = rows(read_table(spark, stored[0], schema=DM_TURNOVER.schema))
+    plans.apply_late(postings(spark, (day(1, 7), 1, 2, 1, 1)), acc, rate, *stored, QUARTER)
+    plans.apply_late(postings(spark), acc, rate, *stored, QUARTER)
+    assert rows(read_table(spark, stored[0], schema=DM_TURNOVER.schema)) == before
+
+
+def day_files(path):
+    return {d: sorted(os.listdir(f"{path}/{d}")) for d in os.listdir(path) if "=" in d}
+
+
+def test_merge_rewrites_only_the_days_delivered(spark):
+    path = scratch_path(spark, "balances")
+    first = snapshot(spark, *[(day(n), k, 34, k) for n in range(1, 6) for k in (1, 2)])
+    assert merge_days(first, path, FT_BALANCE.key, schema=FT_BALANCE.schema) == [day(n) for n in range(1, 6)]
+    before = day_files(path)
+    delivery = snapshot(spark, (day(2), 1, 35, 50), (day(2), 3, 35, 60), (day(9), 1, 35, 70))
+    assert merge_days(delivery, path, FT_BALANCE.key) == [day(2), day(9)]
+    after = day_files(path)
+    assert {d for d in after if after[d] != before.get(d)} == {"on_date=2018-01-02", "on_date=2018-01-09"}
+    expected = upsert(first, delivery, FT_BALANCE.key)
+    stored = read_table(spark, path, schema=FT_BALANCE.schema)
+    assert rows(stored, *FT_BALANCE.columns) == rows(expected, *FT_BALANCE.columns)
+    # Only some columns: the others keep their value.
+    merge_days(delivery.limit(1).select("on_date", "account_rk", "balance_out"), path, FT_BALANCE.key, columns=["on_date", "account_rk", "balance_out"])
+    assert merge_days(delivery.limit(0), path, FT_BALANCE.key) == []
+    kept = day_files(path)
+    for bad in (delivery.unionByName(delivery), snapshot(spark, (None, 1, 34, 1))):
+        with pytest.raises(PySparkException):
+            merge_days(bad, path, FT_BALANCE.key)
+    with pytest.raises(ValueError):
+        merge_days(delivery, path, ["account_rk"])
+    assert day_files(path) == kept
+    assert rows(read_table(spark, path, schema=FT_BALANCE.schema), *FT_BALANCE.columns) == rows(expected, *FT_BALANCE.columns)
+
+
+def test_a_close_reads_the_days_of_its_month_only(spark):
+    folder = scratch_path(spark, "facts")
+    acc, rate, on_time, _, seeds = bank(spark, 1)
+    merge_days(seeds, f"{folder}/b", FT_BALANCE.key, schema=FT_BALANCE.schema)
+    write_by_day(postings(spark, *on_time), f"{folder}/p", "oper_date")
+    held = spark.read.schema(FT_POSTING.schema).parquet(f"{folder}/p").select(FT_POSTING.columns)
+    opening = spark.read.schema(FT_BALANCE.schema).parquet(f"{folder}/b").select(FT_BALANCE.columns)
+    close = plans.close_month(held, acc, rate, opening, QUARTER)
+    plan = close.balances._jdf.queryExecution().executedPlan().toString()
+    filters = [x.split("PushedFilters")[0] for x in plan.split("PartitionFilters: ")[1:]]
+    assert any("oper_date" in x and ">=" in x and "<=" in x for x in filters)
+    assert any("on_date" in x and "= 2017-12-31" in x for x in filters)
+    plain = plans.close_month(postings(spark, *on_time), acc, rate, seeds, QUARTER)
+    assert rows(close.balances) == rows(plain.balances)
+
+
+def test_days_are_counted_while_they_are_written(spark):
+    path = scratch_path(spark, "days")
+    week = Period(day(1), day(7))
+    mart = spark.createDataFrame([(day(n % 3 + 1), n, num(1), num(1)) for n in range(10)], DM_BALANCE.schema)
+    tracker = spark.sparkContext.statusTracker()
+    found = replace_days(mart, path, week, counted=True)
+    assert {d: n for d, n in found.items() if n} == {day(1): 4, day(2): 3, day(3): 3} and len(found) == 7
+    spark.sparkContext.setJobGroup("counting", "one pass")
+    uncounted = scratch_path(spark, "days")
+    replace_days(mart, uncounted, week)
+    plain = len(tracker.getJobIdsForGroup("counting"))
+    spark.sparkContext.setJobGroup("counting2", "one pass")
+    replace_days(mart, scratch_path(spark, "days"), week, counted=True)
+    assert len(tracker.getJobIdsForGroup("counting2")) == plain
+    spark.sparkContext.setJobGroup("tests", "")
+    with pytest.raises(ValueError):
+        replace_days(mart, path, Period(day(1), day(31, 12)), counted=True)
+    assert replace_days(mart.where("on_date = date'2018-01-02'"), path, week, counted=True)[day(2)] == 3
+    assert rows(read_table(spark, path, schema=DM_BALANCE.schema), "on_date") == [(day(2),)] * 3
+
+
+def test_buckets_of_the_account_meet_without_a_shuffle(spark):
+    acc, rate, on_time, _, seeds = bank(spark, 3)
+    closed = plans.close_month(postings(spark, *on_time), acc, rate, seeds, QUARTER)
+
+    def bucketed(df):
+        path = scratch_path(spark, "bucketed")
+        return write_bucketed(df, "b" + path.rpartition("-")[2], path, 4)
+
+    moves, marts, held = bucketed(closed.turnover), bucketed(closed.balances), bucketed(acc)
+    ledger = spark.createDataFrame([], MD_LEDGER_ACCOUNT.schema)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    carried = balances(held, moves, marts, QUARTER)
+    plan = carried._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and plan.count("Bucketed: true") == 3
+    assert rows(carried) == rows(balances(acc, closed.turnover, closed.balances, QUARTER))
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    report = form101(held, ledger, moves, marts, QUARTER)
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(account_rk" not in plan and plan.count("Bucketed: true") == 3

@@ -42,7 +42,12 @@ def test_upsert_reads_the_target_once(spark, tmp_path, capsys, columns, scans):
     for name in ("target", "source"):
         table(spark, (1, "a", "b")).write.parquet(str(tmp_path / name))
     target, source = (spark.read.parquet(str(tmp_path / n)) for n in ("target", "source"))
-    upsert(target, source, ["k"], columns).explain()
+    # Plans shorten long paths unless told otherwise.
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
+    try:
+        upsert(target, source, ["k"], columns).explain()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
     plan = capsys.readouterr().out
     assert plan.count("FileScan parquet") == scans
     assert plan.count(f"{tmp_path}/target") == 1
