@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daybook.functions import Period, clip_to_period, fixed_scale_text, money, whole_months_of
-from daybook.operators.lookup import lookup_join
 from daybook.schemas import DM_FORM101, FORM101_MEASURES, MONEY, RUBLE_CODES
 
 _HEAD = ["from_date", "to_date", "chapter", "ledger_account", "characteristic"]
@@ -27,11 +26,11 @@ def form101(
 
     ``balances`` needs only the day before each month and the last day of it; of a
     mart partitioned by day nothing else is read when the period is one month.
-    Facts are summed per account and month, in one aggregation, before they meet the
-    accounts.
+    Facts are summed per account and month, in each task first, before they meet the
+    accounts; of tables in buckets of the account nothing moves until then.
     """
     month = F.trunc("on_date", "MM")
-    zero, unknown = F.lit(0).cast(MONEY), F.lit(None).cast(MONEY)
+    zero = F.lit(0).cast(MONEY)
     balance = F.col("balance_out_rub").cast(MONEY)
 
     # A month's last day closes that month and opens the next.
@@ -51,21 +50,16 @@ def form101(
         balances.where(F.col("on_date").isin(period.day_before, *period.month_ends()))
         .select("account_rk", sides)
         .where(period.contains("from_date"))
-        .select("*", unknown.alias("turn_deb"), unknown.alias("turn_cre"))
-    )
-    moved = turnover.where(period.contains("on_date")).select(
-        "account_rk",
-        month.alias("from_date"),
-        unknown.alias("balance_in"),
-        unknown.alias("balance_out"),
-        F.col("debet_amount_rub").cast(MONEY).alias("turn_deb"),
-        F.col("credit_amount_rub").cast(MONEY).alias("turn_cre"),
-    )
-    amounts = ["balance_in", "balance_out", "turn_deb", "turn_cre"]
-    facts = (
-        edges.unionByName(moved)
         .groupBy("account_rk", "from_date")
-        .agg(*[F.sum(name).alias(name) for name in amounts])
+        .agg(F.sum("balance_in").alias("balance_in"), F.sum("balance_out").alias("balance_out"))
+    )
+    moved = (
+        turnover.where(period.contains("on_date"))
+        .groupBy("account_rk", month.alias("from_date"))
+        .agg(
+            F.sum(F.col("debet_amount_rub").cast(MONEY)).alias("turn_deb"),
+            F.sum(F.col("credit_amount_rub").cast(MONEY)).alias("turn_cre"),
+        )
     )
 
     plan = ledger.select(
@@ -84,12 +78,7 @@ def form101(
         "valid_from",
         "valid_to",
     )
-    planned = lookup_join(
-        active,
-        plan,
-        ["ledger_account"],
-        how="inner",
-    )
+    planned = active.join(plan, "ledger_account")
     covered = whole_months_of(
         F.greatest("valid_from", "plan_from"), F.least("valid_to", "plan_to")
     )
@@ -102,7 +91,8 @@ def form101(
         "characteristic",
         "in_rubles",
     )
-    joined = reported.join(facts, ["account_rk", "from_date"], "left")
+    key = ["account_rk", "from_date"]
+    joined = reported.join(edges, key, "left").join(moved, key, "left")
 
     # First by currency kind with one sum per amount, then spread over the columns:
     # the wide sums see a handful of rows per ledger account, not the accounts.
