@@ -12,6 +12,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from daybook.operators.bloom import WORDS, bloom_filter, maybe_in
+
 
 def _one_per_key(source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``source``, raising when it is read if a key is repeated or NULL.
@@ -79,20 +81,27 @@ def append_new(target: DataFrame, source: DataFrame) -> DataFrame:
     Repeated new rows are added once; rows already in ``target`` stay as they are,
     repeated or not. NULLs compare as equal.
 
-    Rows meet by a 64-bit hash of all columns, so of the target only hashes move. The
-    target's rows whose hash the source has, about as many as the source repeats, are
-    then compared whole, so that an equal hash of other rows drops nothing.
+    Rows meet by a 64-bit hash of all columns. A Bloom filter of the source's hashes, of
+    bounded size, is sent to the target first: hashes that the source cannot hold are
+    dropped where they are read, so what is shuffled follows the delivery and not
+    the table. The target's rows whose hash the source has are then compared
+    whole, so that an equal hash of other rows drops nothing.
     """
     return _append_new(target, source, F.xxhash64(*target.columns))
 
 
-def _append_new(target: DataFrame, source: DataFrame, row_hash: Column) -> DataFrame:
+def _append_new(
+    target: DataFrame, source: DataFrame, row_hash: Column, words: int = WORDS
+) -> DataFrame:
     columns = target.columns
     fresh = source.select(columns).distinct().withColumn("_hash", row_hash)
-    hashed = target.withColumn("_hash", row_hash)
-    absent = fresh.join(hashed.select("_hash"), "_hash", "left_anti")
-    doubtful = fresh.join(hashed.select("_hash"), "_hash", "left_semi")
-    held = hashed.join(doubtful.select("_hash"), "_hash", "left_semi")
+    bloom = bloom_filter(source.select(row_hash.alias("_hash")), "_hash", words)
+    near = maybe_in(target.withColumn("_hash", row_hash), "_hash", bloom, words)
+    # A row that the target repeats often is one hash here.
+    hashes = near.select("_hash").distinct()
+    absent = fresh.join(hashes, "_hash", "left_anti")
+    doubtful = fresh.join(hashes, "_hash", "left_semi")
+    held = near.join(doubtful.select("_hash"), "_hash", "left_semi").distinct()
     same = reduce(
         lambda a, b: a & b,
         [F.col(f"fresh.{c}").eqNullSafe(F.col(f"held.{c}")) for c in ["_hash", *columns]],

@@ -10,15 +10,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from daybook.functions import moscow_now, text_message
+from daybook.operators.bloom import bloom_filter, maybe_in
 from daybook.schemas import MONEY, Table
 
 # The titles of the two-row duplicate profile.
 TOTAL_TITLE = "всего записей"
 UNIQUE_TITLE = "уникальных записей"
 
-# Keys broadcast at most by duplicate_key_rows; each is a few values.
-HEAVY_KEYS = 200_000
-
 
 def _count_if(condition: Column) -> Column:
     return F.count(F.when(condition, 1))
@@ -81,42 +79,44 @@ def violations(df: DataFrame, table: Table) -> DataFrame:
 def duplicate_profile(df: DataFrame) -> DataFrame:
     """Count of all rows and of distinct rows, as two titled rows.
 
-    Both come from one aggregation: copies are counted per distinct row, first
-    within each map task.
+    Rows meet as 64-bit hashes of all columns, counted within each map task first. A
+    hash that occurs once is a distinct row; only rows whose hash occurs again are
+    compared whole. So what is shuffled does not follow the width of the rows but of
+    those repeated, and rows with equal hashes are not taken for equal.
     """
-    copies = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
-    counts = copies.agg(
-        F.coalesce(F.sum("_copies"), F.lit(0)).alias("total"), F.count(F.lit(1)).alias("unique")
-    )
+    hashed = df.withColumn("_hash", F.xxhash64(*df.columns))
+    counts = hashed.groupBy("_hash").agg(F.count(F.lit(1)).alias("_rows"))
+    repeated = counts.where(F.col("_rows") > 1).select("_hash")
+    near = maybe_in(hashed, "_hash", bloom_filter(repeated, "_hash"))
+    # Copies are merged within each task before they move.
+    whole = near.distinct().join(repeated, "_hash", "left_semi")
+    alone = F.count(F.when(F.col("_rows") == 1, 1))
+    sums = counts.agg(
+        F.coalesce(F.sum("_rows"), F.lit(0)).alias("total"), alone.alias("unique")
+    ).unionByName(whole.agg(F.lit(0).cast("long").alias("total"), F.count(F.lit(1)).alias("unique")))
+    found = sums.agg(F.sum("total").alias("total"), F.sum("unique").alias("unique"))
     rows = [
         F.struct(F.lit(title).alias("title"), F.col(name).cast("long").alias("count"))
         for title, name in ((TOTAL_TITLE, "total"), (UNIQUE_TITLE, "unique"))
     ]
-    return counts.select(F.inline(F.array(*rows)))
+    return found.select(F.inline(F.array(*rows)))
 
 
-def duplicate_key_rows(
-    df: DataFrame, keys: Sequence[str], max_broadcast_rows: int = HEAVY_KEYS
-) -> DataFrame:
+def duplicate_key_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """All rows whose key occurs more than once, key columns first. Rows with a
     NULL in the key are not listed.
 
-    Repeated keys are split by their share of the table. Fewer than
-    ``max_broadcast_rows`` keys can each hold more than one part in so many of all
-    rows; these are broadcast and their rows picked where they lie. The rows of
-    the other keys are shuffled by key, where none of them can weigh much.
+    Keys are counted first; a Bloom filter of the repeated ones, of bounded size, then
+    drops the rows of other keys where they are read. What is left moves once, by
+    key, and adaptive execution splits a key that fills too much.
     """
     keys = list(keys)
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    total = counted.agg(F.sum("_rows")).scalar()
     given = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    repeated = counted.where(given & (F.col("_rows") > 1))
-    heavy = F.col("_rows") * F.lit(max_broadcast_rows) > total
-    often = F.broadcast(repeated.where(heavy).select(keys))
-    seldom = repeated.where(~heavy).select(keys)
-    listed = df.join(often, keys, "left_semi").unionByName(
-        df.join(often, keys, "left_anti").join(seldom, keys, "left_semi")
-    )
+    counted = df.where(given).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    repeated = counted.where(F.col("_rows") > 1).select(*keys, F.xxhash64(*keys).alias("_hash"))
+    hashed = df.where(given).withColumn("_hash", F.xxhash64(*keys))
+    near = maybe_in(hashed, "_hash", bloom_filter(repeated, "_hash"))
+    listed = near.join(repeated.select(keys), keys, "left_semi")
     return listed.select(*keys, *[c for c in df.columns if c not in keys])
 
 

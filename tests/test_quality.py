@@ -1,4 +1,4 @@
-import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daybook.operators import (
@@ -9,6 +9,8 @@ from daybook.operators import (
     step_audit,
     violations,
 )
+from daybook.operators import quality
+from daybook.operators.bloom import bloom_filter, maybe_in
 from daybook.schemas import MD_ACCOUNT, Table
 from helpers import A, accounts, day, num, rows
 
@@ -63,13 +65,24 @@ def test_duplicate_profile(spark):
     assert {r[1] for r in duplicate_profile(df.limit(0)).collect()} == {0}
 
 
-@pytest.mark.parametrize("max_rows", [1, 3, 10_000])
-def test_rows_of_repeated_keys(spark, max_rows):
+def test_duplicate_profile_compares_rows_of_equal_hash(spark, monkeypatch):
+    data = [(i % 70, None if i % 3 else "a") for i in range(200)]
+    df = spark.createDataFrame(data, "k long, a string")
+    for words in (1, 1 << 10):
+        # Equal hashes of other rows, and a filter that lets much pass.
+        monkeypatch.setattr(quality, "bloom_filter", lambda x, c, w=words: bloom_filter(x, c, w))
+        monkeypatch.setattr(quality, "maybe_in", lambda x, c, b, w=words: maybe_in(x, c, b, w))
+        monkeypatch.setattr(quality.F, "xxhash64", lambda *c: F.col("k") % 40)
+        assert rows(duplicate_profile(df)) == [("всего записей", 200), ("уникальных записей", len(set(data)))]
+        monkeypatch.undo()
+
+
+def test_rows_of_repeated_keys(spark):
     data = [(7, "d", i) for i in range(60)] + [(i, "d", i) for i in range(20, 60)]
     data += [(i, "d", -i) for i in range(20, 30)]
     data += [(None, "d", 1), (None, "d", 2), (5, None, 1), (5, None, 1)]
     df = spark.createDataFrame(data, "k long, d string, v long")
-    result = duplicate_key_rows(df.select("v", "k", "d"), ["k", "d"], max_broadcast_rows=max_rows)
+    result = duplicate_key_rows(df.select("v", "k", "d"), ["k", "d"])
     assert result.columns == ["k", "d", "v"]
     counts = {}
     for k, d, _ in data:
