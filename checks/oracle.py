@@ -446,8 +446,67 @@ ORACLE_SQL: dict[str, str] = {
     "form101": _all("form"),
     "f101_export": _form_table("CAST({0} AS VARCHAR)", "CAST(NULL AS DECIMAL(23,8))"),
     "f101_csv_roundtrip": _form_table("{0}", "CAST(NULL AS DECIMAL(23,8))"),
-    "month_close_stored": _all("form"),
+    "month_close_stored": _with(
+        ["balances"],
+        "SELECT * FROM balances WHERE on_date BETWEEN DATE '1996-02-01' AND DATE '1996-04-30'",
+    ),
+    "close_log": _with(
+        ["turnover", "snapshot"],
+        """SELECT 'turnover' AS step, on_date, count(*) AS row_count FROM turnover
+           WHERE on_date BETWEEN DATE '1996-02-01' AND DATE '1996-02-29' GROUP BY on_date
+           UNION ALL
+           SELECT 'balances', d.on_date, count(*)
+           FROM (SELECT CAST(range AS DATE) AS on_date
+                 FROM range(TIMESTAMP '1996-02-01', TIMESTAMP '1996-03-01', INTERVAL 1 DAY)) d
+           JOIN accounts a ON d.on_date BETWEEN a.data_actual_date AND a.data_actual_end_date
+           GROUP BY d.on_date
+           UNION ALL
+           SELECT 'balances', DATE '1996-01-31', count(*)
+           FROM snapshot s JOIN accounts a ON a.account_rk = s.account_rk
+            AND DATE '1996-02-01' BETWEEN a.data_actual_date AND a.data_actual_end_date""",
+    ),
+    "late_postings": _with(
+        ["balances"], "SELECT * FROM balances WHERE on_date = last_day(on_date)"
+    ),
+    "late_turnover": _all("turnover"),
+    "form101_bucketed": _all("form"),
+    "detail_by_day": _with(
+        ["snapshot", "legs"],
+        """SELECT on_date, account_rk,
+                  CAST(CASE WHEN balance_out >= 0 THEN balance_out ELSE balance_out + 1 END
+                       AS DECIMAL(23,8)) AS balance_out, 'balance' AS kind
+           FROM snapshot
+           UNION ALL
+           SELECT on_date - 1, account_rk, CAST(balance_out + 1 AS DECIMAL(23,8)), 'balance'
+           FROM snapshot
+           UNION ALL
+           SELECT on_date, account_rk, CAST(sum(credit_amount) AS DECIMAL(23,8)), 'credit'
+           FROM legs GROUP BY on_date, account_rk""",
+    ),
     "typed_load": _with(["postings"], "SELECT DISTINCT * FROM postings"),
+    "load_rejects": f"""
+        WITH lines AS (
+            SELECT CAST(o_orderdate AS DATE) AS day, {_MONEY_2.format('o_totalprice')} AS amount,
+                   o_totalprice < 2000 AS bad_day, o_orderstatus = 'P' AS no_debet,
+                   o_totalprice > 300000 AS bad_amount, o_orderpriority = '1-URGENT' AS short,
+                   CAST(o_custkey AS VARCHAR) AS credit, CAST(o_custkey + 1 AS VARCHAR) AS debet
+            FROM orders
+        ), judged AS (
+            SELECT *, CASE WHEN short THEN 'not as many fields as columns' ELSE concat_ws('; ',
+                CASE WHEN bad_day THEN 'oper_date: not a date as dd-MM-yyyy' END,
+                CASE WHEN no_debet THEN 'debet_account_rk: missing' END,
+                CASE WHEN bad_amount THEN 'credit_amount: not a number' END) END AS rules,
+                10 + 3 + length(credit) + CASE WHEN no_debet THEN 0 ELSE length(debet) END
+                + length(CAST(amount AS VARCHAR)) + CASE WHEN bad_amount THEN 1 ELSE 0 END
+                + CASE WHEN short THEN 0 ELSE 1 + length(CAST(amount AS VARCHAR)) END AS size
+            FROM lines
+        )
+        SELECT 'good ' || CAST(day AS VARCHAR) AS rules, count(*) AS line_count,
+               CAST(sum(amount) AS DECIMAL(23,8)) AS amount
+        FROM judged WHERE rules = '' GROUP BY day
+        UNION ALL
+        SELECT rules, count(*), CAST(sum(size) AS DECIMAL(23,8))
+        FROM judged WHERE rules <> '' GROUP BY rules""",
     "typed_load_accounts": _all("accounts"),
     "typed_load_rates": _all("rates"),
     "typed_load_balances": _with(["snapshot"], "SELECT DISTINCT * FROM snapshot"),

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,6 +17,7 @@ from daybook.functions import Period, parse_date, parse_integer, parse_key, pars
 from daybook.functions import to_code_page_bytes
 from daybook.schemas import (
     DEAL,
+    DM_BALANCE,
     FT_BALANCE,
     FT_POSTING,
     LEDGER_LOADED,
@@ -105,35 +106,90 @@ def f101_csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return sources.read_form101_csv(spark, path)
 
 
+#: Months closed one by one, the first after a longer period. One has accounts that end and
+#: begin again in it.
+CLOSED_BEFORE = Period(t.HISTORY.start, date(1996, 1, 31))
+CLOSED_MONTHS = [Period(date(1996, m, 1), date(1996, m, n)) for m, n in ((2, 29), (3, 31), (4, 30))]
+CLOSED_QUARTER = Period(CLOSED_MONTHS[0].start, CLOSED_MONTHS[-1].end)
+
+
 def month_close_stored(spark: SparkSession, sf: str) -> DataFrame:
-    """Form 101 from marts closed in two steps into tables stored by day, the second
-    carrying on from the first. Of the balances, month ends are stored."""
+    """Daily balances from marts stored by day: months closed one after another, each
+    carrying on from the one before."""
     turnover_path = scratch_path(spark, "turnover")
     balance_path = scratch_path(spark, "balance")
-    postings = t.postings(spark, sf)
-    halves = (
-        Period(t.HISTORY.start, date(1998, 6, 30)),
-        Period(date(1998, 7, 1), t.HISTORY.end),
-    )
-    for period, opening in zip(halves, ("snapshot", "previous_close")):
+    for period in (CLOSED_BEFORE, *CLOSED_MONTHS):
+        first = period == CLOSED_BEFORE
         plans.publish_month(
-            postings,
+            t.postings(spark, sf),
             t.accounts(spark, sf),
             t.rates(spark, sf),
             t.snapshot(spark, sf),
             period,
             turnover_path,
             balance_path,
-            opening,
-            days="month_ends",
+            "snapshot" if first else "previous_close",
+            days="month_ends" if first else "all",
         )
-    return op.form101(
+    stored = sources.read_table(spark, balance_path, schema=DM_BALANCE.schema)
+    return stored.where(CLOSED_QUARTER.contains("on_date")).select(DM_BALANCE.columns)
+
+
+def close_log(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows per day of a month's marts, as counted by the tasks that write them."""
+    month = CLOSED_MONTHS[0]
+    close = plans.publish_month(
+        t.postings(spark, sf),
         t.accounts(spark, sf),
-        t.ledger(spark, sf),
-        sources.read_table(spark, turnover_path),
-        sources.read_table(spark, balance_path),
-        t.HISTORY,
+        t.rates(spark, sf),
+        t.snapshot(spark, sf).withColumn("on_date", F.lit(month.day_before)),
+        month,
+        scratch_path(spark, "turnover"),
+        scratch_path(spark, "balance"),
+        counted=True,
     )
+    counts = (("turnover", close.turnover_rows), ("balances", close.balance_rows))
+    rows = [(step, d, n) for step, days in counts for d, n in days.items() if n]
+    return spark.createDataFrame(rows, "step string, on_date date, row_count long")
+
+
+def _late(postings: DataFrame) -> Column:
+    """Postings that arrive after the close: small amounts, about a third."""
+    return F.col("credit_amount") % 1 < 0.33
+
+
+def late_postings(spark: SparkSession, sf: str) -> DataFrame:
+    """Month ends closed without late postings, then corrected by them."""
+    accounts, rates, postings = t.accounts(spark, sf), t.rates(spark, sf), t.postings(spark, sf)
+    late = _late(postings)
+    moves = op.turnover(postings.where(~late), accounts, rates, t.HISTORY)
+    closed = op.balances(accounts, moves, opening_balance(spark, sf), t.HISTORY, "month_ends")
+    changed = op.late_turnover(postings.where(late), moves, accounts, rates, t.HISTORY)
+    corrected = op.late_balances(changed, closed, t.HISTORY)
+    return op.upsert(closed, corrected, ["on_date", "account_rk"])
+
+
+def late_turnover(spark: SparkSession, sf: str) -> DataFrame:
+    """Turnover closed without late postings, then corrected by them."""
+    accounts, rates, postings = t.accounts(spark, sf), t.rates(spark, sf), t.postings(spark, sf)
+    late = _late(postings)
+    moves = op.turnover(postings.where(~late), accounts, rates, t.HISTORY)
+    changed = op.late_turnover(postings.where(late), moves, accounts, rates, t.HISTORY)
+    return op.upsert(moves, changed.select(moves.columns), ["on_date", "account_rk"])
+
+
+def form101_bucketed(spark: SparkSession, sf: str) -> DataFrame:
+    """The report of every month from accounts and marts stored in buckets of the account."""
+    accounts, opening = t.accounts(spark, sf), opening_balance(spark, sf)
+
+    def bucketed(df: DataFrame) -> DataFrame:
+        path = scratch_path(spark, "bucketed")
+        return sources.write_bucketed(df, "b" + path.rpartition("-")[2], path, 8)
+
+    stored, moves = bucketed(accounts), bucketed(turnover_daily(spark, sf))
+    closing = op.balances(stored, moves, opening, t.HISTORY, days="month_ends")
+    marts = bucketed(closing.unionByName(opening))
+    return op.form101(stored, t.ledger(spark, sf), moves, marts, t.HISTORY)
 
 
 # Loading
@@ -157,6 +213,40 @@ def typed_load(spark: SparkSession, sf: str) -> DataFrame:
     return plans.typed_postings(sources.read_delimited(spark, path, dedupe=True))
 
 
+def load_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """Postings as text some lines of which are broken: good rows and rejected lines by
+    what they break, with the amounts and the letters that they hold."""
+    orders = t.table(spark, sf, "orders")
+    day = F.col("o_orderdate").cast("date")
+    amount = F.round("o_totalprice", 2).cast("decimal(18,2)").cast("string")
+    urgent = F.col("o_orderpriority") == "1-URGENT"
+    fields = [
+        F.date_format(day, "yyyy/MM/dd"),
+        F.col("o_custkey").cast("string"),
+        F.when(F.col("o_orderstatus") == "P", "").otherwise((F.col("o_custkey") + 1).cast("string")),
+        F.when(F.col("o_totalprice") > 300_000, F.concat(amount, F.lit("x"))).otherwise(amount),
+        amount,
+    ]
+    fields[0] = F.when(F.col("o_totalprice") < 2000, fields[0]).otherwise(F.date_format(day, "dd-MM-yyyy"))
+    line = F.concat_ws(";", *fields[:4], F.when(~urgent, fields[4]))
+    path = scratch_path(spark, "postings-csv")
+    lines = orders.select(line.alias("value"))
+    header = spark.createDataFrame([(";".join(FT_POSTING.columns).upper(),)], "value string")
+    header.unionByName(lines).write.text(path)
+    loaded = sources.read_checked(
+        spark, path, FT_POSTING, patterns={"oper_date": "dd-MM-yyyy"}
+    )
+    good = loaded.rows.groupBy("oper_date").agg(
+        F.count(F.lit(1)).alias("line_count"), F.sum("debet_amount").cast(MONEY).alias("amount")
+    )
+    rejected = loaded.rejects.groupBy(F.array_join("rules", "; ").alias("rules")).agg(
+        F.count(F.lit(1)).alias("line_count"), F.sum(F.length("line")).cast(MONEY).alias("amount")
+    )
+    return good.select(
+        F.concat(F.lit("good "), F.col("oper_date").cast("string")).alias("rules"), "line_count", "amount"
+    ).unionByName(rejected)
+
+
 def typed_load_accounts(spark: SparkSession, sf: str) -> DataFrame:
     path = _written(spark, _capitals(t.accounts(spark, sf)), "accounts-csv")
     return plans.typed_accounts(sources.read_delimited(spark, path, dedupe=True))
@@ -281,6 +371,37 @@ def detail_load(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def detail_by_day(spark: SparkSession, sf: str) -> DataFrame:
+    """Opening balances and turnover from fact tables stored by day, after a first load and
+    a delivery that names one more day and some keys anew."""
+    folder = scratch_path(spark, "facts")
+    snapshot, postings = t.snapshot(spark, sf), t.postings(spark, sf)
+
+    def raw(df: DataFrame, name: str, day: str, pattern: str) -> DataFrame:
+        text = _capitals(df.withColumn(day, F.date_format(day, pattern)))
+        return sources.read_delimited(spark, _written(spark, text, f"{name}-csv"))
+
+    older = snapshot.withColumn("balance_out", F.col("balance_out") + 1)
+    older = older.unionByName(older.withColumn("on_date", F.date_sub("on_date", 1)))
+    plans.load_facts(
+        {
+            FT_BALANCE.name: raw(older, FT_BALANCE.name, "on_date", "dd.MM.yyyy"),
+            FT_POSTING.name: raw(postings, FT_POSTING.name, "oper_date", "dd-MM-yyyy"),
+        },
+        folder,
+    )
+    # Accounts that are not overdrawn are delivered again.
+    delivered = raw(snapshot.where("balance_out >= 0"), FT_BALANCE.name, "on_date", "dd.MM.yyyy")
+    plans.load_facts({FT_BALANCE.name: delivered}, folder)
+    stored = sources.read_table(spark, f"{folder}/{FT_BALANCE.name}", schema=FT_BALANCE.schema)
+    held = sources.read_table(spark, f"{folder}/{FT_POSTING.name}", schema=FT_POSTING.schema)
+    balances = stored.select("on_date", "account_rk", "balance_out", F.lit("balance").alias("kind"))
+    moves = op.posting_legs(held, t.HISTORY).select(
+        "on_date", "account_rk", F.col("credit_amount").alias("balance_out"), F.lit("credit").alias("kind")
+    )
+    return balances.unionByName(moves)
+
+
 # Table maintenance
 
 
@@ -516,7 +637,13 @@ QUERIES: dict[str, Query] = {
         f101_export,
         f101_csv_roundtrip,
         month_close_stored,
+        close_log,
+        late_postings,
+        late_turnover,
+        form101_bucketed,
+        detail_by_day,
         typed_load,
+        load_rejects,
         typed_load_accounts,
         typed_load_rates,
         typed_load_balances,

@@ -10,7 +10,6 @@ from pyspark.sql.window import Window
 
 from daybook.functions import Period, clip_to_period, days_of, money, valid_on
 from daybook.functions.periods import ended_months_of
-from daybook.operators.lookup import lookup_join
 from daybook.operators.turnover import daily_rates
 from daybook.schemas import ACTIVE, MONEY, PASSIVE, RATE
 
@@ -19,7 +18,6 @@ def _zero() -> Column:
     return F.lit(0).cast(MONEY)
 
 
-
 def opening_balances(
     snapshot: DataFrame,
     accounts: DataFrame,
@@ -35,11 +33,8 @@ def opening_balances(
     active = accounts.where(
         valid_on(period.start, "data_actual_date", "data_actual_end_date")
     ).select("account_rk")
-    rated = lookup_join(
-        snapshot.where(F.col("on_date") == F.lit(day)).join(active, "account_rk"),
-        daily_rates(rates, Period(day, day)),
-        ["currency_rk", "on_date"],
-    )
+    held = snapshot.where(F.col("on_date") == F.lit(day)).join(active, "account_rk")
+    rated = held.join(daily_rates(rates, Period(day, day)), ["currency_rk", "on_date"], "left")
     balance = F.col("balance_out").cast(MONEY)
     return rated.select(
         "on_date",

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window, WindowSpec
 
-from daybook.operators.lookup import lookup_join
 
 # Fixed value: the currency name of accounts whose currency is not listed.
 NO_CURRENCY = "-1"
@@ -76,10 +75,8 @@ def account_balance_turnover(
     Accounts without balances appear once with NULLs. The currency is looked up
     per account, before balances multiply the rows.
     """
-    named = lookup_join(
-        accounts.select("account_rk", "department_rk", "currency_cd"),
-        currencies.select("currency_cd", "currency_name"),
-        ["currency_cd"],
+    named = accounts.select("account_rk", "department_rk", "currency_cd").join(
+        currencies.select("currency_cd", "currency_name"), "currency_cd", "left"
     )
     return named.join(balances, "account_rk", "left").select(
         "account_rk",

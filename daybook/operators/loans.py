@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.operators.lookup import left_join_skewed, lookup_join
+from daybook.operators.lookup import left_join_skewed
 from daybook.schemas import LOAN_HOLIDAY, LOAN_HOLIDAY_MART_COLUMNS
 
 
@@ -47,11 +47,7 @@ def loan_holiday_mart(
         "product_rk",
         "deal_type_cd",
     )
-    named = lookup_join(
-        deals,
-        names,
-        ["product_rk", "deal_from", "deal_name"],
-    )
+    named = deals.join(names, ["product_rk", "deal_from", "deal_name"], "left")
     periods = holidays.select(
         *LOAN_HOLIDAY.columns, F.col("effective_from_date").alias("deal_from")
     )

@@ -5,31 +5,71 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+#: A key with more than one part in so many of the rows is a heavy one, and the keys that a
+#: sketch keeps apart. So heavy keys are fewer than SHARES.
+SHARES, TRACKED = 200, 10_000
+#: A key of fewer rows is never heavy: it fits a task.
+LEAST_ROWS = 100_000
 
-def lookup_join(
-    facts: DataFrame, dimension: DataFrame, keys: Sequence[str], how: str = "left"
+
+def heavy_keys(
+    df: DataFrame, keys: Sequence[str], shares: int = SHARES, least: int = LEAST_ROWS
 ) -> DataFrame:
-    """Join ``facts`` to ``dimension`` on equal ``keys``.
+    """``keys`` and ``parts``: keys with more than one part in ``shares`` of the rows, and
+    into how many parts of that size their rows fall.
 
-    Nothing is counted or forced: Spark broadcasts a dimension whose size in bytes
-    is under its threshold, as estimated and again as measured at run time. A larger
-    one is shuffled, and adaptive execution splits the facts of an overfull key (such
-    as the ruble, or facts without a key) over several tasks.
+    A frequent-items sketch of the keys' hashes, of bounded size and one pass, proposes
+    candidates; it misses no key of such a share. Only candidates are counted exactly.
+    Rows with a NULL in the key are of no key.
     """
-    return facts.join(dimension, list(keys), how)
+    keys = list(keys)
+    given = df.select(keys).dropna()
+    by_hash = F.xxhash64(*keys)
+    top = given.agg(
+        F.call_function("approx_top_k", by_hash, F.lit(shares), F.lit(TRACKED)).alias("top"),
+        F.count(F.lit(1)).alias("_total"),
+    )
+    likely = top.select(F.inline("top"), "_total").select(F.col("item").alias("_hash"), "_total")
+    counted = (
+        given.withColumn("_hash", by_hash)
+        # At most as many rows as shares, one per candidate.
+        .join(F.broadcast(likely), "_hash")
+        .groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_rows"), F.any_value("_total").alias("_total"))
+    )
+    share = F.greatest(F.col("_total") / shares, F.lit(float(least)))
+    return counted.where(F.col("_rows") > share).select(
+        *keys, F.ceil(F.col("_rows") / share).cast("int").alias("parts")
+    )
 
 
-def left_join_skewed(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+def left_join_skewed(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    shares: int = SHARES,
+    least: int = LEAST_ROWS,
+) -> DataFrame:
     """Left join of two large tables either of which may hold one key very often.
 
-    Adaptive execution splits an overfull key on both sides of an inner join, but
-    only on the left side of a left join. So matched rows come from an inner join
-    and the others from an anti join against each right key once. If ``right`` is
-    too large to broadcast, this shuffles ``left`` twice; use a plain left join
-    where ``right`` is known to hold a key only a few times.
+    Adaptive execution splits an overfull key of the left side of a left join, not of
+    the right one. So the few heavy keys of ``right`` are found by a sketch and
+    their rows dealt over parts; left rows of these keys meet every part. All others
+    take the same join as part 0, and ``left`` is read and shuffled once. A left row
+    of a heavy key has a match for sure, so its copies without one are dropped.
     """
     keys = list(keys)
-    matched = left.join(right, keys)
-    alone = left.join(right.select(keys).distinct(), keys, "left_anti")
-    return matched.unionByName(alone, allowMissingColumns=True)
+    heavy = heavy_keys(right, keys, shares, least)
+    heavy = F.broadcast(heavy.select(*keys, F.col("parts").alias("_parts")))
+    parts = F.coalesce("_parts", F.lit(1))
+    dealt = right.join(heavy, keys, "left").withColumn(
+        "_part", F.pmod(F.monotonically_increasing_id(), parts).cast("int")
+    )
+    met = left.join(heavy.withColumnRenamed("_parts", "_copies"), keys, "left").withColumn(
+        "_part", F.explode(F.sequence(F.lit(0), F.coalesce("_copies", F.lit(1)) - 1))
+    )
+    joined = met.join(dealt.drop("_parts").withColumn("_matched", F.lit(True)), [*keys, "_part"], "left")
+    kept = F.col("_copies").isNull() | F.col("_matched").isNotNull()
+    return joined.where(kept).drop("_part", "_copies", "_matched")

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daybook.functions import Period, clip_to_period, days_of, money, valid_on
-from daybook.operators.lookup import lookup_join
 from daybook.schemas import DM_TURNOVER, MONEY, RATE
 
 
@@ -86,11 +85,8 @@ def turnover(
         .where(valid_on("on_date", "valid_from", "valid_to"))
         .drop("valid_from", "valid_to")
     )
-    rated = lookup_join(
-        valid,
-        daily_rates(rates, period),
-        ["currency_rk", "on_date"],
-    )
+    # No hint: Spark broadcasts the rates if they are small, and else splits the ruble's rows.
+    rated = valid.join(daily_rates(rates, period), ["currency_rk", "on_date"], "left")
     rate = F.coalesce("rate", F.lit(1).cast(RATE))
     # One row per account and day already, unless versions or rates overlap.
     return (

@@ -12,7 +12,7 @@ from daybook.operators import (
     opening_balances,
     turnover,
 )
-from daybook.operators.lookup import left_join_skewed, lookup_join
+from daybook.operators.lookup import heavy_keys, left_join_skewed
 from daybook.schemas import (
     DEAL,
     FT_BALANCE,
@@ -22,7 +22,7 @@ from daybook.schemas import (
     PRODUCT,
 )
 from daybook.session import scratch_path
-from helpers import BROADCAST, JAN, A, accounts, day, postings, rows
+from helpers import JAN, A, accounts, day, postings, rows
 
 PERIOD = Period(day(1), day(31))
 
@@ -34,24 +34,6 @@ def facts(spark):
     return spark.createDataFrame(data, "id long, k long")
 
 
-def dimension(spark):
-    data = [(k, f"name {k}") for k in range(0, 30)] + [(1, "again"), (None, "nobody")]
-    return spark.createDataFrame(data, "k long, name string")
-
-
-@pytest.mark.parametrize("how", ["left", "inner"])
-@pytest.mark.parametrize("threshold", ["-1", "10m"])
-def test_lookup_gives_the_plain_join(spark, how, threshold):
-    spark.conf.set(BROADCAST, threshold)
-    left, right = facts(spark), dimension(spark)
-    joined = lookup_join(left, right, ["k"], how)
-    plain = left.join(right, "k", how)
-    assert joined.columns == plain.columns
-    assert rows(joined) == rows(plain)
-    physical = joined._jdf.queryExecution().executedPlan().toString()
-    assert ("BroadcastHashJoin" in physical) == (threshold != "-1")
-
-
 def test_building_operators_starts_no_job(spark):
     tracker = spark.sparkContext.statusTracker()
     spark.sparkContext.setJobGroup("building", "nothing runs yet")
@@ -69,16 +51,19 @@ def test_building_operators_starts_no_job(spark):
 
 
 @pytest.mark.parametrize("threshold", ["-1", "10m"])
-def test_skewed_left_join_gives_the_plain_left_join(spark, threshold):
-    left = facts(spark)
+@pytest.mark.parametrize("least", [3, 1000])
+def test_skewed_left_join_gives_the_plain_left_join(spark, threshold, least):
+    left = facts(spark).unionByName(spark.createDataFrame([(7, 999)], "id long, k long"))
     right = spark.createDataFrame(
-        [(1 if i % 3 else i, i) for i in range(60)] + [(None, 7)], "k long, v long"
+        [(1 if i % 3 else i, i) for i in range(60)] + [(None, 7)] + [(2, 5)] * 30, "k long, v long"
     )
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
-    try:
-        assert rows(left_join_skewed(left, right, ["k"])) == rows(left.join(right, "k", "left"))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    joined = left_join_skewed(left, right, ["k"], least=least)
+    assert rows(joined) == rows(left.join(right, "k", "left"))
+    heavy = {r.k: r.parts for r in heavy_keys(right, ["k"], least=least).collect()}
+    assert heavy == ({1: 14, 2: 10} if least == 3 else {})
+    none = right.limit(0)
+    assert rows(left_join_skewed(left, none, ["k"])) == rows(left.join(none, "k", "left"))
 
 
 def test_scratch_folder_is_the_clusters_shared_one():
@@ -114,10 +99,15 @@ def test_overfull_key_of_a_left_join_is_split_on_either_side(spark, hot_side):
     for key, value in settings.items():
         spark.conf.set(key, value)
     try:
-        joined = left_join_skewed(left, right, ["k"])
+        joined = left_join_skewed(left, right, ["k"], least=1000)
         assert len(joined.collect()) == (60_000 if hot_side == "left" else 80_000)
         plan = joined._jdf.queryExecution().executedPlan().toString()
-        assert "SortMergeJoin(skew=true)" in plan
+        # Of the left side Spark splits the key, of the right one it is dealt over parts.
+        assert ("SortMergeJoin(skew=true)" in plan) == (hot_side == "left")
+        found = heavy_keys(right, ["k"], least=1000).collect()
+        assert [(r.k, r.parts) for r in found] == ([(1, 21)] if hot_side == "right" else [])
+        final = plan[: plan.index("== Initial Plan ==")] if "== Initial Plan ==" in plan else plan
+        assert final.count("SortMergeJoin") == 1
     finally:
         for key, value in before.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
