@@ -34,6 +34,10 @@ HEADLINE = (
     "nonnull_profile",
     "balance_repair_in",
     "account_balance_turnover",
+    "late_postings",
+    "duplicate_profile",
+    "detail_load",
+    "month_close_stored",
 )
 
 

@@ -418,14 +418,24 @@ _LOAN_COLUMNS = [
     "loan_holiday_last_possible_date",
 ]
 
-_SIZES = {
-    "md_account_d": "SELECT count(*), 0 FROM accounts",
-    "md_currency_d": "SELECT count(*), 0 FROM rates",
-    "md_exchange_rate_d": "SELECT count(*), sum(reduced_cource) FROM rates",
-    "md_ledger_account_s": "SELECT count(*), 7 * count(*) FILTER (chapter = 'А') FROM ledger",
-    "ft_balance_f": "SELECT 2 * count(*), 2 * sum(balance_out) FROM snapshot",
-    "ft_posting_f": "SELECT count(*), sum(debet_amount) FROM (SELECT DISTINCT * FROM postings)",
-}
+def _row(name: str, start: str, end: str, key: str, texts: str, amount: str, table: str) -> str:
+    return (
+        f"SELECT '{name}' AS table_name, {start} AS from_date, CAST({end} AS DATE) AS to_date, "
+        f"CAST({key} AS BIGINT) AS key, concat_ws('|', {texts}) AS texts, "
+        f"CAST({amount} AS DECIMAL(23,8)) AS amount FROM {table}"
+    )
+
+
+_FROM, _TO = "data_actual_date", "data_actual_end_date"
+_DETAIL = [
+    _row("md_account_d", _FROM, _TO, "account_rk", "account_number, char_type, currency_rk, currency_code", "NULL", "accounts"),
+    _row("md_currency_d", _FROM, _TO, "currency_rk", "code_iso_num", "NULL", "rates"),
+    _row("md_exchange_rate_d", _FROM, _TO, "currency_rk", "code_iso_num", "reduced_cource", "rates"),
+    _row("md_ledger_account_s", "start_date", "end_date", "ledger_account", "chapter", "CASE chapter WHEN 'А' THEN 7 END", "ledger"),
+    _row("ft_balance_f", "on_date", "NULL", "account_rk", "currency_rk", "balance_out", "snapshot"),
+    _row("ft_balance_f", "on_date - 31", "NULL", "account_rk", "currency_rk", "balance_out", "snapshot"),
+    _row("ft_posting_f", "oper_date", "NULL", "credit_account_rk", "debet_account_rk", "debet_amount", "(SELECT DISTINCT * FROM postings)"),
+]
 
 ORACLE_SQL: dict[str, str] = {
     "turnover_daily": _all("turnover"),
@@ -529,12 +539,7 @@ ORACLE_SQL: dict[str, str] = {
            FROM ledger""",
     ),
     "detail_load": _with(
-        ["accounts", "rates", "ledger", "snapshot", "postings"],
-        " UNION ALL ".join(
-            f"SELECT '{name}' AS table_name, CAST(n AS BIGINT) AS row_count, "
-            f"CAST(s AS DECIMAL(23,8)) AS amount FROM ({query}) q(n, s)"
-            for name, query in _SIZES.items()
-        ),
+        ["accounts", "rates", "ledger", "snapshot", "postings"], " UNION ALL ".join(_DETAIL)
     ),
     "keyed_upsert": _with(
         ["snapshot"],

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
-from functools import reduce
+from functools import reduce, wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -312,7 +312,7 @@ def typed_load_ledger(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def detail_load(spark: SparkSession, sf: str) -> DataFrame:
-    """All six tables loaded over older contents, listed by size and amounts."""
+    """All rows of the six tables loaded over older contents."""
     accounts, rates = t.accounts(spark, sf), t.rates(spark, sf)
     snapshot, ledger = t.snapshot(spark, sf), t.ledger(spark, sf)
     currencies, plan = _currencies(spark, sf), _ledger_file(spark, sf)
@@ -351,24 +351,28 @@ def detail_load(spark: SparkSession, sf: str) -> DataFrame:
         "ft_balance_f": snapshot.withColumn("on_date", F.date_sub("on_date", 31)),
     }
     loaded = plans.load_detail(raw, current)
-    sums = {
-        "md_account_d": F.count(F.when(F.col("char_type") == "?", 1)),
-        "md_currency_d": F.count("code_iso_char"),
-        "md_exchange_rate_d": F.sum("reduced_cource"),
-        "md_ledger_account_s": F.sum("is_loan"),
-        "ft_balance_f": F.sum("balance_out"),
-        "ft_posting_f": F.sum("debet_amount"),
+    # Every row of every table, in columns that all tables have.
+    shapes = {
+        "md_account_d": ("data_actual_date", "data_actual_end_date", "account_rk", ["account_number", "char_type", "currency_rk", "currency_code"], None),
+        "md_currency_d": ("data_actual_date", "data_actual_end_date", "currency_rk", ["currency_code", "code_iso_char"], None),
+        "md_exchange_rate_d": ("data_actual_date", "data_actual_end_date", "currency_rk", ["code_iso_num"], "reduced_cource"),
+        "md_ledger_account_s": ("start_date", "end_date", "ledger_account", ["chapter", "chapter_name", "characteristic"], "is_loan"),
+        "ft_balance_f": ("on_date", None, "account_rk", ["currency_rk"], "balance_out"),
+        "ft_posting_f": ("oper_date", None, "credit_account_rk", ["debet_account_rk"], "debet_amount"),
     }
-    return reduce(
-        DataFrame.unionByName,
-        [
-            df.agg(
-                F.count(F.lit(1)).alias("row_count"),
-                F.coalesce(sums[name].cast(MONEY), F.lit(0).cast(MONEY)).alias("amount"),
-            ).select(F.lit(name).alias("table_name"), "row_count", "amount")
-            for name, df in loaded.items()
-        ],
-    )
+
+    def rows(name: str) -> DataFrame:
+        start, end, key, texts, amount = shapes[name]
+        return loaded[name].select(
+            F.lit(name).alias("table_name"),
+            F.col(start).alias("from_date"),
+            (F.col(end) if end else F.lit(None).cast("date")).alias("to_date"),
+            F.col(key).cast("long").alias("key"),
+            F.concat_ws("|", *[F.col(c).cast("string") for c in texts]).alias("texts"),
+            (F.col(amount) if amount else F.lit(None)).cast(MONEY).alias("amount"),
+        )
+
+    return reduce(DataFrame.unionByName, map(rows, shapes))
 
 
 def detail_by_day(spark: SparkSession, sf: str) -> DataFrame:
@@ -625,8 +629,19 @@ def scalar_functions(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _by_itself(query: Query) -> Query:
+    """The query with plans of its own: what it costs does not hang on what ran before."""
+
+    @wraps(query)
+    def alone(spark: SparkSession, sf: str) -> DataFrame:
+        t.forget_plans()
+        return query(spark, sf)
+
+    return alone
+
+
 QUERIES: dict[str, Query] = {
-    f.__name__: f
+    f.__name__: _by_itself(f)
     for f in (
         turnover_daily,
         turnover_dropped_legs,

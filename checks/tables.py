@@ -23,8 +23,20 @@ FAR_PAST, FAR_FUTURE = date(1990, 1, 1), date(2050, 12, 31)
 
 
 # Building a table's plan takes far longer than looking it up, and a query names
-# some tables several times. Only plans are kept, no data.
-_planned_once: Callable = lru_cache(maxsize=None)
+# some tables several times. Only plans are kept, no data, and only for one query.
+_plans: list[Callable] = []
+
+
+def _planned_once(make: Callable) -> Callable:
+    kept = lru_cache(maxsize=64)(make)
+    _plans.append(kept)
+    return kept
+
+
+def forget_plans() -> None:
+    """Let the next query list files and read schemas itself."""
+    for kept in _plans:
+        kept.cache_clear()
 
 
 @_planned_once
