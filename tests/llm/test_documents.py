@@ -154,6 +154,8 @@ def test_license_labels(docs_of):
     assert found[None, 4].base_labels == "gpl" and found[6, 2].base_labels == "apache"
     assert found[7, 7].labels == "" and (4, 0) in found and (5, 0) in found
     assert licenses.license_labels(docs_of([])).count() == 0
+    again = licenses.license_labels(docs_of(cases + cases[:3])).collect()
+    assert sorted(map(tuple, again), key=repr) == sorted([tuple(r) for r in found.values()] + [tuple(found[k]) for k in ((1, 10), (2, 16), (3, 4))], key=repr)
 
 
 def test_license_wording_wrapped_over_lines(docs_of):

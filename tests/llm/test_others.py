@@ -100,6 +100,14 @@ def test_chat_reads_back(spark):
     assert chat.formatted(frame.limit(0)).count() == 0
 
 
+def test_long_conversations_read_back(spark):
+    rows = [(1, n, "assistant" if n % 2 else "user", ODD[n % len(ODD)]) for n in range(1500)] + [(2, 0, "user", "<|im_end|>\n" * 20_000), (2, 1, "assistant", "é" * 200_000)]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    for r in chat.formatted(frame).select("*", chat.turns_of(F.col("formatted")).alias("back"), chat.trained_texts(F.col("formatted"), F.col("mask")).alias("loss")).collect():
+        source = [(role, x or "") for c, _, role, x in rows if c == r.conv_id]
+        assert [(t.role, t.text) for t in r.back] == source and r.loss == [x for role, x in source if role == "assistant"]
+
+
 def page(body):
     return f"<html><head><title>t</title><style>p{{}}</style></head><body>{body}</body></html>"
 
