@@ -440,6 +440,19 @@ _DETAIL = [
 ORACLE_SQL: dict[str, str] = {
     "turnover_daily": _all("turnover"),
     "turnover_dropped_legs": _all("dropped"),
+    "rate_asof": _with(
+        ["rates"],
+        """SELECT o_orderkey, o_custkey AS c_custkey, CAST(o_orderdate AS DATE) AS on_date,
+                  CAST(CAST(round(o_totalprice, 2) AS DECIMAL(18,2)) AS DECIMAL(23,8)) AS amount,
+                  CAST(c_nationkey AS BIGINT) AS currency_rk, s.rate
+           FROM orders JOIN customer ON c_custkey = o_custkey
+           LEFT JOIN (
+               SELECT currency_rk, make_date(y.year, 9, 1) AS start, make_date(y.year + 1, 4, 30) AS stop,
+                      CAST(reduced_cource + y.year AS DECIMAL(14,8)) AS rate
+               FROM rates CROSS JOIN (SELECT CAST(range AS INTEGER) AS year FROM range(1995, 2002)) y
+               WHERE data_actual_date < DATE '1998-01-01') s
+             ON s.currency_rk = c_nationkey AND CAST(o_orderdate AS DATE) BETWEEN s.start AND s.stop""",
+    ),
     "opening_balance": _all("opening"),
     "balance_daily": _with(
         ["balances"],

@@ -44,6 +44,36 @@ def turnover_dropped_legs(spark: SparkSession, sf: str) -> DataFrame:
     return op.dropped_legs(t.postings(spark, sf), t.accounts(spark, sf), t.HISTORY)
 
 
+def rate_asof(spark: SparkSession, sf: str) -> DataFrame:
+    """Every order's amount with the rate that is valid for its customer's currency on its
+    day; currencies without one, orders before a currency's first rate, have none."""
+    orders = t.table(spark, sf, "orders").select(
+        "o_orderkey",
+        F.col("o_custkey").alias("c_custkey"),
+        F.col("o_orderdate").cast("date").alias("on_date"),
+        F.round("o_totalprice", 2).cast(MONEY).alias("amount"),
+    )
+    customers = t.table(spark, sf, "customer").select(
+        "c_custkey", F.col("c_nationkey").cast("long").alias("currency_rk")
+    )
+    # Rates that end each spring and begin again in autumn.
+    rates = t.rates(spark, sf).select(
+        "currency_rk",
+        F.explode(F.sequence(F.lit(1995), F.lit(2001))).alias("year"),
+        "reduced_cource",
+        "data_actual_date",
+    )
+    first = F.col("data_actual_date") < date(1998, 1, 1)
+    seasons = rates.where(first).select(
+        "currency_rk",
+        F.make_date("year", F.lit(9), F.lit(1)).alias("start"),
+        F.make_date(F.col("year") + 1, F.lit(4), F.lit(30)).alias("end"),
+        (F.col("reduced_cource") + F.col("year")).cast("decimal(14,8)").alias("rate"),
+    )
+    joined = orders.join(customers, "c_custkey")
+    return op.asof_join(joined, seasons, ["currency_rk"], "on_date", ("start", "end"), ["rate"], least=100)
+
+
 def opening_balance(spark: SparkSession, sf: str) -> DataFrame:
     return op.opening_balances(
         t.snapshot(spark, sf), t.accounts(spark, sf), t.rates(spark, sf), t.HISTORY
@@ -645,6 +675,7 @@ QUERIES: dict[str, Query] = {
     for f in (
         turnover_daily,
         turnover_dropped_legs,
+        rate_asof,
         opening_balance,
         balance_daily,
         balance_month_end,

@@ -1,3 +1,4 @@
+from daybook.operators.asof import asof_join
 from daybook.operators.balances import balances, opening_balances
 from daybook.operators.continuity import (
     account_balance_turnover,
@@ -24,6 +25,7 @@ from daybook.operators.turnover import dropped_legs, posting_legs, turnover
 __all__ = [
     "account_balance_turnover",
     "append_new",
+    "asof_join",
     "balances",
     "dedupe",
     "dropped_legs",

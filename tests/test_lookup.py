@@ -1,3 +1,5 @@
+import random
+from datetime import timedelta
 from types import SimpleNamespace
 
 import pytest
@@ -6,6 +8,7 @@ from pyspark.sql import functions as F
 from daybook.functions import Period
 from daybook.operators import (
     append_new,
+    asof_join,
     balances,
     form101,
     loan_holiday_mart,
@@ -111,3 +114,24 @@ def test_overfull_key_of_a_left_join_is_split_on_either_side(spark, hot_side):
     finally:
         for key, value in before.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+@pytest.mark.parametrize("least", [5, 10_000])
+def test_asof_join_gives_the_join_on_the_interval(spark, least):
+    rng = random.Random(least)
+    versions = []
+    for k in range(6):
+        at = rng.randrange(20)
+        while at < 300:
+            end = at + rng.randrange(1, 40)
+            versions.append((k, day(1) + timedelta(days=at), day(1) + timedelta(days=end), at))
+            at = end + rng.choice([1, 1, 15])
+    versions += [(7, day(5), day(2), 1), (7, day(5), None, 2), (None, day(1), day(31), 3)]
+    made = [(n, 1 if n % 3 == 0 else rng.choice([None, *range(9)]), rng.choice([None, day(1) + timedelta(days=rng.randrange(330))])) for n in range(400)]
+    held = spark.createDataFrame(versions, "k long, a date, b date, rate int")
+    left = spark.createDataFrame(made + made[:9], "n long, k long, on_date date")
+    found = asof_join(left, held, ["k"], "on_date", ("a", "b"), ["rate"], least=least)
+    plain = left.alias("l").join(held.alias("v"), (F.col("l.k") == F.col("v.k")) & F.col("on_date").between(F.col("a"), F.col("b")), "left")
+    assert rows(found) == rows(plain.select("l.*", "rate"))
+    assert rows(asof_join(left, held.limit(0), ["k"], "on_date", ("a", "b"), ["rate"])) == rows(left.withColumn("rate", F.lit(None)))
+    assert asof_join(left.limit(0), held, ["k"], "on_date", ("a", "b"), ["rate"]).count() == 0
