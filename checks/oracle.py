@@ -656,4 +656,7 @@ ORACLE_SQL: dict[str, str] = {
                CAST(CAST(-{_MONEY_2.format('o_totalprice')} AS DECIMAL(23,8)) AS VARCHAR)
                    AS amount_text
         FROM orders""",
+    # The events are of 2024, when Moscow is three hours ahead all year.
+    "moscow_times": """
+        SELECT event_id, strftime(ts + INTERVAL 3 HOUR, '%Y-%m-%d %H:%M:%S') AS moscow FROM events""",
 }

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from checks import tables as t
 from daybook import operators as op
 from daybook import plans, sources
-from daybook.functions import Period, parse_date, parse_integer, parse_key, parse_number
+from daybook.functions import Period, moscow_time, parse_date, parse_integer, parse_key, parse_number
 from daybook.functions import to_code_page_bytes
 from daybook.schemas import (
     DEAL,
@@ -659,6 +659,13 @@ def scalar_functions(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def moscow_times(spark: SparkSession, sf: str) -> DataFrame:
+    """Every event's time as a clock in Moscow shows it."""
+    return t.table(spark, sf, "events").select(
+        "event_id", F.date_format(moscow_time("ts"), "yyyy-MM-dd HH:mm:ss").alias("moscow")
+    )
+
+
 def _by_itself(query: Query) -> Query:
     """The query with plans of its own: what it costs does not hang on what ran before."""
 
@@ -716,5 +723,6 @@ QUERIES: dict[str, Query] = {
         balance_repair_preview,
         account_balance_turnover,
         scalar_functions,
+        moscow_times,
     )
 }

@@ -3,6 +3,7 @@ from daybook.functions.casts import (
     fixed_scale_text,
     money,
     moscow_now,
+    moscow_time,
     parse_date,
     parse_integer,
     parse_key,
@@ -28,6 +29,7 @@ __all__ = [
     "money",
     "month_of_report",
     "moscow_now",
+    "moscow_time",
     "parse_date",
     "parse_integer",
     "parse_key",

@@ -67,6 +67,13 @@ def text_message(*parts: str | Column) -> Column:
     )
 
 
+def moscow_time(utc: str | Column) -> Column:
+    """Wall-clock time in Moscow of a time without a zone in UTC, also without a zone."""
+    return F.convert_timezone(
+        F.lit("UTC"), F.lit("Europe/Moscow"), _column(utc).cast("timestamp_ntz")
+    )
+
+
 def moscow_now() -> Column:
     """Current wall-clock time in Moscow, without a zone."""
     return F.convert_timezone(
