@@ -259,20 +259,20 @@ def _cut(text: str, spans: list[dict]) -> str:
     return b"".join(out).decode("utf-8", "surrogatepass").strip()
 
 
-def _cuts(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for part in slices(batches):
-        texts = [x if y is None else _cut(x, y) for x, y in zip(part["text"], part["spans"], strict=True)]
-        yield part.drop(columns="spans").assign(text=pd.Series(texts, index=part.index, dtype=object))
+def _cuts(texts: pd.Series, spans: pd.Series) -> pd.Series:
+    """Texts without the words of their spans; null without spans."""
+    cut = [None if y is None else _cut(x, y) for x, y in zip(texts, spans, strict=True)]
+    return pd.Series(cut, index=texts.index, dtype=object)
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """The rows of docs with repeated passages cut out of their texts; n_chars, if docs
     has it, is counted anew for texts that changed. Documents are never dropped."""
-    key = F.xxhash64("doc_id", "text").alias("key")
-    marked = _with_spans(docs.select("doc_id", "text", key)).where("spans is not null")
-    cut = marked.dropDuplicates(["key"]).select("key", "text", "spans").mapInPandas(_cuts, "key long, text string")
-    # The row travels as one column, so no name of it can clash.
-    out = docs.select(F.struct("*").alias("doc"), key).join(cut, "key", "left")
+    # The row travels as one column, so no name of it can clash, and moves once.
+    rows = docs.select(F.struct("*").alias("doc"), F.xxhash64("doc_id", "text").alias("row"))
+    spans = repeated_spans(docs.select(F.xxhash64("doc_id", "text").alias("row"), "text"))
+    cut = F.pandas_udf(_cuts, "string")(F.col("doc.text"), F.col("spans"))
+    out = rows.join(spans, "row", "left").select("doc", cut.alias("text"))
     whole = {c: F.col("doc")[c] for c in docs.columns}
     if "n_chars" in whole:
         counted = F.length("text").cast(docs.schema["n_chars"].dataType)
