@@ -52,19 +52,19 @@ class Manifest:
 
 
 def _ranked(nodes: DataFrame, order: Sequence[Column]) -> DataFrame:
-    """nodes (tree, digest, row) with rank, from 0, by order within the tree, and n, the
-    tree's size.
+    """nodes (tree, digest, row, tie) with rank, from 0, by order, digest and tie within the
+    tree, and n, the tree's size.
 
     Ranges of (tree, order) are ranked each by itself and meet through a table of one
     row per tree and range, so that a tree with a third of all rows is spread.
     """
-    ranged = stored(nodes.repartitionByRange("tree", *order, "digest").withColumn("part", F.spark_partition_id()), "ranged")
+    ranged = stored(nodes.repartitionByRange("tree", *order, "digest", "tie").withColumn("part", F.spark_partition_id()), "ranged")
     earlier = Window.partitionBy("tree").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     sizes = ranged.groupBy("tree", "part").agg(F.count("*").alias("m"))
     sizes = sizes.select(
         "tree", "part", F.coalesce(F.sum("m").over(earlier), F.lit(0)).alias("before"), F.sum("m").over(Window.partitionBy("tree")).alias("n")
     )
-    within = F.row_number().over(Window.partitionBy("part", "tree").orderBy(*order, "digest"))
+    within = F.row_number().over(Window.partitionBy("part", "tree").orderBy(*order, "digest", "tie"))
     ranked = ranged.withColumn("rank", within).join(sizes, ["tree", "part"])
     return ranked.select("tree", (F.col("before") + F.col("rank") - 1).alias("rank"), "n", "digest", "row")
 
@@ -117,15 +117,17 @@ def manifest(rows: DataFrame, digest: str, tree: str, order: Sequence[str]) -> M
 
     Records are written level by level, each holding LEVELS levels of the tree, so the
     number of rounds is the logarithm of the rows to the base SPAN. No task sees more than
-    a range of leaves. Rows that are equal throughout are leaves of their own, in either
+    a range of leaves. Rows that are equal throughout are leaves of their own, in any
     order. All columns are carried, whatever their names. No rows give no root.
     """
     key = F.coalesce(F.concat(F.lit("="), F.col(tree).cast("string")), F.lit(""))
-    nodes = rows.select(key.alias("tree"), F.col(digest).alias("digest"), F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("row"))
+    # Written before it is used, so that the draw stays; it spreads rows that are equal throughout.
+    tie = F.rand(3).alias("tie")
+    nodes = rows.select(key.alias("tree"), F.col(digest).alias("digest"), F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("row"), tie)
     by = [F.col("row")[c] for c in order]
     leaves = stored(_ranked(stored(nodes, "nodes"), by), "leaves")
     levels, roots = _built(leaves)
-    tops = roots.select(F.lit("").alias("tree"), "digest", F.struct("tree", "depth").alias("row"))
+    tops = roots.select(F.lit("").alias("tree"), "digest", F.struct("tree", "depth").alias("row"), F.lit(0.0).alias("tie"))
     above = stored(_ranked(tops, [F.col("row")["tree"]]), "tops")
     return Manifest(leaves, levels, roots, Manifest(above, *_built(above)))
 
