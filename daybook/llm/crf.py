@@ -179,23 +179,25 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, sa
     It is fitted on a sample of the labelled documents, the first by a hash of their id:
     sample_docs at most, with sample_lines at most; documents that would pass the lines
     left are passed over. Only their lines' measures come to the driver. Null ids and
-    labels teach nothing; of several labels of an id the mean counts, good from 0.5 on.
+    labels teach nothing; of several texts of an id the least counts, of several labels of an id the mean counts, good from 0.5 on.
     Without labels every line is as likely good as bad.
     """
     known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.avg("quality").alias("q"))
     known = known.select("doc_id", (F.col("q") >= 0.5).cast("int").alias("quality"))
     n_lines = F.coalesce(F.regexp_count("text", F.lit("\n")), F.lit(0)) + 1
     drawn = F.xxhash64(F.col("doc_id").cast("string"))
-    first = docs.select("doc_id", n_lines.alias("n")).join(known, "doc_id").groupBy("doc_id").agg(F.max("n").alias("n"))
+    first = docs.select("doc_id", n_lines.alias("n")).join(known, "doc_id").groupBy("doc_id").agg(F.max("n").alias("n"), F.first("quality").alias("quality"))
     chosen, left = [], sample_lines
     for r in first.orderBy(drawn, "doc_id").limit(sample_docs).collect():
         if r["n"] <= left:
             left -= r["n"]
-            chosen.append((r["doc_id"],))
+            chosen.append((r["doc_id"], r["quality"]))
     if not chosen:
         return fit([], [])
-    ids = docs.sparkSession.createDataFrame(chosen, docs.select("doc_id").schema)
-    sample = docs.select("doc_id", "text").join(ids, "doc_id").join(known, "doc_id").dropDuplicates(["doc_id"])
+    ids = docs.sparkSession.createDataFrame(chosen, docs.select("doc_id").schema.add("quality", "integer"))
+    # At most sample_docs rows, so texts are picked where they lie.
+    sample = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+    sample = sample.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("quality").alias("quality"))
 
     def measured(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in slices(batches):
