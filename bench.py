@@ -37,7 +37,6 @@ HEADLINE = (
     "late_postings",
     "duplicate_profile",
     "detail_load",
-    "month_close_stored",
 )
 
 

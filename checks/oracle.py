@@ -471,7 +471,7 @@ ORACLE_SQL: dict[str, str] = {
     "f101_csv_roundtrip": _form_table("{0}", "CAST(NULL AS DECIMAL(23,8))"),
     "month_close_stored": _with(
         ["balances"],
-        "SELECT * FROM balances WHERE on_date BETWEEN DATE '1996-02-01' AND DATE '1996-04-30'",
+        "SELECT * FROM balances WHERE on_date BETWEEN DATE '1995-01-01' AND DATE '1995-03-31'",
     ),
     "close_log": _with(
         ["turnover", "snapshot"],
