@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from daybook.operators import append_new, dedupe, replace_slice, upsert
 from daybook.operators.maintain import _append_new
+from daybook.operators.parts import row_part
 from helpers import BROADCAST, rows
 
 
@@ -101,3 +102,20 @@ def test_append_new_tells_rows_of_equal_hash_apart(spark):
 def test_dedupe_keeps_one_of_identical_rows(spark):
     df = table(spark, (1, None, "x"), (1, None, "x"), (1, None, "y"))
     assert rows(dedupe(df)) == [(1, None, "x"), (1, None, "y")]
+
+
+def test_dedupe_deals_rows_over_parts_before_they_are_merged(spark):
+    df = spark.range(0, 20_000, 1, 1).selectExpr("id % 5000 AS k", "if(id % 3 = 0, null, 'x') AS v")
+    assert sorted(map(tuple, dedupe(df).collect()), key=str) == sorted(map(tuple, set(df.collect())), key=str)
+    # One task reads all rows; none of them merges all.
+    plan = dedupe(df)._jdf.queryExecution().executedPlan().toString()
+    first = plan[: plan.rindex("HashAggregate")].count("Exchange")
+    assert first == 1 and "REPARTITION_BY_NUM" in plan[plan.rindex("HashAggregate") :]
+    # Copies of one row are spread over the tasks that read them.
+    copies = spark.range(0, 8000, 1, 8).select(F.lit(1).alias("k"))
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    try:
+        sizes = copies.groupBy(row_part(copies)).count().collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
+    assert len(sizes) > 2 and dedupe(copies).count() == 1
