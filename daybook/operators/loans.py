@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.operators.lookup import left_join_skewed
+from daybook.operators.maintain import dedupe
 from daybook.schemas import LOAN_HOLIDAY, LOAN_HOLIDAY_MART_COLUMNS
 
 
@@ -22,11 +23,9 @@ def loan_holiday_mart(
     only in their end repeat the deal.
     """
     names = (
-        products.select(
-            "product_rk", "product_name", "effective_from_date", "effective_to_date"
-        )
-        .distinct()
-        .select(
+        dedupe(
+            products.select("product_rk", "product_name", "effective_from_date", "effective_to_date")
+        ).select(
             "product_rk",
             F.col("effective_from_date").alias("deal_from"),
             "product_name",
@@ -47,7 +46,8 @@ def loan_holiday_mart(
         "product_rk",
         "deal_type_cd",
     )
-    named = deals.join(names, ["product_rk", "deal_from", "deal_name"], "left")
+    # Never sent whole: Spark takes versions that are made on reading for less than they are.
+    named = deals.join(names.hint("merge"), ["product_rk", "deal_from", "deal_name"], "left")
     periods = holidays.select(
         *LOAN_HOLIDAY.columns, F.col("effective_from_date").alias("deal_from")
     )

@@ -148,3 +148,16 @@ def test_account_balance_turnover(spark, threshold):
         ],
         key=repr,
     )
+
+
+def test_product_versions_are_not_sent_whole(spark):
+    spark.conf.set(BROADCAST, "10m")
+    deal, holiday = deals(spark, (1, 10, "loan", D1)), holidays(spark, (1, "H", D1, day(9)))
+    few = spark.createDataFrame([(10,)], "product_rk long")
+    # A million versions that Spark takes for one row, as they are made on reading.
+    many = few.selectExpr(
+        "product_rk", "explode(sequence(1, 1000000)) AS n"
+    ).selectExpr("product_rk", "concat('loan', n) AS product_name", "date'2018-01-01' AS effective_from_date", "date'2050-12-31' AS effective_to_date")
+    plan = loan_holiday_mart(deal, holiday, many)._jdf.queryExecution().executedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join" in line and "product_rk" in line]
+    assert joins and all("SortMergeJoin" in line for line in joins)
