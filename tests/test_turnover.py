@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from daybook.functions import Period
-from daybook.operators import dropped_legs, turnover
+from daybook.operators import dropped_legs, posting_legs, turnover
 from helpers import BROADCAST, JAN, A, P, accounts, day, num, postings, rates, rows
 
 PERIOD = Period(*JAN)
@@ -95,3 +95,20 @@ def test_hot_account_and_currency_give_the_same_either_way(spark, threshold):
             entry[2 * side + 1] = (entry[2 * side + 1] or 0) + num(i) * factor
     got = {(r[0], r[1]): list(r[2:]) for r in result.collect()}
     assert got == expected
+
+
+def test_postings_are_dealt_over_parts_before_they_are_added_up(spark):
+    data = [(day(1 + i % 28), 1, 2 + i % 3, i, 1) for i in range(500)]
+    legs = posting_legs(postings(spark, *data).coalesce(1), PERIOD)
+    expected = {}
+    for on, credit, debet, a, b in data:
+        for account, side, x in ((credit, 0, a), (debet, 1, b)):
+            expected.setdefault((on, account), [0, 0, 0, 0])
+            expected[on, account][side] += x
+            expected[on, account][2 + side] += 1
+    found = {(r.on_date, r.account_rk): [r.credit_amount or 0, r.debet_amount or 0, r.credit_legs, r.debet_legs] for r in legs.collect()}
+    assert found == expected
+    # No sum below the first exchange, and all sums by account in parts of the account.
+    plan = posting_legs(postings(spark, *data).coalesce(1), PERIOD)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_NUM") == plan.count("Exchange") == 2
+    assert "HashAggregate" not in plan[plan.rindex("Exchange") :]
