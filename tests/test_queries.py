@@ -41,5 +41,12 @@ def test_same_rows_as_sql(spark, name):
     assert differences(spark, SF_DIR, name) == []
 
 
+def test_month_close_stores_every_period(spark):
+    found = QUERIES["month_close_stored"](spark, SF_DIR).select("on_date").distinct().collect()
+    days = {r.on_date for r in found}
+    assert {(d.year, d.month) for d in days} == {(1995, m) for m in range(1, 13)} | {(1996, m) for m in range(1, 5)}
+    assert len(days) == 31 + 28 + 31 + 10 + 29 + 31 + 30
+
+
 def test_entry_runs(spark):
     assert __spark_entry__.entry(spark).limit(1).count() == 1
