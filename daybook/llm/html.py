@@ -1,4 +1,4 @@
-"""Main text of web pages: page structure, and differencing against the nearest URL."""
+"""Main text of web pages: differencing against the nearest URL, and a check of structure."""
 
 from __future__ import annotations
 
@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.llm.common import slices, stored
+from daybook.operators.bloom import bloom_filter, maybe_in
 
 SEPARATOR = "\n\n"
 
@@ -288,113 +289,130 @@ def common_lines(x: list, y: list) -> list[int]:
     return sorted(out)
 
 
-def loose_text(lines: list[str], near: Iterable[int], common: Iterable[int]) -> str:
-    """A page's lines less those that it shares with its nearest page, if common has them;
-    lines of both are given by hash."""
-    own, common = line_hashes(lines), set(common)
-    shared = {i for i in common_lines(own, list(near)) if own[i] in common}
-    return SEPARATOR.join(line for i, line in enumerate(lines) if i not in shared)
+def main_lines(found: list[Block], shared: set[int]) -> list[str]:
+    """The texts of a page's blocks that differencing leaves, checked by structure: blocks of
+    articles that hold at least half of what is left are the text, whatever of them is
+    shared, as copies share them too; shared holds places of blocks."""
+    main = main_blocks([b for i, b in enumerate(found) if b.inside or i not in shared])
+    return [b.text for i, b in enumerate(found) if i not in shared] if main is None else main
 
 
 def line_hashes(lines: list[str]) -> list[int]:
     return [xxhash.xxh3_64_intdigest(x.encode("utf-8", "surrogatepass")) - (1 << 63) for x in lines]
 
 
-def _parsed(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The text of pages whose article is known, the lines of others; of all pages the
-    hashes of their lines and, for what they are about, that of their longest one."""
+def _hashed(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The hashes of pages' lines and, for what they are about, that of their longest one."""
     for part in slices(batches):
         rows = []
         for html in part["html"]:
-            found = blocks(html)
-            lines = [b.text for b in found]
-            main = main_blocks(found)
+            lines = [b.text for b in blocks(html)]
             hashes = line_hashes(lines)
-            about = max(zip(map(len, lines), hashes, strict=True), default=(0, 0))[1]
-            rows.append((None if main is None else SEPARATOR.join(main), lines if main is None else None, hashes, about))
-        made = pd.DataFrame(rows, columns=["text", "lines", "hashes", "about"], index=part.index)
+            rows.append((hashes, max(zip(map(len, lines), hashes, strict=True), default=(0, 0))[1]))
+        made = pd.DataFrame(rows, columns=["hashes", "about"], index=part.index)
         yield pd.concat([part.drop(columns="html"), made], axis=1)
 
 
-def _differences(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _common(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The places of pages' lines on a longest common subsequence with their nearest page."""
+    for part in slices(batches):
+        places = [common_lines(list(x.hashes), list(x.near)) for x in part.itertuples(index=False)]
+        lines = [[own[i] for i in at] for own, at in zip(part["hashes"], places, strict=True)]
+        yield part[["row", "site"]].assign(places=places, lines=lines)
+
+
+def _blocks(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for part in slices(batches):
+        found = [blocks(html) for html in part["html"]]
+        made = {name: [[getattr(b, name) for b in page] for page in found] for name in ("text", "inside", "heading")}
+        yield part[["row", "page_id", "url"]].assign(**made)
+
+
+def _checked(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for part in slices(batches):
         texts = []
         for x in part.itertuples(index=False):
-            none = x.near is None or x.common is None
-            texts.append(SEPARATOR.join(x.lines) if none else loose_text(list(x.lines), x.near, x.common))
+            found = [Block(*b) for b in zip(x.text, x.inside, x.heading, strict=True)]
+            texts.append(SEPARATOR.join(main_lines(found, set() if x.shared is None else set(x.shared))))
         yield part[["page_id", "url"]].assign(text=texts)
 
 
-def _with_nearest(loose: DataFrame, pages: DataFrame) -> DataFrame:
-    """loose with near, the line hashes of the nearest page about something else, and
-    common, its lines that stand on pages about three things or more of the host.
+def _nearest(pages: DataFrame) -> DataFrame:
+    """row, near: the line hashes of the nearest page about something else.
 
     Nearest is the page of the host that shares most leading parts of the path, in a tie
     one with the least or largest hash of what it is about. For every folder of every
     path just these two hashes are kept, in each task before rows move, so a host with a
     third of all pages is no hot key; only hashes of lines meet.
     """
-    folders = F.expr("transform(sequence(0, size(parts)), n -> struct(n as depth, array_join(slice(parts, 1, n), '/') as folder))")
-    parts = F.filter(F.split("path", "/"), lambda x: x != "")
-    at = pages.join(loose.select("host").distinct(), "host", "left_semi").where("host <> ''").withColumn("parts", parts)
-    ends = (
-        at.select("host", "about", F.inline(folders)).groupBy("host", "folder").agg(F.min("about").alias("least"), F.max("about").alias("most"))
+    folders = F.expr(
+        "transform(sequence(0, size(parts)), n -> struct(n as depth, xxhash64(site, array_join(slice(parts, 1, n), '/')) as folder))"
     )
+    at = pages.withColumn("parts", F.filter(F.split("path", "/"), lambda x: x != ""))
+    at = at.select("row", "site", "about", F.inline(folders))
+    ends = at.groupBy("folder").agg(F.min("about").alias("least"), F.max("about").alias("most"))
     other = F.when(F.col("least") != F.col("about"), F.col("least")).otherwise(F.col("most"))
-    asked = loose.withColumn("parts", parts).select("row", "host", "about", F.inline(folders))
     nearest = (
-        asked.join(ends.where("least <> most"), ["host", "folder"])
+        at.join(ends.where("least <> most"), "folder")
         .groupBy("row")
-        .agg(F.max_by(F.struct("host", other.alias("about")), "depth").alias("other"))
+        .agg(F.max_by(F.struct("site", other.alias("about")), "depth").alias("other"))
         .select("row", "other.*")
     )
     # Of several pages about one thing, any will do; the same one each time.
-    shown = at.groupBy("host", "about").agg(F.min("hashes").alias("near"))
-    lines = at.select("host", "about", F.explode("hashes").alias("line")).distinct()
-    often = lines.groupBy("host", "line").count().where("count > 2").select("host", "line")
-    common = loose.select("row", "host", F.explode("hashes").alias("line")).distinct().join(often, ["host", "line"])
-    return loose.join(nearest.join(shown, ["host", "about"]).select("row", "near"), "row", "left").join(
-        common.groupBy("row").agg(F.collect_list("line").alias("common")), "row", "left"
+    shown = pages.groupBy("site", "about").agg(F.min("hashes").alias("near"))
+    return nearest.join(shown, ["site", "about"]).select("row", "near")
+
+
+def _shared(pages: DataFrame) -> DataFrame:
+    """row, shared: the places of a page's lines that it shares with its nearest page, if
+    they stand on pages about three things or more of the host.
+
+    Every page meets its nearest. Of all lines only those move that some page shares with
+    its nearest; a filter of bounded size tells them where they are read.
+    """
+    # Equal rows share the same lines, so one row stands for them.
+    own = pages.select("row", "site", "hashes").dropDuplicates(["row"])
+    common = stored(
+        own.join(_nearest(pages), "row").mapInPandas(_common, "row long, site long, places array<int>, lines array<long>"), "common"
     )
+    common = common.select("row", "site", F.inline(F.arrays_zip("places", "lines"))).withColumn("line", F.xxhash64("site", "lines"))
+    lines = pages.select("about", F.explode("hashes").alias("lines"), "site").select("about", F.xxhash64("site", "lines").alias("line"))
+    asked = maybe_in(lines, "line", bloom_filter(common, "line")).distinct()
+    often = asked.groupBy("line").count().where("count > 2").select("line")
+    return common.join(often, "line").groupBy("row").agg(F.collect_set("places").alias("shared"))
 
 
 def main_texts(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars per row of pages.
 
     Each page is parsed into blocks outside menus, headers, footers, sidebars, notices,
-    adverts, forms, comments, scripts and styles. If half or more of their text stands in
-    article or main elements, that is the page's text: a copy of it at the next URL
-    must not delete it. Otherwise all blocks stand for the text, less the lines on a
-    longest common subsequence with the page's nearest, the one of its host whose path
-    begins most alike. Pages about the same, by their longest line, are copies
-    and passed over, and a shared line goes only if it stands on a third page of the
-    host, about a third thing.
-
-    Only hashes of lines meet, and only on hosts with such pages. Null html and
+    adverts, forms, comments, scripts and styles, and loses the lines on a longest common
+    subsequence with the page's nearest, the one of its host whose path begins most
+    alike. Pages about the same, by their longest line, are copies and passed over, and a
+    shared line goes only if it stands on a third page of the host, about a third thing.
+    A check of the structure follows: if article and main elements hold half or more of
+    the text that differencing leaves, all of their text is the page's, and no other:
+    copies at the next URLs must not delete it.
+
+    Only hashes of lines meet; pages are read twice, so that texts move once. Null html and
     pages without text give an empty text; pages without a host meet nothing. Repeated
     rows and null ids are kept; other columns are ignored. Parsing takes time in
     proportion to the page.
     """
     url = F.coalesce("url", F.lit(""))
-    parsed = stored(
-        pages.select(
-            F.col("page_id").cast("string"),
-            "url",
-            F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:www\.)?([^/?#]+)", 1)).alias("host"),
-            F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+([^?#]*)", 1).alias("path"),
-            "html",
-        ).mapInPandas(
-            _parsed,
-            "page_id string, url string, host string, path string, text string, lines array<string>, hashes array<long>, about long",
-        ),
-        "parsed",
+    host = F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:www\.)?([^/?#]+)", 1))
+    path = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+([^?#]*)", 1)
+    rows = pages.select(F.xxhash64("page_id", "url", "html").alias("row"), F.col("page_id").cast("string"), "url", "html")
+    hashed = stored(
+        rows.where(host != "")
+        .select("row", F.xxhash64(host).alias("site"), path.alias("path"), "html")
+        .mapInPandas(_hashed, "row long, site long, path string, hashes array<long>, about long"),
+        "hashed",
+    )
+    parsed = rows.mapInPandas(
+        _blocks, "row long, page_id string, url string, text array<string>, inside array<boolean>, heading array<boolean>"
     )
-    # Equal rows get equal texts, so one row stands for them when pages meet.
-    loose = parsed.where("text is null").withColumn("row", F.xxhash64("page_id", "url", "lines"))
-    met = _with_nearest(loose.dropDuplicates(["row"]).select("row", "host", "path", "hashes", "about"), parsed)
-    texts = loose.select("row", "page_id", "url", "lines").join(met.select("row", "near", "common"), "row", "left")
-    rest = texts.drop("row").mapInPandas(_differences, "page_id string, url string, text string")
-    texts = parsed.where("text is not null").select("page_id", "url", "text").union(rest)
+    texts = parsed.join(_shared(hashed), "row", "left").mapInPandas(_checked, "page_id string, url string, text string")
     return texts.select(
         F.col("page_id").cast(pages.schema["page_id"].dataType), "url", "text", F.length("text").cast("long").alias("n_chars")
     )

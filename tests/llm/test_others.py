@@ -151,6 +151,24 @@ def test_copies_without_an_article_keep_their_text(spark):
     assert texts[2] == alone[2] and texts[11] == "Quite another text of its own, number b, and longer than any line."
 
 
+def test_pages_with_an_article_are_differenced_too(spark):
+    about = [f"What page {x} alone tells, longer than any line that stands around it on the pages of this host." for x in "abcd"]
+    around = "<div>A line of the host that stands on all of its pages.</div>" * 2
+    rows = [(n, f"http://a.org/n/{n}", page(f"<h1>The host</h1>{around}<article><p>{x}</p></article><div>Seen {n} times</div>")) for n, x in enumerate(about)]
+    # Less than half of all text stands in the article, but nearly all of what is left.
+    assert main_of(rows[0][2]) is None
+    # Lines of articles stay, whatever other pages share of them.
+    told = "<h2>Summary</h2><p>A passage that all pages of this host tell alike.</p>"
+    rows += [(10 + n, f"http://b.org/n/{n}", page(f"<h1>The host</h1><article>{told}<p>{x}</p></article>")) for n, x in enumerate(about)]
+    found = {i: t for i, t, _ in extracted(spark, [*rows, rows[0]])}
+    assert [found[n] for n in range(4)] == about
+    assert [found[10 + n] for n in range(4)] == [f"Summary\n\nA passage that all pages of this host tell alike.\n\n{x}" for x in about]
+
+
+def main_of(text):
+    return html.main_blocks(html.blocks(text))
+
+
 def test_the_article_is_where_the_text_is():
     texts = lambda body: [b.text for b in html.blocks(page(body))]
     main = lambda body: html.main_blocks(html.blocks(page(body)))
