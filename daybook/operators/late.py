@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from daybook.functions import Period, clip_to_period, money, valid_on
+from daybook.operators.parts import in_parts
 from daybook.operators.turnover import daily_rates, posting_legs
 from daybook.schemas import ACTIVE, DM_BALANCE, DM_TURNOVER, MONEY, PASSIVE, RATE
 
@@ -58,6 +59,7 @@ def late_turnover(
     of late postings are read from it. Ruble amounts are rounded once, after the
     whole day's sum, so the rows are those of a close with all postings. Late
     legs of accounts not valid on their day are left out, as the close leaves them out.
+    The result is in parts of day and account, where it can be merged into the mart.
     """
     legs = posting_legs(late, period).drop("credit_legs", "debet_legs")
     valid = (
@@ -70,7 +72,8 @@ def late_turnover(
         "account_rk",
         *[F.col(c).alias(f"old_{c}") for a in AMOUNTS for c in (a, f"{a}_rub")],
     )
-    met = valid.join(held, ["on_date", "account_rk"], "left")
+    key = ["on_date", "account_rk"]
+    met = in_parts(valid, *key).join(in_parts(held, *key), key, "left")
     rate = F.coalesce("rate", F.lit(1).cast(RATE))
 
     def whole(amount: str) -> Column:

@@ -52,6 +52,24 @@ def test_late_postings_give_what_a_close_with_all_gives(spark, seed):
     assert rows(upsert(before.balances, corrected, KEY), *DM_BALANCE.columns) == rows(whole.balances, *DM_BALANCE.columns)
 
 
+@pytest.fixture
+def eight_parts(spark):
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+
+
+def test_late_turnover_meets_the_mart_in_parts(spark, eight_parts):
+    acc, rate, on_time, late, _ = bank(spark, 2)
+    rate = F.broadcast(rate)
+    moves = turnover(postings(spark, *on_time), acc, rate, QUARTER)
+    changed = late_turnover(postings(spark, *late), moves, acc, rate, QUARTER)
+    merged = upsert(moves, changed.select(DM_TURNOVER.columns), KEY)
+    # Adaptive execution would merge so few rows to one part.
+    assert changed.rdd.getNumPartitions() == 8 and merged.rdd.getNumPartitions() >= 8
+
+
 def test_late_postings_change_stored_marts(spark):
     acc, rate, on_time, late, seeds = bank(spark, 2)
     late = [(d, *x) for d, *x in late if d >= day(10)] + [(day(10, 2), 1, 2, 5, 5)]
