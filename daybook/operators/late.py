@@ -120,10 +120,11 @@ def late_balances(changed: DataFrame, stored: DataFrame, period: Period) -> Data
     holds from its day to the day before the next, at last to the chain's end. Stored
     rows meet these stretches by account: the work follows the touched accounts'
     days, whatever the mart holds of others. Rows that stay the same are left out.
+    Moves are brought into parts of the account before they are added up, and stay there.
     """
     in_chain = Window.partitionBy("account_rk", "chain_end").orderBy("on_date")
     so_far = in_chain.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    stretches = changed.select(
+    stretches = in_parts(changed, "account_rk").select(
         "account_rk",
         F.col("on_date").alias("first_day"),
         F.coalesce(F.date_sub(F.lead("on_date").over(in_chain), 1), "chain_end").alias("last_day"),

@@ -70,6 +70,21 @@ def test_late_turnover_meets_the_mart_in_parts(spark, eight_parts):
     assert changed.rdd.getNumPartitions() == 8 and merged.rdd.getNumPartitions() >= 8
 
 
+def test_late_balances_meet_the_mart_in_parts(spark, eight_parts):
+    acc, rate, on_time, late, seeds = bank(spark, 2)
+    close = plans.close_month(postings(spark, *on_time), acc, F.broadcast(rate), seeds, QUARTER)
+    stored = read_table(spark, written(close.balances), schema=DM_BALANCE.schema)
+    changed = late_turnover(postings(spark, *late), close.turnover, acc, F.broadcast(rate), QUARTER)
+    changed = spark.read.schema(changed.schema).parquet(written(changed))
+    assert late_balances(changed, stored, QUARTER).rdd.getNumPartitions() == 8
+
+
+def written(df):
+    path = scratch_path(df.sparkSession, "written")
+    df.write.parquet(path)
+    return path
+
+
 def test_late_postings_change_stored_marts(spark):
     acc, rate, on_time, late, seeds = bank(spark, 2)
     late = [(d, *x) for d, *x in late if d >= day(10)] + [(day(10, 2), 1, 2, 5, 5)]
